@@ -16,7 +16,7 @@ from pyspark.ml.feature import CountVectorizer, HashingTF, IDF, StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.functions.text import ENGLISH_STOP_WORDS, remove_stop_words, tokenize
+from colloquy.functions.text import ENGLISH_STOP_WORDS, is_stop_word, remove_stop_words, tokenize
 
 # --- fixed values -----------------------------------------------------------
 DEFAULT_VOCAB_SIZE = 20000
@@ -24,9 +24,11 @@ DEFAULT_NUM_FEATURES = 10000
 # -----------------------------------------------------------------------------
 
 
-def with_tokens(df: DataFrame, in_col: str = "clean_text", out: str = "words") -> DataFrame:
-    """Tokenizer semantics as a built-in expression."""
-    return df.withColumn(out, tokenize(in_col))
+def with_tokens(df: DataFrame, in_col: str = "clean_text", out: str = "words",
+                clean_input: bool = True) -> DataFrame:
+    """Tokenizer semantics as a built-in expression (``clean_input``:
+    the column is ``clean_text`` output)."""
+    return df.withColumn(out, tokenize(in_col, clean_input=clean_input))
 
 
 def with_filtered_words(df: DataFrame, in_col: str = "words", out: str = "filtered_words",
@@ -35,43 +37,60 @@ def with_filtered_words(df: DataFrame, in_col: str = "words", out: str = "filter
     return df.withColumn(out, remove_stop_words(in_col, stop_words))
 
 
-def term_frequency(df: DataFrame, key: str, words_col: str = "filtered_words") -> DataFrame:
+def doc_terms(df: DataFrame, key: str | None = None, words_col: str = "words",
+              stop_words=ENGLISH_STOP_WORDS, distinct: bool = False) -> DataFrame:
+    """Long form ``(key, term)``: one row per token (per distinct token with
+    ``distinct``) minus stop words.  Equivalent to exploding the
+    ``filtered_words`` array, but the stop-word test runs as a codegen'd row
+    filter, and ``explode_outer`` + a null filter keeps Catalyst from
+    inferring a ``size(array) > 0`` predicate that would evaluate the whole
+    tokenising expression a second time in the scan stage."""
+    arr = F.array_distinct(words_col) if distinct else F.col(words_col)
+    cols = [key] if key else []
+    out = df.select(*cols, F.explode_outer(arr).alias("term")).filter(F.col("term").isNotNull())
+    if stop_words:
+        out = out.filter(~is_stop_word("term", stop_words))
+    return out
+
+
+def term_frequency(df: DataFrame, key: str, words_col: str = "words",
+                   stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
     """``(key, term, tf)`` -- occurrences of each term in each row.
     The partial aggregate runs in the task that exploded the row, so what is
     shuffled is already one row per (key, term)."""
-    return (df.select(key, F.explode(words_col).alias("term"))
-              .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
+    return (doc_terms(df, key, words_col, stop_words)
+            .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
-def document_frequency(df: DataFrame, words_col: str = "filtered_words") -> DataFrame:
+def document_frequency(df: DataFrame, words_col: str = "words", stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
     """``(term, doc_freq)`` -- rows containing the term (one row = one document)."""
-    return (df.select(F.explode(F.array_distinct(words_col)).alias("term"))
-              .groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq")))
+    return (doc_terms(df, None, words_col, stop_words, distinct=True)
+            .groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq")))
 
 
-def vocabulary(df: DataFrame, words_col: str = "filtered_words", size: int = DEFAULT_VOCAB_SIZE,
-               min_df: int = 1) -> DataFrame:
+def vocabulary(df: DataFrame, words_col: str = "words", size: int = DEFAULT_VOCAB_SIZE,
+               min_df: int = 1, stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
     """the ``size`` most frequent terms by corpus count,
     ``(term, term_count, term_index)``; ties broken by term so the cut is
     deterministic.  The top-k runs as per-task top-k + merge of bounded
     candidate lists (TakeOrderedAndProject), so only ``size`` rows per task
     meet; the index window then runs over at most ``size`` rows."""
-    counts = (df.select(F.explode(words_col).alias("term"))
-                .groupBy("term").agg(F.count(F.lit(1)).alias("term_count")))
+    counts = (doc_terms(df, None, words_col, stop_words)
+              .groupBy("term").agg(F.count(F.lit(1)).alias("term_count")))
     if min_df > 1:
-        dfreq = document_frequency(df, words_col).filter(F.col("doc_freq") >= min_df)
+        dfreq = document_frequency(df, words_col, stop_words).filter(F.col("doc_freq") >= min_df)
         counts = counts.join(dfreq.select("term"), "term", "left_semi")
     top = counts.orderBy(F.desc("term_count"), F.asc("term")).limit(size)
     w = Window.orderBy(F.desc("term_count"), F.asc("term"))
     return top.withColumn("term_index", (F.row_number().over(w) - 1).cast("int"))
 
 
-def idf_table(df: DataFrame, words_col: str = "filtered_words") -> DataFrame:
+def idf_table(df: DataFrame, words_col: str = "words", stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
     """``(term, doc_freq, idf)`` with ``idf = ln((m + 1) / (df + 1))``,
     ``m`` = number of rows (documents).  ``m`` is a scalar subquery evaluated
     once and shipped as a value -- no cross join, no window over all rows."""
     m = df.select(F.count(F.lit(1)).cast("double")).scalar()
-    return (document_frequency(df, words_col)
+    return (document_frequency(df, words_col, stop_words)
             .withColumn("idf", F.log((m + F.lit(1.0)) / (F.col("doc_freq") + F.lit(1.0)))))
 
 
@@ -90,7 +109,7 @@ def text_features(df: DataFrame, text_col: str = "dialogue") -> DataFrame:
     """clean_text, words and filtered_words in one projection."""
     from colloquy.functions.text import clean_text
     return (df.withColumn("clean_text", clean_text(text_col))
-              .withColumn("words", tokenize("clean_text"))
+              .withColumn("words", tokenize("clean_text", clean_input=True))
               .withColumn("filtered_words", remove_stop_words("words")))
 
 

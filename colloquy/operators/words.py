@@ -6,15 +6,17 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions.formats import round_half_up, round_ratio
+from colloquy.functions.text import ENGLISH_STOP_WORDS
+from colloquy.operators.features import doc_terms
 
 # Broadcast a term list only under this many rows (a proven bound: the lists
 # come from a top-n or a capped vocabulary).
 MAX_BROADCAST_TERMS = 200_000
 
 
-def word_class_counts(docs: DataFrame, terms: DataFrame, words_col: str = "filtered_words",
+def word_class_counts(docs: DataFrame, terms: DataFrame, words_col: str = "words",
                       label_col: str = "labels", term_col: str = "word",
-                      max_terms: int | None = None) -> DataFrame:
+                      max_terms: int | None = None, stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
     """A02 + A03: for each term in ``terms``: how many dialogues of class 1
     (``scam_count``) and class 0 (``non_scam_count``) contain it, and
     ``scam_ratio = round(scam / (scam + non), 3)`` (0.0 when neither).
@@ -27,8 +29,8 @@ def word_class_counts(docs: DataFrame, terms: DataFrame, words_col: str = "filte
         raise ValueError(f"term list bound {max_terms} exceeds broadcast limit {MAX_BROADCAST_TERMS}")
     term_list = terms.select(F.col(term_col).alias("word")).distinct()
     right = F.broadcast(term_list) if max_terms is not None else term_list
-    lab = F.col(label_col)
-    hits = (docs.select(lab.alias("_label"), F.explode(F.array_distinct(words_col)).alias("word"))
+    lab = docs.select(F.col(label_col).alias("_label"), words_col)
+    hits = (doc_terms(lab, "_label", words_col, stop_words, distinct=True).withColumnRenamed("term", "word")
                 .join(right, "word")
                 .groupBy("word")
                 .agg(F.sum(F.when(F.col("_label") == 1.0, 1).otherwise(0)).cast("bigint").alias("scam_count"),

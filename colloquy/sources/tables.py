@@ -6,8 +6,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+# Tables whose rows carry long texts: per-row work (regex, tokenising) dominates.
+TEXT_TABLES = ("documents", "conversations", "pages")
+REBALANCE_CONF = "colloquy.read.rebalance"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet table ``<sf_dir>/<name>.parquet``.
+
+    Text tables stored in fewer files than the session has cores (the test
+    tables are single files with a single row group, i.e. one scan task) are
+    spread round-robin over ``defaultParallelism`` partitions right after
+    the scan, so tokenising runs on every core.  A large table arrives in
+    many files and is left as scanned (no extra shuffle).  Set
+    ``colloquy.read.rebalance`` to ``never`` / ``always`` to override."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name not in TEXT_TABLES:
+        return df
+    mode = spark.conf.get(REBALANCE_CONF, "auto")
+    n = spark.sparkContext.defaultParallelism
+    if mode == "always" or (mode == "auto" and n > 1 and len(df.inputFiles()) < n):
+        return df.repartition(n)
+    return df
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str, with_extra: bool = False) -> DataFrame:
