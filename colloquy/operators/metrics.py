@@ -84,10 +84,13 @@ def roc_auc(pred: DataFrame, group_cols=(), label_col: str = "labels", score_col
                  .groupBy(*g, "_s")
                  .agg(F.sum(F.col("_pos").cast("long")).alias("_p"),
                       F.sum((~F.col("_pos")).cast("long")).alias("_n")))
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = per_score.groupBy(*g).agg(F.percentile_approx("_s", qs, 10000).alias("_b"))
-    keyed = per_score.join(bounds, g)
-    keyed = keyed.withColumn("_bk", F.size(F.filter("_b", lambda b: b < F.col("_s")))).drop("_b")
+    if buckets > 1:
+        qs = [i / buckets for i in range(1, buckets)]
+        bounds = per_score.groupBy(*g).agg(F.percentile_approx("_s", qs, 10000).alias("_b"))
+        keyed = per_score.join(bounds, g)
+        keyed = keyed.withColumn("_bk", F.size(F.filter("_b", lambda b: b < F.col("_s")))).drop("_b")
+    else:
+        keyed = per_score.withColumn("_bk", F.lit(0))
     tot = keyed.groupBy(*g, "_bk").agg(F.sum("_n").alias("_bn"))
     wb = Window.partitionBy(*g).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.withColumn("_off", F.coalesce(F.sum("_bn").over(wb), F.lit(0))).drop("_bn")
