@@ -72,16 +72,22 @@ def fit_models(train: DataFrame, names=REFERENCE_MODELS, kind: str = "count",
     (memory and disk, recomputed from lineage if an executor is lost)."""
     ensure_checkpoint_dir(train.sparkSession)  # tree models checkpoint node ids there
     params = params or {}
-    feat = fit_features(train, kind, vocab_size, num_features, text_col)
-    vectors = persist(feat.transform(train).select(label_col, "features"))
+    # the cleaned input feeds the vocabulary pass, the IDF pass and the
+    # vector transform: scan / join / clean it once
+    base = persist(train.select(label_col, text_col))
     try:
-        out = {}
-        for name in names:
-            est = classifier(name, label_col=label_col, **params.get(name, {}))
-            out[name] = PipelineModel(stages=list(feat.stages) + [est.fit(vectors)])
-        return out
+        feat = fit_features(base, kind, vocab_size, num_features, text_col)
+        vectors = persist(feat.transform(base).select(label_col, "features"))
+        try:
+            out = {}
+            for name in names:
+                est = classifier(name, label_col=label_col, **params.get(name, {}))
+                out[name] = PipelineModel(stages=list(feat.stages) + [est.fit(vectors)])
+            return out
+        finally:
+            vectors.unpersist()
     finally:
-        vectors.unpersist()
+        base.unpersist()
 
 
 def save_model(model: PipelineModel, path: str) -> None:
