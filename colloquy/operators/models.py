@@ -8,6 +8,8 @@ features for each model).  Training itself is distributed MLlib.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -35,6 +37,8 @@ DEFAULT_PARAMS = {
     LOGISTIC_REGRESSION: {},
 }
 REFERENCE_MODELS = (DECISION_TREE, RANDOM_FOREST, BOOSTED_TREES)
+# Target rows per partition of the cached training vectors.
+ROWS_PER_PARTITION = 20_000
 # -----------------------------------------------------------------------------
 
 _CLASSES = {
@@ -76,13 +80,26 @@ def fit_models(train: DataFrame, names=REFERENCE_MODELS, kind: str = "count",
     # vector transform: scan / join / clean it once
     base = persist(train.select(label_col, text_col))
     try:
-        feat = fit_features(base, kind, vocab_size, num_features, text_col)
-        vectors = persist(feat.transform(base).select(label_col, "features"))
+        # iterative fitting runs one job per pass, so partitions are sized to
+        # the data: about ROWS_PER_PARTITION rows each, but tree learners keep
+        # at least half the cores busy (they aggregate per partition).  A large
+        # training set keeps all of its partitions.
+        n = base.count()
+        sc = train.sparkSession.sparkContext
+        by_rows = max(1, math.ceil(n / ROWS_PER_PARTITION))
+        have = base.rdd.getNumPartitions()
+        parts = min(have, max(by_rows, math.ceil(sc.defaultParallelism / 2)))
+        work = base.coalesce(parts) if parts < have else base
+        feat = fit_features(work, kind, vocab_size, num_features, text_col)
+        vectors = persist(feat.transform(work).select(label_col, "features"))
         try:
             out = {}
             for name in names:
                 est = classifier(name, label_col=label_col, **params.get(name, {}))
-                out[name] = PipelineModel(stages=list(feat.stages) + [est.fit(vectors)])
+                data = vectors
+                if name == LOGISTIC_REGRESSION and by_rows < parts:
+                    data = vectors.coalesce(by_rows)  # one gradient per partition per pass
+                out[name] = PipelineModel(stages=list(feat.stages) + [est.fit(data)])
             return out
         finally:
             vectors.unpersist()
