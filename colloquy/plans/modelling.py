@@ -117,3 +117,27 @@ ROWS_ONLY = {
     "batch_b02": batch_b02,
     "red_flags_r01": red_flags_r01,
 }
+
+
+def training_best_e08(spark, sf):
+    """The full training run over all four classifiers: the chosen model
+    (best F1 on Validation) and its score."""
+    from colloquy.plans.training import run_training
+    labelled = labelled_clean(spark, sf).select("doc_id", "dialogue", "labels", "clean_text")
+    run = run_training(labelled, names=(models.DECISION_TREE, models.RANDOM_FOREST, models.LOGISTIC_REGRESSION))
+    return run.best
+
+
+def explained_batch_l01(spark, sf):
+    """classify-and-explain over the assembled conversations with the
+    documents as history: prediction, confidence, prompt, history prompt."""
+    from colloquy.operators.analysis import classify_and_explain
+    from colloquy.sources.tables import read_table
+    model = trained(spark, sf, models.LOGISTIC_REGRESSION)
+    hist = read_table(spark, sf, "documents").select("doc_id", F.col("text").alias("dialogue"))
+    out = classify_and_explain(model, dialogues(spark, sf).select("conv_id", "dialogue"), "conv_id", hist, "doc_id")
+    return out.select("conv_id", "prediction", r6("confidence").alias("confidence"), "prompt", "history_prompt")
+
+
+ROWS_ONLY["training_best_e08"] = training_best_e08
+ROWS_ONLY["explained_batch_l01"] = explained_batch_l01

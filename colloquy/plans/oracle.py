@@ -83,6 +83,16 @@ WITH d AS (SELECT doc_id,
                                   ELSE CAST(toxic AS VARCHAR) END AS labels
            FROM labels)
 SELECT doc_id, CAST(trim(labels) AS DOUBLE) AS labels FROM d WHERE trim(labels) IN ('0', '1')
+""",
+    "labelled_csv_s01": f"""
+WITH d AS (SELECT doc.text AS dialogue,
+                  CASE l.doc_id % 7 WHEN 0 THEN ' ' || CAST(l.toxic AS VARCHAR) || ' '
+                                    WHEN 1 THEN CAST(l.toxic AS VARCHAR) || '.0'
+                                    WHEN 2 THEN 'x' WHEN 3 THEN '' WHEN 4 THEN NULL
+                                    ELSE CAST(l.toxic AS VARCHAR) END AS labels
+           FROM documents doc JOIN labels l ON doc.doc_id = l.doc_id)
+SELECT dialogue, CAST(trim(labels) AS DOUBLE) AS labels, {CLEAN.format(t='dialogue')} AS clean_text
+FROM d WHERE trim(labels) IN ('0', '1') AND {CLEAN.format(t='dialogue')} <> ''
 """,
     "clean_text_p03": f"SELECT doc_id, {CLEAN.format(t='text')} AS clean_text FROM documents",
     "drop_empty_p04": "WITH " + LAB + " SELECT doc_id, labels, c AS clean_text FROM lab_nonempty",

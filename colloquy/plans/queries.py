@@ -111,6 +111,35 @@ def split_counts_x02(spark, sf):
     return split.split_counts(df).select("split", F.col("n").cast("bigint").alias("n"))
 
 
+_CSV_RUNS: dict = {}
+
+
+def labelled_csv(spark, sf):
+    """The labelled documents as the reference's CSV shape (dialogue,
+    personality, type, labels) with dirty label strings, written once per
+    session under the shared scratch folder."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _CSV_RUNS:
+        from colloquy.session import scratch_path
+        path = scratch_path(spark, "labelled-csv")
+        docs = read_table(spark, sf, "documents").select("doc_id", "text", "lang", "source")
+        labs = fixtures.dirty_labels(read_table(spark, sf, "labels"))
+        out = docs.join(labs, "doc_id").select(F.col("text").alias("dialogue"), F.col("lang").alias("personality"),
+                                               F.col("source").alias("type"), "labels")
+        (out.write.mode("overwrite").option("header", "true").option("quoteAll", "true")
+            .option("escape", '"').csv(path))
+        _CSV_RUNS[key] = path
+    return _CSV_RUNS[key]
+
+
+def labelled_csv_s01(spark, sf):
+    """S01 + P01-P04 through a file: read the multi-line CSV back with the
+    fixed schema and clean it as training does."""
+    from colloquy.sources.files import read_labelled
+    df = cleaning.load_and_clean(read_labelled(spark, labelled_csv(spark, sf)))
+    return df.select("dialogue", "labels", "clean_text")
+
+
 # ---------------------------------------------------------------- A
 def word_assoc_a02(spark, sf):
     return top_term_stats(spark, sf)
@@ -162,6 +191,7 @@ def preview_p09(spark, sf):
 
 EXACT = {
     "label_filter_p01": label_filter_p01,
+    "labelled_csv_s01": labelled_csv_s01,
     "clean_text_p03": clean_text_p03,
     "drop_empty_p04": drop_empty_p04,
     "tokens_f01": tokens_f01,

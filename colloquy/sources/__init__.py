@@ -14,4 +14,4 @@ from colloquy.sources.files import (  # noqa: F401
     upload_summary,
     write_predictions_csv,
 )
-from colloquy.sources.kafka import kafka_reader_options, kafka_writer_options  # noqa: F401
+from colloquy.sources.kafka import kafka_reader_options, kafka_writer_options, read_kafka_stream  # noqa: F401

@@ -58,3 +58,13 @@ def kafka_writer_options(env=None) -> dict:
     }
     opts.update(_security(env))
     return opts
+
+
+def read_kafka_stream(spark, env=None, max_offsets_per_trigger: int | None = None):
+    """The input topic as a streaming frame ``key, value, partition,
+    offset, timestamp`` (value as text).  Needs the Kafka connector on the
+    classpath; feed the result to ``streaming.ScoringStream``."""
+    opts = kafka_reader_options(env, max_offsets_per_trigger)
+    raw = spark.readStream.format("kafka").options(**opts).load()
+    return raw.selectExpr("CAST(key AS STRING) AS key", "CAST(value AS STRING) AS value",
+                          "partition", "offset", "timestamp")
