@@ -58,6 +58,15 @@ def clean_text(c) -> Column:
 _JAVA_WHITESPACE = " \t\n\u000b\f\r"
 
 
+def has_clean_text(c) -> Column:
+    """True when ``clean_text(c)`` is non-empty (null for null input), without
+    building the cleaned string: a regex *find* that stops at the first
+    letter or space.  Used for the training-time empty filter, which
+    Catalyst pushes into the scan; the cleaned text itself is then computed
+    once, in the projection."""
+    return F.lower(_col(c)).rlike("[a-zA-Z ]")
+
+
 def tokenize(c, clean_input: bool = False) -> Column:
     """Split like MLlib's ``Tokenizer``: lower-case, split on each single
     whitespace character; leading/inner empty tokens are kept, trailing ones

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.functions.text import clean_text
+from colloquy.functions.text import clean_text, has_clean_text
 
 VALID_LABELS = ("0", "1")
 
@@ -23,12 +23,15 @@ def with_clean_text(df: DataFrame, text_col: str = "dialogue", out: str = "clean
     return df.withColumn(out, clean_text(text_col))
 
 
-def drop_empty(df: DataFrame, col: str = "clean_text") -> DataFrame:
+def drop_empty(df: DataFrame, col: str = "clean_text", source: str | None = None) -> DataFrame:
     """P04 (training only): drop rows whose cleaned text is empty or null.
-    Whitespace-only text is kept."""
+    Whitespace-only text is kept.  With ``source`` (the text ``col`` was
+    cleaned from) the test runs on the source text without re-cleaning it."""
+    if source is not None:
+        return df.filter(has_clean_text(source))
     return df.filter(F.col(col) != "")
 
 
 def load_and_clean(df: DataFrame, text_col: str = "dialogue", label_col: str = "labels") -> DataFrame:
     """P01-P04 in the order training uses them."""
-    return drop_empty(with_clean_text(filter_labels(df, label_col), text_col))
+    return drop_empty(with_clean_text(filter_labels(df, label_col), text_col), source=text_col)

@@ -94,6 +94,26 @@ def idf_table(df: DataFrame, words_col: str = "words", stop_words=ENGLISH_STOP_W
             .withColumn("idf", F.log((m + F.lit(1.0)) / (F.col("doc_freq") + F.lit(1.0)))))
 
 
+def idf_from_tf(tf: DataFrame, docs: DataFrame) -> DataFrame:
+    """F05 from a term-frequency frame: every ``(key, term)`` row is one
+    document containing the term, so ``doc_freq`` is a count per term of
+    ``tf``.  Reusing ``tf`` means the text is tokenised once for both TF
+    and IDF (Spark reuses the shared exchange); ``docs`` only supplies the
+    document count (a column-pruned count)."""
+    m = docs.select(F.count(F.lit(1)).cast("double")).scalar()
+    # count rows with tf > 0 (all of them) rather than rows: the expression
+    # keeps the tf column alive, so the tf aggregate is identical on both
+    # branches and its shuffle is reused instead of tokenising twice
+    return (tf.groupBy("term").agg(F.count(F.when(F.col("tf") > 0, 1)).alias("doc_freq"))
+              .withColumn("idf", F.log((m + F.lit(1.0)) / (F.col("doc_freq") + F.lit(1.0)))))
+
+
+def tfidf_table(docs: DataFrame, key: str, words_col: str = "words") -> DataFrame:
+    """F04-F06 in one plan: ``(key, term, tfidf)`` with one tokenising pass."""
+    tf = term_frequency(docs, key, words_col)
+    return tfidf(tf, idf_from_tf(tf, docs), key)
+
+
 def tfidf(tf: DataFrame, idf: DataFrame, key: str, bounded_idf: bool = False) -> DataFrame:
     """``(key, term, tfidf)`` = tf x idf, no length normalisation.  The
     idf side is broadcast only when its size is bounded (a capped

@@ -99,7 +99,7 @@ def red_flags_r01(spark, sf):
     weights = spark.createDataFrame([(vocab[i], float(imp[i])) for i in range(len(vocab)) if imp[i] > 0],
                                     "word string, importance double")
     docs = features.text_features(dialogues(spark, sf).select("conv_id", "dialogue"))
-    tw = features.tfidf(features.term_frequency(docs, "conv_id"), features.idf_table(docs), "conv_id")
+    tw = features.tfidf_table(docs, "conv_id")
     out = words.red_flag_terms(tw, weights, "conv_id", 5)
     return out.select("conv_id", F.col("rank").cast("bigint").alias("rank"), "word", r6("score").alias("score"))
 

@@ -27,7 +27,7 @@ def r6(c) -> F.Column:
 def labelled_clean(spark: SparkSession, sf: str, with_extra: bool = False) -> DataFrame:
     """documents x labels -> clean -> drop empty -> words -> filtered words."""
     df = labelled_documents(spark, sf, with_extra=with_extra)
-    df = cleaning.drop_empty(cleaning.with_clean_text(df))
+    df = cleaning.drop_empty(cleaning.with_clean_text(df), source="dialogue")
     df = features.with_tokens(df)
     return features.with_filtered_words(df)
 
@@ -59,7 +59,7 @@ def clean_text_p03(spark, sf):
 
 
 def drop_empty_p04(spark, sf):
-    df = cleaning.drop_empty(cleaning.with_clean_text(labelled_documents(spark, sf)))
+    df = cleaning.drop_empty(cleaning.with_clean_text(labelled_documents(spark, sf)), source="dialogue")
     return df.select("doc_id", "labels", "clean_text")
 
 
@@ -92,8 +92,7 @@ def idf_f05(spark, sf):
 
 
 def tfidf_f06(spark, sf):
-    docs = all_docs_words(spark, sf)
-    tw = features.tfidf(features.term_frequency(docs, "doc_id"), features.idf_table(docs), "doc_id")
+    tw = features.tfidf_table(all_docs_words(spark, sf), "doc_id")
     return tw.select("doc_id", "term", r6("tfidf").alias("tfidf"))
 
 

@@ -74,3 +74,13 @@ def test_long_form_equals_array_form(spark):
     b = (docs.select("doc_id", F.explode("filtered_words").alias("term"))
              .groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf")))
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_has_clean_text_equals_clean_filter(spark):
+    from colloquy.functions.text import has_clean_text
+    rows = [(t,) for t in ["", "123!", "İ", "K", "é", "  ", "a", None, "½ü"]]
+    df = spark.createDataFrame(rows, "t string").withColumn("c", clean_text("t"))
+    got = df.select((F.col("c") != "").alias("a"), has_clean_text("t").alias("b")).collect()
+    assert all(r["a"] == r["b"] for r in got)
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    assert docs.filter((clean_text("text") != "") != has_clean_text("text")).count() == 0
