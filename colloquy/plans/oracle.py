@@ -96,9 +96,9 @@ FROM d WHERE trim(labels) IN ('0', '1') AND {CLEAN.format(t='dialogue')} <> ''
 """,
     "clean_text_p03": f"SELECT doc_id, {CLEAN.format(t='text')} AS clean_text FROM documents",
     "drop_empty_p04": "WITH " + LAB + " SELECT doc_id, labels, c AS clean_text FROM lab_nonempty",
-    "tokens_f01": "WITH " + DOCS + " SELECT doc_id, to_json(words) AS words_json, "
+    "tokens_f01": "WITH " + DOCS + " SELECT doc_id, CAST(to_json(words) AS VARCHAR) AS words_json, "
                   "CAST(len(words) AS BIGINT) AS n_words FROM docs_words",
-    "stopwords_f02": "WITH " + DOCS + " SELECT doc_id, to_json(fw) AS filtered_json, "
+    "stopwords_f02": "WITH " + DOCS + " SELECT doc_id, CAST(to_json(fw) AS VARCHAR) AS filtered_json, "
                      "CAST(len(fw) AS BIGINT) AS n_filtered FROM docs_fw",
     "vocab_f03": "WITH " + DOCS + """,
 cnt AS (SELECT term, CAST(count(*) AS BIGINT) AS term_count FROM (SELECT unnest(fw) AS term FROM docs_fw) GROUP BY term),
