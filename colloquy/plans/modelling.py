@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from colloquy.operators import features, metrics, models, scoring, split, words
+from colloquy.operators import cleaning, features, metrics, models, scoring, split, words
 from colloquy.plans.queries import dialogues, labelled_clean, r6
 from colloquy.sources.tables import labelled_documents
 
@@ -57,8 +57,7 @@ def model_metrics_e07(spark, sf):
 def hashed_tf_f07(spark, sf):
     """hashed term counts (10,000 buckets) per labelled document:
     non-zero buckets and total count."""
-    df = labelled_documents(spark, sf)
-    df = df.withColumn("clean_text", F.regexp_replace(F.lower("dialogue"), "[^a-zA-Z ]", ""))
+    df = cleaning.with_clean_text(labelled_documents(spark, sf))
     feat = models.fit_features(df, kind="hash")
     out = features.vector_summary(feat.transform(df), "raw_features")
     return out.select("doc_id", "n_nonzero", F.col("total").cast("bigint").alias("total"))
