@@ -37,6 +37,11 @@ def processed_t05(spark, sf):
         F.col("processed").cast("bigint").alias("processed"))
 
 
+def status_counts_t05(spark, sf):
+    from colloquy.streaming import status_counts
+    return status_counts(messages(spark, sf)).select("status", F.col("messages").cast("bigint").alias("messages"))
+
+
 def feed_t06(spark, sf):
     ok = accepted(decode_messages(messages(spark, sf)))
     n = F.length("text")
@@ -76,6 +81,7 @@ EXACT = {
     "decode_t01": decode_t01,
     "rejects_k05": rejects_k05,
     "processed_t05": processed_t05,
+    "status_counts_t05": status_counts_t05,
     "feed_t06": feed_t06,
 }
 ROWS_ONLY = {
@@ -105,6 +111,8 @@ SQL = {
     "decode_t01": _MSGS + ' SELECT key, "offset", text FROM ok',
     "rejects_k05": _MSGS + ' SELECT key, "offset", value, reject_reason FROM dec WHERE reject_reason IS NOT NULL',
     "processed_t05": _MSGS + " SELECT CAST(count(*) AS BIGINT) AS processed FROM ok",
+    "status_counts_t05": _MSGS + """ SELECT coalesce(reject_reason, 'processed') AS status,
+        CAST(count(*) AS BIGINT) AS messages FROM dec GROUP BY ALL""",
     "feed_t06": _MSGS + """,
 s AS (SELECT key, "offset", text, CAST(length(text) % 3 AS DOUBLE) AS prediction,
              length(text) / (length(text) + CAST(100.0 AS DOUBLE)) AS confidence FROM ok),

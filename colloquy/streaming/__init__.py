@@ -6,4 +6,10 @@ and on streaming frames; the source (Kafka, files) only decides how
 """
 
 from colloquy.streaming.decode import accepted, decode_messages, encode_results, rejects  # noqa: F401
-from colloquy.streaming.runner import ScoringStream, latest_feed, processed_count  # noqa: F401
+from colloquy.streaming.runner import (  # noqa: F401
+    ScoringStream,
+    latest_feed,
+    processed_count,
+    start_status_counts,
+    status_counts,
+)

@@ -80,6 +80,28 @@ class ScoringStream:
         return sum(p.get("numInputRows", 0) for p in (self.query.recentProgress or []))
 
 
+def status_counts(messages: DataFrame) -> DataFrame:
+    """T05 as an aggregation: messages per status (``processed`` or the
+    reject reason).  On a streaming frame this is a stateful running count
+    (state store, complete mode); partial aggregation keeps the per-batch
+    shuffle to one row per status per task."""
+    decoded = decode_messages(messages)
+    status = F.coalesce(F.col("reject_reason"), F.lit("processed"))
+    return decoded.groupBy(status.alias("status")).agg(F.count(F.lit(1)).alias("messages"))
+
+
+def start_status_counts(source: DataFrame, path: str, checkpoint: str, available_now: bool = True):
+    """Run ``status_counts`` on a stream; each trigger rewrites the complete
+    (small: one row per status) table at ``path``."""
+    def write(batch: DataFrame, _batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(path)
+
+    w = (status_counts(source).writeStream.outputMode("complete").foreachBatch(write)
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w
+    return w.start()
+
+
 def processed_count(results: DataFrame) -> DataFrame:
     """T05 on the result table: total processed messages (one row)."""
     return results.agg(F.count(F.lit(1)).alias("processed"))

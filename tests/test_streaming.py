@@ -69,3 +69,17 @@ def test_score_is_source_agnostic(spark, model):
     ok = decode_messages(msgs).filter(F.col("reject_reason").isNull())
     b = scoring.score(model, ok, text_col="text").select("key", "offset", "prediction")
     assert a.exceptAll(b).count() == 0
+
+
+def test_running_status_counts(spark, tmp_path):
+    from colloquy.streaming import start_status_counts, status_counts
+    msgs = messages(spark, SF01)
+    src_dir = str(tmp_path / "in")
+    msgs.repartition(4, "partition").write.parquet(src_dir)
+    src = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 1).parquet(src_dir)
+    q = start_status_counts(src, str(tmp_path / "counts"), str(tmp_path / "ckpt"))
+    q.awaitTermination()
+    got = {r["status"]: r["messages"] for r in spark.read.parquet(str(tmp_path / "counts")).collect()}
+    want = {r["status"]: r["messages"] for r in status_counts(msgs).collect()}
+    assert got == want and set(got) == {"processed", "bad_json", "no_text"}
+    assert sum(got.values()) == msgs.count()
