@@ -72,15 +72,15 @@ def vocabulary(df: DataFrame, words_col: str = "words", size: int = DEFAULT_VOCA
                min_df: int = 1, stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
     """the ``size`` most frequent terms by corpus count,
     ``(term, term_count, term_index)``; ties broken by term so the cut is
-    deterministic.  The top-k runs as per-task top-k + merge of bounded
-    candidate lists (TakeOrderedAndProject), so only ``size`` rows per task
-    meet; the index window then runs over at most ``size`` rows."""
+    deterministic.  The cut uses ``top_k_by_count`` (count threshold from a
+    histogram, then an ordered limit over the few rows above it); the index
+    window then runs over at most ``size`` rows."""
     counts = (doc_terms(df, None, words_col, stop_words)
               .groupBy("term").agg(F.count(F.lit(1)).alias("term_count")))
     if min_df > 1:
         dfreq = document_frequency(df, words_col, stop_words).filter(F.col("doc_freq") >= min_df)
         counts = counts.join(dfreq.select("term"), "term", "left_semi")
-    top = counts.orderBy(F.desc("term_count"), F.asc("term")).limit(size)
+    top = top_k_by_count(counts, "term_count", "term", size)
     w = Window.orderBy(F.desc("term_count"), F.asc("term"))
     return top.withColumn("term_index", (F.row_number().over(w) - 1).cast("int"))
 
@@ -94,6 +94,23 @@ def idf_table(df: DataFrame, words_col: str = "words", stop_words=ENGLISH_STOP_W
             .withColumn("idf", F.log((m + F.lit(1.0)) / (F.col("doc_freq") + F.lit(1.0)))))
 
 
+def top_k_by_count(counts: DataFrame, count_col: str, key_col: str, k: int) -> DataFrame:
+    """The ``k`` rows with the largest integer ``count_col`` (ties by
+    ``key_col`` ascending), exactly, without merging ``k`` candidates from
+    every partition in one task.
+
+    A histogram ``count -> number of keys`` (one row per distinct count
+    value) gives the smallest count ``c`` whose keys still start inside the
+    top k; only rows with ``count >= c`` -- about k of them unless there is
+    a large tie at ``c`` -- go into the final ordered limit."""
+    hist = counts.groupBy(count_col).agg(F.count(F.lit(1)).alias("_n"))
+    above = Window.orderBy(F.desc(count_col)).rowsBetween(Window.unboundedPreceding, -1)
+    cut = (hist.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
+               .filter(F.col("_above") < k).agg(F.min(count_col)).scalar())
+    return (counts.filter(F.col(count_col) >= cut)
+                  .orderBy(F.desc(count_col), F.asc(key_col)).limit(k))
+
+
 def idf_from_tf(tf: DataFrame, docs: DataFrame) -> DataFrame:
     """F05 from a term-frequency frame: every ``(key, term)`` row is one
     document containing the term, so ``doc_freq`` is a count per term of

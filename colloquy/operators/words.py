@@ -99,12 +99,17 @@ def top_features(spark: SparkSession, model, n: int = 10) -> DataFrame:
     return df.orderBy(F.desc("importance"), F.asc("word")).limit(n)
 
 
-def red_flag_terms(tfidf_long: DataFrame, weights: DataFrame, key: str, k: int = 5) -> DataFrame:
+def red_flag_terms(tfidf_long: DataFrame, weights: DataFrame, key: str, k: int = 5,
+                   max_terms: int | None = None) -> DataFrame:
     """Per dialogue, the ``k`` terms with the largest tfidf x weight
     (weights = term importances or |coefficients|), ``(key, rank, word, score)``.
     The window is partitioned by dialogue, so one task holds one dialogue's
     distinct terms at a time."""
     w = weights.select(F.col("word").alias("term"), F.col("importance").alias("_w")).filter(F.col("_w") > 0)
+    if max_terms is not None:  # a model's vocabulary: bounded, ship it to every task
+        if max_terms > MAX_BROADCAST_TERMS:
+            raise ValueError(f"weight list bound {max_terms} exceeds broadcast limit {MAX_BROADCAST_TERMS}")
+        w = F.broadcast(w)
     scored = (tfidf_long.join(w, "term")
               .select(key, F.col("term").alias("word"), (F.col("tfidf") * F.col("_w")).alias("score")))
     win = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("word"))

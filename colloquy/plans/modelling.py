@@ -99,7 +99,7 @@ def red_flags_r01(spark, sf):
                                     "word string, importance double")
     docs = features.text_features(dialogues(spark, sf).select("conv_id", "dialogue"))
     tw = features.tfidf_table(docs, "conv_id")
-    out = words.red_flag_terms(tw, weights, "conv_id", 5)
+    out = words.red_flag_terms(tw, weights, "conv_id", 5, max_terms=len(vocab))
     return out.select("conv_id", F.col("rank").cast("bigint").alias("rank"), "word", r6("score").alias("score"))
 
 

@@ -84,3 +84,14 @@ def test_has_clean_text_equals_clean_filter(spark):
     assert all(r["a"] == r["b"] for r in got)
     docs = spark.read.parquet(f"{SF01}/documents.parquet")
     assert docs.filter((clean_text("text") != "") != has_clean_text("text")).count() == 0
+
+
+def test_top_k_by_count_equals_plain_sort(spark):
+    from colloquy.operators.features import top_k_by_count
+    docs = features.text_features(spark.read.parquet(f"{SF01}/documents.parquet")
+                                  .select("doc_id", F.col("text").alias("dialogue")))
+    counts = features.doc_terms(docs, None).groupBy("term").agg(F.count(F.lit(1)).alias("c"))
+    for k in (1, 7, 100, 20000, 10 ** 6):
+        a = [tuple(r) for r in top_k_by_count(counts, "c", "term", k).collect()]
+        b = [tuple(r) for r in counts.orderBy(F.desc("c"), F.asc("term")).limit(k).collect()]
+        assert a == b, k
