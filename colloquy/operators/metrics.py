@@ -22,22 +22,27 @@ def _is_pos(label: Column) -> Column:
     return label > F.lit(0.5)
 
 
+def _weight(weight_col):
+    return F.count(F.lit(1)) if weight_col is None else F.sum(weight_col)
+
+
 def confusion_counts(pred: DataFrame, group_cols=(), label_col: str = "labels",
-                     prediction_col: str = "prediction") -> DataFrame:
+                     prediction_col: str = "prediction", weight_col: str | None = None) -> DataFrame:
     """``(group..., label, prediction, n)``; partial aggregation makes the
-    shuffle a handful of rows per task whatever the input size."""
+    shuffle a handful of rows per task whatever the input size.  With
+    ``weight_col`` each input row stands for that many predictions."""
     return (pred.groupBy(*group_cols, F.col(label_col).alias("label"), F.col(prediction_col).alias("prediction"))
-                .agg(F.count(F.lit(1)).alias("n")))
+                .agg(_weight(weight_col).cast("bigint").alias("n")))
 
 
 def classification_metrics(pred: DataFrame, group_cols=(), label_col: str = "labels",
-                           prediction_col: str = "prediction") -> DataFrame:
+                           prediction_col: str = "prediction", weight_col: str | None = None) -> DataFrame:
     """Accuracy, weightedPrecision, weightedRecall, weighted F1 per
     group, with MLlib's definitions: classes are the true labels present;
     precision of a never-predicted class is 0; F1 of a class is 0 when
     precision + recall is 0."""
     g = list(group_cols)
-    counts = confusion_counts(pred, g, label_col, prediction_col)
+    counts = confusion_counts(pred, g, label_col, prediction_col, weight_col)
     by_true = counts.select(*g, F.col("label").alias("cls"), F.col("n").alias("support"),
                             F.lit(0).cast("bigint").alias("predicted"),
                             F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0).alias("tp"))
@@ -64,7 +69,7 @@ def classification_metrics(pred: DataFrame, group_cols=(), label_col: str = "lab
 
 
 def roc_auc(pred: DataFrame, group_cols=(), label_col: str = "labels", score_col: str = "score",
-            buckets: int = 256) -> DataFrame:
+            buckets: int = 256, weight_col: str | None = None) -> DataFrame:
     """Exact ROC AUC per group, ``(group..., auc)``; null when a group
     has no positives or no negatives.
 
@@ -80,10 +85,11 @@ def roc_auc(pred: DataFrame, group_cols=(), label_col: str = "labels", score_col
         pred = pred.withColumn("_g0", F.lit(0))
         g = ["_g0"]
     s = F.col(score_col).cast("double")
-    per_score = (pred.select(*g, s.alias("_s"), _is_pos(F.col(label_col)).alias("_pos"))
+    wt = F.lit(1).cast("long") if weight_col is None else F.col(weight_col).cast("long")
+    per_score = (pred.select(*g, s.alias("_s"), _is_pos(F.col(label_col)).alias("_pos"), wt.alias("_wt"))
                  .groupBy(*g, "_s")
-                 .agg(F.sum(F.col("_pos").cast("long")).alias("_p"),
-                      F.sum((~F.col("_pos")).cast("long")).alias("_n")))
+                 .agg(F.sum(F.when(F.col("_pos"), F.col("_wt")).otherwise(0)).alias("_p"),
+                      F.sum(F.when(F.col("_pos"), 0).otherwise(F.col("_wt"))).alias("_n")))
     if buckets > 1:
         qs = [i / buckets for i in range(1, buckets)]
         bounds = per_score.groupBy(*g).agg(F.percentile_approx("_s", qs, 10000).alias("_b"))
@@ -109,7 +115,8 @@ def roc_auc(pred: DataFrame, group_cols=(), label_col: str = "labels", score_col
 
 
 def confusion_matrix(pred: DataFrame, group_cols=(), label_col: str = "labels",
-                     prediction_col: str = "prediction", classes=(0.0, 1.0)) -> DataFrame:
+                     prediction_col: str = "prediction", classes=(0.0, 1.0),
+                     weight_col: str | None = None) -> DataFrame:
     """One row per true label (``labels_prediction`` as text, like
     ``crosstab``) and one bigint column per predicted class; every class in
     ``classes`` gets a column even when never predicted."""
@@ -117,20 +124,33 @@ def confusion_matrix(pred: DataFrame, group_cols=(), label_col: str = "labels",
     names = [f"predicted_{int(c)}" for c in classes]
     pr = F.col(prediction_col).cast("double")
     pname = F.concat(F.lit("predicted_"), pr.cast("int").cast("string"))
+    wt = [] if weight_col is None else [F.col(weight_col).alias("_wt")]
     base = pred.select(*g, F.col(label_col).cast("double").cast("string").alias("labels_prediction"),
-                       pname.alias("_pc"))
-    pv = base.groupBy(*g, "labels_prediction").pivot("_pc", names).agg(F.count(F.lit(1)))
+                       pname.alias("_pc"), *wt)
+    pv = base.groupBy(*g, "labels_prediction").pivot("_pc", names).agg(_weight(None if not wt else "_wt"))
     return pv.select(*g, "labels_prediction", *[F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n) for n in names])
 
 
+def prediction_counts(pred: DataFrame, group_cols, label_col: str = "labels",
+                      prediction_col: str = "prediction", score_col: str = "score") -> DataFrame:
+    """Predictions collapsed to ``(group..., label, prediction, score,
+    _count)``.  Every metric can read this instead of the predictions, so a
+    costly prediction frame (model transforms) is computed once: the
+    consumers share this aggregate's shuffle."""
+    return (pred.groupBy(*group_cols, label_col, prediction_col, score_col)
+                .agg(F.count(F.lit(1)).alias("_count")))
+
+
 def metrics_table(pred: DataFrame, model_col: str = "model", dataset_col: str = "dataset",
                   label_col: str = "labels", prediction_col: str = "prediction",
                   score_col: str = "score", digits: int = 6) -> DataFrame:
     """Long table ``Model, Dataset, Metric, Score`` for all models and
-    datasets of a unioned prediction frame (one pass for counts, one for AUC)."""
+    datasets of a unioned prediction frame.  The predictions are read once
+    (``prediction_counts``); weighted metrics and AUC both derive from it."""
     g = [model_col, dataset_col]
-    m = classification_metrics(pred, g, label_col, prediction_col)
-    a = roc_auc(pred, g, label_col, score_col)
+    counts = prediction_counts(pred, g, label_col, prediction_col, score_col)
+    m = classification_metrics(counts, g, label_col, prediction_col, weight_col="_count")
+    a = roc_auc(counts, g, label_col, score_col, weight_col="_count")
     wide = m.join(a, g, "left").select(
         F.col(model_col).alias("Model"), F.col(dataset_col).alias("Dataset"),
         F.col("accuracy").alias("Accuracy"), F.col("weighted_precision").alias("Precision"),

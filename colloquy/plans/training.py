@@ -38,12 +38,13 @@ def run_training(labelled: DataFrame, key: str = "doc_id", names=models.REFERENC
                                               "prediction", "confidence")
         union = p if union is None else union.unionByName(p)
     table = metrics.metrics_table(union, score_col="confidence")
+    counts = metrics.prediction_counts(union, ["model", "dataset"], score_col="confidence")
     best = metrics.pick_best(table, select_dataset, select_metric)
     row = best.first()
     best_name = row["best_model"] if row else next(iter(fitted))
     if model_path:
         models.save_model(fitted[best_name], model_path)
-    return TrainingRun(fitted, table, metrics.confusion_matrix(union, ["model", "dataset"]),
+    return TrainingRun(fitted, table, metrics.confusion_matrix(counts, ["model", "dataset"], weight_col="_count"),
                        split.split_counts(parts, "dataset"), best, best_name)
 
 

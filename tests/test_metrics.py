@@ -78,3 +78,15 @@ def test_metrics_table_best_and_report(spark, preds):
     lines = metrics.report_lines(table).collect()
     assert all(ln["line"].startswith(ln["Metric"] + ": ") for ln in lines)
     assert all(len(ln["line"].split(": ")[1].split(".")[1]) == 4 for ln in lines)
+
+
+def test_weighted_forms_equal_row_forms(spark, preds):
+    g = ["model", "dataset"]
+    counts = metrics.prediction_counts(preds, g)
+    a = metrics.classification_metrics(preds, g)
+    b = metrics.classification_metrics(counts, g, weight_col="_count")
+    assert a.exceptAll(b).count() == 0
+    assert metrics.roc_auc(preds, g).exceptAll(metrics.roc_auc(counts, g, weight_col="_count")).count() == 0
+    c1 = metrics.confusion_matrix(preds, g)
+    c2 = metrics.confusion_matrix(counts, g, weight_col="_count")
+    assert c1.exceptAll(c2).count() == 0 and c2.exceptAll(c1).count() == 0
