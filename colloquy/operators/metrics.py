@@ -143,14 +143,17 @@ def prediction_counts(pred: DataFrame, group_cols, label_col: str = "labels",
 
 def metrics_table(pred: DataFrame, model_col: str = "model", dataset_col: str = "dataset",
                   label_col: str = "labels", prediction_col: str = "prediction",
-                  score_col: str = "score", digits: int = 6) -> DataFrame:
+                  score_col: str = "score", digits: int = 6, weight_col: str | None = None) -> DataFrame:
     """Long table ``Model, Dataset, Metric, Score`` for all models and
     datasets of a unioned prediction frame.  The predictions are read once
     (``prediction_counts``); weighted metrics and AUC both derive from it."""
     g = [model_col, dataset_col]
-    counts = prediction_counts(pred, g, label_col, prediction_col, score_col)
-    m = classification_metrics(counts, g, label_col, prediction_col, weight_col="_count")
-    a = roc_auc(counts, g, label_col, score_col, weight_col="_count")
+    if weight_col is None:
+        counts, weight_col = prediction_counts(pred, g, label_col, prediction_col, score_col), "_count"
+    else:  # already counted (e.g. a materialised ``prediction_counts``)
+        counts = pred
+    m = classification_metrics(counts, g, label_col, prediction_col, weight_col=weight_col)
+    a = roc_auc(counts, g, label_col, score_col, weight_col=weight_col)
     wide = m.join(a, g, "left").select(
         F.col(model_col).alias("Model"), F.col(dataset_col).alias("Dataset"),
         F.col("accuracy").alias("Accuracy"), F.col("weighted_precision").alias("Precision"),

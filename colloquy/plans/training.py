@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.operators import metrics, models, scoring, split, words
+from colloquy.session import materialize
 
 
 @dataclass
@@ -37,8 +38,11 @@ def run_training(labelled: DataFrame, key: str = "doc_id", names=models.REFERENC
         p = scoring.score(model, held).select(F.lit(name).alias("model"), key, "dataset", "labels",
                                               "prediction", "confidence")
         union = p if union is None else union.unionByName(p)
-    table = metrics.metrics_table(union, score_col="confidence")
-    counts = metrics.prediction_counts(union, ["model", "dataset"], score_col="confidence")
+    # three consumers (metrics, confusion, best pick) and four model
+    # transforms behind them: checkpoint the small counted form once to the
+    # shared folder (cuts the lineage; survives executor loss)
+    counts = materialize(metrics.prediction_counts(union, ["model", "dataset"], score_col="confidence"))
+    table = metrics.metrics_table(counts, score_col="confidence", weight_col="_count")
     best = metrics.pick_best(table, select_dataset, select_metric)
     row = best.first()
     best_name = row["best_model"] if row else next(iter(fitted))
