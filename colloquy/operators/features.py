@@ -16,7 +16,7 @@ from pyspark.ml.feature import CountVectorizer, HashingTF, IDF, StopWordsRemover
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.functions.text import ENGLISH_STOP_WORDS, is_stop_word, remove_stop_words, tokenize
+from colloquy.functions.text import ENGLISH_STOP_WORDS, clean_text, is_stop_word, remove_stop_words, tokenize
 
 # --- fixed values -----------------------------------------------------------
 DEFAULT_VOCAB_SIZE = 20000
@@ -102,7 +102,10 @@ def top_k_by_count(counts: DataFrame, count_col: str, key_col: str, k: int) -> D
     A histogram ``count -> number of keys`` (one row per distinct count
     value) gives the smallest count ``c`` whose keys still start inside the
     top k; only rows with ``count >= c`` -- about k of them unless there is
-    a large tie at ``c`` -- go into the final ordered limit."""
+    a large tie at ``c`` -- go into the final ordered limit.  The histogram
+    window is a single partition, but it is small by construction: k
+    distinct count values need at least 1 + 2 + ... + k tokens, so there are
+    at most sqrt(2 x total count) of them (4.5 M for 10^13 tokens)."""
     hist = counts.groupBy(count_col).agg(F.count(F.lit(1)).alias("_n"))
     above = Window.orderBy(F.desc(count_col)).rowsBetween(Window.unboundedPreceding, -1)
     cut = (hist.withColumn("_above", F.coalesce(F.sum("_n").over(above), F.lit(0)))
@@ -144,7 +147,6 @@ def tfidf(tf: DataFrame, idf: DataFrame, key: str, bounded_idf: bool = False) ->
 
 def text_features(df: DataFrame, text_col: str = "dialogue") -> DataFrame:
     """clean_text, words and filtered_words in one projection."""
-    from colloquy.functions.text import clean_text
     return (df.withColumn("clean_text", clean_text(text_col))
               .withColumn("words", tokenize("clean_text", clean_input=True))
               .withColumn("filtered_words", remove_stop_words("words")))
