@@ -20,7 +20,8 @@ def all_queries() -> dict:
 def all_oracles() -> dict:
     from colloquy.plans import oracle
     out = dict(oracle.SQL)
-    for mod_name in ("colloquy.plans.evaluation", "colloquy.plans.history", "colloquy.plans.streams"):
+    for mod_name in ("colloquy.plans.evaluation", "colloquy.plans.modelling", "colloquy.plans.history",
+                     "colloquy.plans.streams"):
         try:
             mod = __import__(mod_name, fromlist=["SQL"])
         except ImportError:

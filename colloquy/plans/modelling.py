@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from colloquy.operators import cleaning, features, metrics, models, scoring, split, words
+from colloquy.plans.oracle import CLEAN, D01
 from colloquy.plans.queries import dialogues, labelled_clean, r6
 from colloquy.sources.tables import labelled_documents
 
@@ -140,3 +141,27 @@ def explained_batch_l01(spark, sf):
 
 ROWS_ONLY["training_best_e08"] = training_best_e08
 ROWS_ONLY["explained_batch_l01"] = explained_batch_l01
+
+
+def rule_batch_b02(spark, sf):
+    """B01 + B02 with the rule stand-in model: every assembled conversation
+    scored and formatted for display (exactly checkable)."""
+    from colloquy.sources.fixtures import RuleModel
+    scored = scoring.score(RuleModel(), dialogues(spark, sf).select("conv_id", "dialogue"))
+    return scoring.classified_batch(scored)
+
+
+EXACT = {"rule_batch_b02": rule_batch_b02}
+
+SQL = {
+    "rule_batch_b02": "WITH " + D01 + f""",
+s AS (SELECT conv_id, dialogue, length({CLEAN.format(t='dialogue')}) AS n FROM d01),
+p AS (SELECT conv_id, dialogue, n / (n + CAST(100.0 AS DOUBLE)) AS c FROM s),
+u AS (SELECT *, CASE WHEN c >= 0.5 THEN 1 ELSE 0 END AS pred,
+             CAST(floor(c * 100.0 * 100.0 + 0.5) AS BIGINT) AS u2 FROM p)
+SELECT conv_id, dialogue,
+       CASE WHEN pred = 0 THEN 'Non-Scam (Safe)' ELSE 'Potentially Scam' END AS predicted_label,
+       CASE WHEN c IS NULL OR c = 0 THEN NULL
+            ELSE CAST(u2 // 100 AS VARCHAR) || '.' || lpad(CAST(u2 % 100 AS VARCHAR), 2, '0') || '%' END AS confidence
+FROM u""",
+}

@@ -50,17 +50,17 @@ def feed_t06(spark, sf):
     return latest_feed(scored, 5)
 
 
-def run_stream(spark, sf):
-    """Write the messages as files, stream them through the forest model
-    (one file per micro-batch) and return the output folder."""
-    key = (spark.sparkContext.applicationId, sf)
+def run_stream(spark, sf, rule: bool = False):
+    """Write the messages as files, stream them through the forest model (or
+    the rule stand-in) one file per micro-batch, return the output folder."""
+    key = (spark.sparkContext.applicationId, sf, rule)
     if key in _RUNS:
         return _RUNS[key]
     base = scratch_path(spark, "stream")
     msgs = messages(spark, sf)
     msgs.repartition(4, "partition").write.parquet(base + "/in")
     src = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 1).parquet(base + "/in")
-    model = trained(spark, sf, models.RANDOM_FOREST)
+    model = fixtures.RuleModel() if rule else trained(spark, sf, models.RANDOM_FOREST)
     stream = ScoringStream(model, src, base + "/results", base + "/rejects", base + "/checkpoint",
                            encoded_path=base + "/encoded").start(available_now=True)
     stream.await_done()
@@ -73,6 +73,19 @@ def stream_score_t02(spark, sf):
     return out.select("key", "offset", "prediction", r6("confidence").alias("confidence"))
 
 
+def stream_rule_score_t02(spark, sf):
+    """The whole stream path (file source, micro-batches, decode, score,
+    foreachBatch sink) with the rule stand-in model: exactly checkable."""
+    out = spark.read.parquet(run_stream(spark, sf, rule=True) + "/results")
+    return out.select("key", "offset", "prediction", r6("confidence").alias("confidence"))
+
+
+def stream_rule_rejects_k05(spark, sf):
+    """The reject sink of that stream run."""
+    out = spark.read.parquet(run_stream(spark, sf, rule=True) + "/rejects")
+    return out.select("key", "offset", "value", "reject_reason")
+
+
 def stream_encode_t03(spark, sf):
     return spark.read.parquet(run_stream(spark, sf) + "/encoded").select("key", "value")
 
@@ -83,6 +96,8 @@ EXACT = {
     "processed_t05": processed_t05,
     "status_counts_t05": status_counts_t05,
     "feed_t06": feed_t06,
+    "stream_rule_score_t02": stream_rule_score_t02,
+    "stream_rule_rejects_k05": stream_rule_rejects_k05,
 }
 ROWS_ONLY = {
     "stream_score_t02": stream_score_t02,
@@ -108,6 +123,12 @@ ok AS (SELECT * FROM dec WHERE reject_reason IS NULL)
 """
 
 SQL = {
+    "stream_rule_score_t02": _MSGS + """,
+s AS (SELECT key, "offset", length(regexp_replace(lower(text), '[^a-zA-Z ]', '', 'g')) AS n FROM ok),
+p AS (SELECT key, "offset", n / (n + CAST(100.0 AS DOUBLE)) AS c FROM s)
+SELECT key, "offset", CASE WHEN c >= 0.5 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS prediction,
+       floor(c * CAST(1000000 AS DOUBLE) + 0.5) / CAST(1000000 AS DOUBLE) AS confidence FROM p""",
+    "stream_rule_rejects_k05": _MSGS + ' SELECT key, "offset", value, reject_reason FROM dec WHERE reject_reason IS NOT NULL',
     "decode_t01": _MSGS + ' SELECT key, "offset", text FROM ok',
     "rejects_k05": _MSGS + ' SELECT key, "offset", value, reject_reason FROM dec WHERE reject_reason IS NOT NULL',
     "processed_t05": _MSGS + " SELECT CAST(count(*) AS BIGINT) AS processed FROM ok",

@@ -63,3 +63,17 @@ def stream_messages(turns: DataFrame) -> DataFrame:
         F.pmod(F.col("conv_id"), F.lit(3)).cast("int").alias("partition"),
         (F.col("conv_id") * F.lit(1000) + F.col("turn")).cast("bigint").alias("offset"),
     )
+
+
+class RuleModel:
+    """A stand-in classifier with the fitted-pipeline contract
+    (``transform`` adds ``probability`` and ``prediction``), for exact checks
+    of the scoring paths: P(class 1) = n / (n + 100) with n the cleaned text
+    length; class 1 when that is at least 0.5."""
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.functions import array_to_vector
+        n = F.length("clean_text")
+        p = n / (n + F.lit(100.0))
+        return (df.withColumn("probability", array_to_vector(F.array(F.lit(1.0) - p, p)))
+                  .withColumn("prediction", F.when(p >= 0.5, F.lit(1.0)).otherwise(F.lit(0.0))))
