@@ -45,3 +45,17 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.columns == ["word", "scam_count", "non_scam_count", "scam_ratio"]
     assert df.count() == 20
+
+
+def test_oracle_detects_mutation(spark, con):
+    """A deliberately wrong tokeniser (plain split keeps trailing empties)
+    must not pass the tokens oracle."""
+    from pyspark.sql import functions as F
+
+    from colloquy.functions.text import clean_text
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    words = F.split(clean_text("text"), " ")
+    bad = docs.select("doc_id", F.to_json(words).alias("words_json"), F.size(words).cast("bigint").alias("n_words"))
+    _, _, r1 = rows_of(bad.toPandas())
+    _, _, r2 = rows_of(con.sql(E.oracle_sql()["tokens_f01"]).df())
+    assert len(r1) == len(r2) and r1 != r2
