@@ -130,6 +130,14 @@ SELECT tf.doc_id, tf.term, {R6('tf.tf * idf.idf')} AS tfidf FROM tf JOIN idf ON
 SELECT split, CAST(count(*) AS BIGINT) AS n FROM (SELECT {SPLIT.format(k='doc_id')} AS split FROM lab_nonempty) GROUP BY split
 """,
     "word_assoc_a02": "WITH " + TOP_STATS + " SELECT word, scam_count, non_scam_count, scam_ratio FROM stats",
+    "word_stats_rule_a04": "WITH " + TOP_STATS + """,
+m AS (SELECT CAST(count(*) AS DOUBLE) AS m FROM lab_fw),
+dfq AS (SELECT term, count(*) AS doc_freq FROM (SELECT doc_id, unnest(list_distinct(fw)) AS term FROM lab_fw) GROUP BY term),
+imp AS (SELECT term AS word, ln((m.m + 1.0) / (doc_freq + 1.0)) AS importance FROM dfq, m)
+SELECT s.word, s.scam_count, s.non_scam_count, s.scam_ratio,
+       CAST(floor(imp.importance * 1000.0 + 0.5) AS BIGINT) / 1000.0 AS importance
+FROM stats s JOIN imp ON s.word = imp.word
+""",
     "word_melt_a05": "WITH " + TOP_STATS + """
 SELECT word, 'scam_count' AS variable, scam_count AS value FROM stats
 UNION ALL SELECT word, 'non_scam_count' AS variable, non_scam_count AS value FROM stats

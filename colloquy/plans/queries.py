@@ -144,6 +144,15 @@ def word_assoc_a02(spark, sf):
     return top_term_stats(spark, sf)
 
 
+def word_stats_rule_a04(spark, sf):
+    """A04 with a rule-made importance (the word's idf over the labelled
+    dialogues) in place of a model's: word stats joined and rounded."""
+    docs = labelled_clean(spark, sf)
+    tf = features.term_frequency(docs, "doc_id")
+    imp = features.idf_from_tf(tf, docs).select(F.col("term").alias("word"), F.col("idf").alias("importance"))
+    return words.word_stats(top_term_stats(spark, sf), imp)
+
+
 def word_melt_a05(spark, sf):
     return words.melt_counts(top_term_stats(spark, sf))
 
@@ -203,6 +212,7 @@ EXACT = {
     "hash_split_x01": hash_split_x01,
     "split_counts_x02": split_counts_x02,
     "word_assoc_a02": word_assoc_a02,
+    "word_stats_rule_a04": word_stats_rule_a04,
     "word_melt_a05": word_melt_a05,
     "word_ratio_a06": word_ratio_a06,
     "label_map_p06": label_map_p06,
