@@ -80,6 +80,11 @@ def stream_rule_score_t02(spark, sf):
     return out.select("key", "offset", "prediction", r6("confidence").alias("confidence"))
 
 
+def stream_rule_encode_t03(spark, sf):
+    """The encoded (key, JSON value) output of that stream run."""
+    return spark.read.parquet(run_stream(spark, sf, rule=True) + "/encoded").select("key", "value")
+
+
 def stream_rule_rejects_k05(spark, sf):
     """The reject sink of that stream run."""
     out = spark.read.parquet(run_stream(spark, sf, rule=True) + "/rejects")
@@ -98,6 +103,7 @@ EXACT = {
     "feed_t06": feed_t06,
     "stream_rule_score_t02": stream_rule_score_t02,
     "stream_rule_rejects_k05": stream_rule_rejects_k05,
+    "stream_rule_encode_t03": stream_rule_encode_t03,
 }
 ROWS_ONLY = {
     "stream_score_t02": stream_score_t02,
@@ -128,6 +134,13 @@ s AS (SELECT key, "offset", length(regexp_replace(lower(text), '[^a-zA-Z ]', '',
 p AS (SELECT key, "offset", n / (n + CAST(100.0 AS DOUBLE)) AS c FROM s)
 SELECT key, "offset", CASE WHEN c >= 0.5 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS prediction,
        floor(c * CAST(1000000 AS DOUBLE) + 0.5) / CAST(1000000 AS DOUBLE) AS confidence FROM p""",
+    "stream_rule_encode_t03": _MSGS + """,
+s AS (SELECT key, text, length(regexp_replace(lower(text), '[^a-zA-Z ]', '', 'g')) AS n FROM ok),
+p AS (SELECT key, text, n / (n + CAST(100.0 AS DOUBLE)) AS c FROM s)
+SELECT key, CAST(to_json({'prediction': CASE WHEN c >= 0.5 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END,
+                         'confidence': c, 'analysis': CAST(NULL AS VARCHAR),
+                         'historical_insight': CAST(NULL AS VARCHAR), 'original_text': text}) AS VARCHAR) AS value
+FROM p""",
     "stream_rule_rejects_k05": _MSGS + ' SELECT key, "offset", value, reject_reason FROM dec WHERE reject_reason IS NOT NULL',
     "decode_t01": _MSGS + ' SELECT key, "offset", text FROM ok',
     "rejects_k05": _MSGS + ' SELECT key, "offset", value, reject_reason FROM dec WHERE reject_reason IS NOT NULL',
