@@ -81,7 +81,7 @@ def cmd_stream(args) -> int:
         stream.await_done()
     except KeyboardInterrupt:
         stream.stop()
-    print(f"processed {stream.processed()} messages; output in {out}")
+    print(f"processed {stream.processed()} messages, rejected {stream.rejected()}; output in {out}")
     return 0
 
 

@@ -73,11 +73,21 @@ class ScoringStream:
         if self.query is not None and self.query.isActive:
             self.query.stop()
 
-    def processed(self) -> int:
-        """T05 from progress: input rows over the retained progress reports."""
-        if self.query is None:
+    def _sink_rows(self, path: str) -> int:
+        from pyspark.errors import AnalysisException
+        try:
+            return self.source.sparkSession.read.parquet(path).count()
+        except AnalysisException:  # nothing written yet
             return 0
-        return sum(p.get("numInputRows", 0) for p in (self.query.recentProgress or []))
+
+    def processed(self) -> int:
+        """Messages scored so far, read from the exactly-once result
+        folders (progress reports are only kept for the last batches)."""
+        return self._sink_rows(self.results_path)
+
+    def rejected(self) -> int:
+        """Messages sent to the reject table so far."""
+        return self._sink_rows(self.rejects_path)
 
 
 def status_counts(messages: DataFrame) -> DataFrame:
