@@ -83,3 +83,17 @@ def test_hashed_model_has_no_vocabulary(data):
 def test_unknown_classifier():
     with pytest.raises(ValueError):
         models.classifier("XGBoostJar")
+
+
+def test_raw_score_auc_variant(fitted, data):
+    """SURVEY T6: for a single tree, rawPrediction holds leaf counts, so an
+    AUC on it is not the AUC of the probability score."""
+    _, held = data
+    p = scoring.score(fitted[models.DECISION_TREE], held.select("doc_id", "dialogue", "labels"), keep_raw=True)
+    a_prob = metrics.roc_auc(p, score_col="confidence").collect()[0]["auc"]
+    a_raw = metrics.roc_auc(p, score_col="raw_score").collect()[0]["auc"]
+    assert a_prob is not None and a_raw is not None and a_prob != a_raw
+    lr = scoring.score(fitted[models.LOGISTIC_REGRESSION], held.select("doc_id", "dialogue", "labels"), keep_raw=True)
+    # for logistic regression the raw margin is monotone in the probability: same AUC
+    assert metrics.roc_auc(lr, score_col="confidence").collect()[0]["auc"] == \
+        metrics.roc_auc(lr, score_col="raw_score").collect()[0]["auc"]
