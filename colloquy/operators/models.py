@@ -68,43 +68,63 @@ def fit_features(train: DataFrame, kind: str = "count", vocab_size: int = DEFAUL
     return Pipeline(stages=feature_stages(kind, vocab_size, num_features, input_col=text_col)).fit(train)
 
 
+class PreparedTraining:
+    """Fitted feature stages plus the cached training vectors, shared by
+    every classifier trained on them.  ``release()`` drops the caches."""
+
+    def __init__(self, base, feat, vectors, lr_partitions: int | None, label_col: str):
+        self.base, self.feat, self.vectors = base, feat, vectors
+        self.lr_partitions, self.label_col = lr_partitions, label_col
+
+    def fit(self, name: str, **params) -> PipelineModel:
+        """One classifier glued behind the shared feature stages."""
+        est = classifier(name, label_col=self.label_col, **params)
+        data = self.vectors
+        if name == LOGISTIC_REGRESSION and self.lr_partitions:
+            data = self.vectors.coalesce(self.lr_partitions)  # one gradient per partition per pass
+        return PipelineModel(stages=list(self.feat.stages) + [est.fit(data)])
+
+    def release(self) -> None:
+        self.vectors.unpersist()
+        self.base.unpersist()
+
+
+def prepare_training(train: DataFrame, kind: str = "count", vocab_size: int = DEFAULT_VOCAB_SIZE,
+                     num_features: int = DEFAULT_NUM_FEATURES, label_col: str = "labels",
+                     text_col: str = "clean_text") -> PreparedTraining:
+    """Scan / join / clean the training input once (cached), fit the feature
+    stages, and cache the vectors.
+
+    Iterative fitting runs one job per pass, so partitions are sized to the
+    data: about ROWS_PER_PARTITION rows each, but tree learners keep at least
+    half the cores busy (they aggregate per partition).  A large training
+    set keeps all of its partitions."""
+    ensure_checkpoint_dir(train.sparkSession)  # tree models checkpoint node ids there
+    base = persist(train.select(label_col, text_col))
+    n = base.count()
+    sc = train.sparkSession.sparkContext
+    by_rows = max(1, math.ceil(n / ROWS_PER_PARTITION))
+    have = base.rdd.getNumPartitions()
+    parts = min(have, max(by_rows, math.ceil(sc.defaultParallelism / 2)))
+    work = base.coalesce(parts) if parts < have else base
+    feat = fit_features(work, kind, vocab_size, num_features, text_col)
+    vectors = persist(feat.transform(work).select(label_col, "features"))
+    return PreparedTraining(base, feat, vectors, by_rows if by_rows < parts else None, label_col)
+
+
 def fit_models(train: DataFrame, names=REFERENCE_MODELS, kind: str = "count",
                vocab_size: int = DEFAULT_VOCAB_SIZE, num_features: int = DEFAULT_NUM_FEATURES,
                params: dict | None = None, label_col: str = "labels",
                text_col: str = "clean_text") -> dict:
     """``{name: PipelineModel}``; features fitted once, vectors cached
-    (memory and disk, recomputed from lineage if an executor is lost)."""
-    ensure_checkpoint_dir(train.sparkSession)  # tree models checkpoint node ids there
+    (memory and disk, recomputed from lineage if an executor is lost) and
+    released afterwards."""
     params = params or {}
-    # the cleaned input feeds the vocabulary pass, the IDF pass and the
-    # vector transform: scan / join / clean it once
-    base = persist(train.select(label_col, text_col))
+    prep = prepare_training(train, kind, vocab_size, num_features, label_col, text_col)
     try:
-        # iterative fitting runs one job per pass, so partitions are sized to
-        # the data: about ROWS_PER_PARTITION rows each, but tree learners keep
-        # at least half the cores busy (they aggregate per partition).  A large
-        # training set keeps all of its partitions.
-        n = base.count()
-        sc = train.sparkSession.sparkContext
-        by_rows = max(1, math.ceil(n / ROWS_PER_PARTITION))
-        have = base.rdd.getNumPartitions()
-        parts = min(have, max(by_rows, math.ceil(sc.defaultParallelism / 2)))
-        work = base.coalesce(parts) if parts < have else base
-        feat = fit_features(work, kind, vocab_size, num_features, text_col)
-        vectors = persist(feat.transform(work).select(label_col, "features"))
-        try:
-            out = {}
-            for name in names:
-                est = classifier(name, label_col=label_col, **params.get(name, {}))
-                data = vectors
-                if name == LOGISTIC_REGRESSION and by_rows < parts:
-                    data = vectors.coalesce(by_rows)  # one gradient per partition per pass
-                out[name] = PipelineModel(stages=list(feat.stages) + [est.fit(data)])
-            return out
-        finally:
-            vectors.unpersist()
+        return {name: prep.fit(name, **params.get(name, {})) for name in names}
     finally:
-        base.unpersist()
+        prep.release()
 
 
 def save_model(model: PipelineModel, path: str) -> None:

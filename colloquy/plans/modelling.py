@@ -19,12 +19,21 @@ def labelled_split(spark, sf):
     return split.hash_split(df, "doc_id", out="dataset")
 
 
+_PREPARED: dict = {}
+
+
 def trained(spark, sf, name: str, kind: str = "count", **params):
-    """Fit (once per session, table folder and settings) and return the model."""
-    key = (spark.sparkContext.applicationId, sf, name, kind, tuple(sorted(params.items())))
+    """Fit (once per session, table folder and settings) and return the model.
+    The model queries of one session share one prepared training set
+    (cleaned input, fitted vocabulary / IDF, cached vectors)."""
+    app = spark.sparkContext.applicationId
+    key = (app, sf, name, kind, tuple(sorted(params.items())))
     if key not in _MEMO:
-        train = labelled_split(spark, sf).filter(F.col("dataset") == split.TRAIN)
-        _MEMO[key] = models.fit_models(train, [name], kind=kind, params={name: params})[name]
+        pkey = (app, sf, kind)
+        if pkey not in _PREPARED:
+            train = labelled_split(spark, sf).filter(F.col("dataset") == split.TRAIN)
+            _PREPARED[pkey] = models.prepare_training(train, kind=kind)
+        _MEMO[key] = _PREPARED[pkey].fit(name, **params)
     return _MEMO[key]
 
 
