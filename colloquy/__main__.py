@@ -26,6 +26,7 @@ def _session(args):
 
 
 def cmd_train(args) -> int:
+    """train: split, fit, evaluate, pick and save; print the report."""
     from colloquy.operators import cleaning, features, metrics
     from colloquy.plans.training import run_training, word_report
     from colloquy.sources.files import read_labelled
@@ -49,6 +50,7 @@ def cmd_train(args) -> int:
 
 
 def cmd_score(args) -> int:
+    """score: a CSV with a dialogue column -> predictions CSV."""
     from colloquy.operators import models, scoring
     from colloquy.sources.files import read_history, require_columns, write_predictions_csv
 
@@ -61,6 +63,7 @@ def cmd_score(args) -> int:
 
 
 def cmd_stream(args) -> int:
+    """stream: score messages from files or Kafka until drained (or stopped)."""
     from colloquy.operators import models
     from colloquy.sources.kafka import kafka_writer_options, read_kafka_stream
     from colloquy.streaming import ScoringStream
@@ -86,6 +89,7 @@ def cmd_stream(args) -> int:
 
 
 def cmd_explain(args) -> int:
+    """explain: one dialogue -> prediction and explanation requests."""
     from colloquy.operators import analysis, models
     from colloquy.sources.files import read_history, single_text
 
@@ -106,6 +110,7 @@ def cmd_explain(args) -> int:
 
 
 def main(argv=None) -> int:
+    """Parse arguments and run a subcommand."""
     p = argparse.ArgumentParser(prog="colloquy")
     p.add_argument("--master", default=None, help="Spark master (default: from the environment)")
     sub = p.add_subparsers(dest="cmd", required=True)

@@ -22,6 +22,7 @@ def hash_bucket(key, buckets: int = 100) -> Column:
 
 
 def split_column(key, cuts=DEFAULT_CUTS) -> Column:
+    """The split name column for a key."""
     b = hash_bucket(key)
     return F.when(b < cuts[0], F.lit(TRAIN)).when(b < cuts[1], F.lit(VALIDATION)).otherwise(F.lit(TEST))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 
 def all_queries() -> dict:
+    """Every registered query: name -> fn(spark, sf_dir)."""
     from colloquy.plans import queries
     out = dict(queries.EXACT)
     for mod_name in ("colloquy.plans.evaluation", "colloquy.plans.modelling",
@@ -18,6 +19,7 @@ def all_queries() -> dict:
 
 
 def all_oracles() -> dict:
+    """The DuckDB SQL of every exactly checkable query."""
     from colloquy.plans import oracle
     out = dict(oracle.SQL)
     for mod_name in ("colloquy.plans.evaluation", "colloquy.plans.modelling", "colloquy.plans.history",

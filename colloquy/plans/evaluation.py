@@ -23,29 +23,35 @@ def rule_eval_frame(spark, sf):
 
 
 def auc_e01(spark, sf):
+    """E01 per rule model and dataset: model, dataset, auc."""
     a = metrics.roc_auc(rule_eval_frame(spark, sf), ["model", "dataset"])
     return a.select("model", "dataset", r6("auc").alias("auc"))
 
 
 def metrics_e02_e05(spark, sf):
+    """E02-E05 per rule model and dataset."""
     m = metrics.classification_metrics(rule_eval_frame(spark, sf), ["model", "dataset"])
     return m.select("model", "dataset", *[r6(c).alias(c) for c in
                                           ("accuracy", "weighted_precision", "weighted_recall", "f1")])
 
 
 def confusion_e06(spark, sf):
+    """E06 per rule model and dataset."""
     return metrics.confusion_matrix(rule_eval_frame(spark, sf), ["model", "dataset"])
 
 
 def metrics_long_e07(spark, sf):
+    """Model, Dataset, Metric, Score."""
     return metrics.metrics_table(rule_eval_frame(spark, sf))
 
 
 def best_model_e08(spark, sf):
+    """The best model per dataset and metric."""
     return metrics.best_model(metrics_long_e07(spark, sf))
 
 
 def report_e09(spark, sf):
+    """One report line per metric."""
     return metrics.report_lines(metrics_long_e07(spark, sf))
 
 

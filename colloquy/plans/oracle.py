@@ -16,10 +16,12 @@ FILT = "list_filter({w}, lambda x: NOT list_contains(" + SW + ", x))"
 
 
 def R6(x: str) -> str:
+    """SQL twin of ``r6``."""
     return f"(floor(({x}) * CAST(1000000 AS DOUBLE) + 0.5) / CAST(1000000 AS DOUBLE))"
 
 
 def RATIO3(a: str, b: str) -> str:
+    """SQL twin of ``round_ratio(a, b, 3)``."""
     return (f"(CASE WHEN ({b}) = 0 THEN CAST(0.0 AS DOUBLE) ELSE "
             f"CAST((2000 * ({a}) + ({b})) // (2 * ({b})) AS DOUBLE) / 1000.0 END)")
 

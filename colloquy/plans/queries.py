@@ -20,6 +20,7 @@ TOP_TERMS = 20
 
 
 def r6(c) -> F.Column:
+    """Round half up to 6 decimals on integer units (same bits as the SQL oracle)."""
     return round_half_up(c, 6) / F.lit(1e6)
 
 
@@ -33,15 +34,18 @@ def labelled_clean(spark: SparkSession, sf: str, with_extra: bool = False) -> Da
 
 
 def all_docs_words(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents with clean_text, words and filtered_words."""
     df = read_table(spark, sf, "documents").select("doc_id", F.col("text").alias("dialogue"))
     return features.text_features(df)
 
 
 def dialogues(spark: SparkSession, sf: str) -> DataFrame:
+    """The conversations assembled into one dialogue per conv_id."""
     return assemble_dialogues(read_table(spark, sf, "conversations").select("conv_id", "turn", "role", "text"))
 
 
 def top_term_stats(spark: SparkSession, sf: str, n: int = TOP_TERMS) -> DataFrame:
+    """A02 + A03 over the n most frequent terms of the labelled dialogues."""
     docs = labelled_clean(spark, sf)
     vocab = features.vocabulary(docs, size=n).select(F.col("term").alias("word"))
     return words.word_class_counts(docs, vocab, max_terms=n)
@@ -49,63 +53,75 @@ def top_term_stats(spark: SparkSession, sf: str, n: int = TOP_TERMS) -> DataFram
 
 # ---------------------------------------------------------------- P / F / D / X
 def label_filter_p01(spark, sf):
+    """P01 + P02 on label strings made dirty by doc_id: doc_id, labels (double)."""
     dirty = fixtures.dirty_labels(read_table(spark, sf, "labels"))
     return cleaning.filter_labels(dirty).select("doc_id", "labels")
 
 
 def clean_text_p03(spark, sf):
+    """P03 on every document: doc_id, clean_text."""
     df = read_table(spark, sf, "documents").select("doc_id", F.col("text").alias("dialogue"))
     return cleaning.with_clean_text(df).select("doc_id", "clean_text")
 
 
 def drop_empty_p04(spark, sf):
+    """P04 on the labelled documents: doc_id, labels, clean_text (non-empty only)."""
     df = cleaning.drop_empty(cleaning.with_clean_text(labelled_documents(spark, sf)), source="dialogue")
     return df.select("doc_id", "labels", "clean_text")
 
 
 def tokens_f01(spark, sf):
+    """F01 on every document: doc_id, words as JSON text, token count."""
     df = all_docs_words(spark, sf)
     return df.select("doc_id", F.to_json("words").alias("words_json"),
                      F.size("words").cast("bigint").alias("n_words"))
 
 
 def stopwords_f02(spark, sf):
+    """F02 on every document: doc_id, filtered words as JSON text, their count."""
     df = all_docs_words(spark, sf)
     return df.select("doc_id", F.to_json("filtered_words").alias("filtered_json"),
                      F.size("filtered_words").cast("bigint").alias("n_filtered"))
 
 
 def vocab_f03(spark, sf):
+    """F03 over all documents: term, term_count, term_index (top 20,000)."""
     v = features.vocabulary(all_docs_words(spark, sf))
     return v.select("term", F.col("term_count").cast("bigint").alias("term_count"),
                     F.col("term_index").cast("bigint").alias("term_index"))
 
 
 def tf_f04(spark, sf):
+    """F04 over all documents: doc_id, term, tf."""
     tf = features.term_frequency(all_docs_words(spark, sf), "doc_id")
     return tf.select("doc_id", "term", F.col("tf").cast("bigint").alias("tf"))
 
 
 def idf_f05(spark, sf):
+    """F05 over all documents: term, doc_freq, idf."""
     idf = features.idf_table(all_docs_words(spark, sf))
     return idf.select("term", F.col("doc_freq").cast("bigint").alias("doc_freq"), r6("idf").alias("idf"))
 
 
 def tfidf_f06(spark, sf):
+    """F06 over all documents: doc_id, term, tfidf."""
     tw = features.tfidf_table(all_docs_words(spark, sf), "doc_id")
     return tw.select("doc_id", "term", r6("tfidf").alias("tfidf"))
 
 
 def dialogues_d01(spark, sf):
+    """conv_id, dialogue, n_turns."""
     return dialogues(spark, sf).select("conv_id", "dialogue", "n_turns")
 
 
 def hash_split_x01(spark, sf):
+    """X01 on every document: doc_id, split."""
     df = read_table(spark, sf, "documents").select("doc_id")
     return split.hash_split(df, "doc_id")
 
 
 def split_counts_x02(spark, sf):
+    """X02 on the cleaned labelled documents: split, n."""
     df = split.hash_split(labelled_clean(spark, sf), "doc_id")
     return split.split_counts(df).select("split", F.col("n").cast("bigint").alias("n"))
 
@@ -141,6 +157,7 @@ def labelled_csv_s01(spark, sf):
 
 # ---------------------------------------------------------------- A
 def word_assoc_a02(spark, sf):
+    """A02 + A03 (flagship): word, scam_count, non_scam_count, scam_ratio."""
     return top_term_stats(spark, sf)
 
 
@@ -154,10 +171,12 @@ def word_stats_rule_a04(spark, sf):
 
 
 def word_melt_a05(spark, sf):
+    """Word, variable, value."""
     return words.melt_counts(top_term_stats(spark, sf))
 
 
 def word_ratio_a06(spark, sf):
+    """Word, scam_ratio, ratio_rank."""
     return words.rank_by_ratio(top_term_stats(spark, sf)).select("word", "scam_ratio", "ratio_rank")
 
 
@@ -169,17 +188,20 @@ def _rule_prediction(spark, sf):
 
 
 def label_map_p06(spark, sf):
+    """P06 on rule predictions (with an unmapped value): doc_id, batch_label, feed_label."""
     df = _rule_prediction(spark, sf)
     return df.select("doc_id", label_text("prediction", SCAM_LABELS).alias("batch_label"),
                      label_text("prediction", SCAM_LABELS, default="Unknown").alias("feed_label"))
 
 
 def prompt_label_p07(spark, sf):
+    """P07 on rule predictions: doc_id, prompt_label."""
     df = _rule_prediction(spark, sf)
     return df.select("doc_id", label_text("prediction", FRAUD_LABELS).alias("prompt_label"))
 
 
 def confidence_text_p08(spark, sf):
+    """P08 on rule confidences (with nulls and zeros): the four display formats."""
     df = fixtures.rule_confidence(read_table(spark, sf, "documents").select("doc_id", "n_chars"))
     c = F.col("confidence")
     return df.select(
@@ -194,6 +216,7 @@ def confidence_text_p08(spark, sf):
 
 
 def preview_p09(spark, sf):
+    """P09 on the assembled dialogues: conv_id, preview."""
     return dialogues(spark, sf).select("conv_id", preview("dialogue").alias("preview"))
 
 

@@ -21,28 +21,34 @@ _RUNS: dict = {}
 
 
 def messages(spark, sf):
+    """Kafka-shaped messages derived from the conversation turns."""
     return fixtures.stream_messages(read_table(spark, sf, "conversations").select("conv_id", "turn", "text"))
 
 
 def decode_t01(spark, sf):
+    """The accepted messages (key, offset, text)."""
     return accepted(decode_messages(messages(spark, sf))).select("key", "offset", "text")
 
 
 def rejects_k05(spark, sf):
+    """The rejected messages with their reason."""
     return rejects(decode_messages(messages(spark, sf))).select("key", "offset", "value", "reject_reason")
 
 
 def processed_t05(spark, sf):
+    """Number of processed (accepted) messages."""
     return processed_count(accepted(decode_messages(messages(spark, sf)))).select(
         F.col("processed").cast("bigint").alias("processed"))
 
 
 def status_counts_t05(spark, sf):
+    """T05 as status counts (processed / bad_json / no_text)."""
     from colloquy.streaming import status_counts
     return status_counts(messages(spark, sf)).select("status", F.col("messages").cast("bigint").alias("messages"))
 
 
 def feed_t06(spark, sf):
+    """The 5 latest rule-scored messages as display rows."""
     ok = accepted(decode_messages(messages(spark, sf)))
     n = F.length("text")
     scored = ok.select("key", "offset", "text", F.pmod(n, F.lit(3)).cast("double").alias("prediction"),
@@ -69,6 +75,7 @@ def run_stream(spark, sf, rule: bool = False):
 
 
 def stream_score_t02(spark, sf):
+    """Key, offset, prediction, confidence from a real stream run (forest model)."""
     out = spark.read.parquet(run_stream(spark, sf) + "/results")
     return out.select("key", "offset", "prediction", r6("confidence").alias("confidence"))
 
@@ -92,6 +99,7 @@ def stream_rule_rejects_k05(spark, sf):
 
 
 def stream_encode_t03(spark, sf):
+    """The encoded output of that stream run."""
     return spark.read.parquet(run_stream(spark, sf) + "/encoded").select("key", "value")
 
 

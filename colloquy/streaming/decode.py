@@ -23,6 +23,7 @@ def decode_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def accepted(decoded: DataFrame) -> DataFrame:
+    """Rows that decoded to a text (reason dropped)."""
     return decoded.filter(F.col("reject_reason").isNull()).drop("reject_reason")
 
 
