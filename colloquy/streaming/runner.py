@@ -24,16 +24,40 @@ class ScoringStream:
     Each batch is written to ``<out>/batch_id=<n>`` with overwrite, so a
     batch replayed after a failure replaces its own output (exactly-once
     files).  ``kafka_options`` (see ``sources.kafka``) sends the encoded
-    results to a topic as well (at-least-once)."""
+    results to a topic as well (at-least-once).  ``requests_path`` adds the
+    explanation-request table per batch (L01; with ``history`` /
+    ``hist_key`` -- a frame with a ``dialogue`` column -- also the history
+    requests, L02)."""
 
     def __init__(self, model, source: DataFrame, results_path: str, rejects_path: str, checkpoint: str,
-                 kafka_options: dict | None = None, encoded_path: str | None = None):
+                 kafka_options: dict | None = None, encoded_path: str | None = None,
+                 requests_path: str | None = None, history: DataFrame | None = None,
+                 hist_key: str | None = None, k: int = 3):
         self.model, self.source = model, source
         self.results_path, self.rejects_path = results_path, rejects_path
         self.encoded_path, self.checkpoint = encoded_path, checkpoint
         self.kafka_options = kafka_options
+        self.requests_path, self.history, self.hist_key, self.k = requests_path, history, hist_key, k
         self.query = None
 
+    def _write_requests(self, scored: DataFrame, batch_id: int) -> None:
+        """Per message (``msg_id`` = partition:offset): the analysis request
+        and, with a history corpus, the history request over its k most
+        similar past cases -- what the reference asks its LLM per message."""
+        from colloquy.operators import explain, features, history
+
+        msgs = scored.select(F.concat_ws(":", "partition", "offset").alias("msg_id"), "key",
+                             F.col("text").alias("dialogue"), "prediction", "confidence")
+        out = explain.explanation_requests(msgs, "msg_id").join(msgs.select("msg_id", "key"), "msg_id")
+        if self.history is not None:
+            hist = self.history.select(self.hist_key, F.col("dialogue"))
+            sim = history.similar_cases_for(features.text_features(msgs.select("msg_id", "dialogue")), "msg_id",
+                                            features.text_features(hist), self.hist_key, k=self.k)
+            hp = explain.history_prompts(msgs, "msg_id", sim, hist.withColumnRenamed("dialogue", "text"),
+                                         self.hist_key)
+            out = out.join(hp.withColumnRenamed("prompt", "history_prompt"), "msg_id", "left")
+        out.write.mode("overwrite").parquet(f"{self.requests_path}/batch_id={batch_id}")
+
     def _write_batch(self, batch: DataFrame, batch_id: int) -> None:
         decoded = decode_messages(batch).persist()
         try:
@@ -45,6 +69,8 @@ class ScoringStream:
                     enc.write.mode("overwrite").parquet(f"{self.encoded_path}/batch_id={batch_id}")
                 if self.kafka_options:
                     enc.write.format("kafka").options(**self.kafka_options).save()
+                if self.requests_path:
+                    self._write_requests(scored, batch_id)
             finally:
                 scored.unpersist()
             rejects(decoded).write.mode("overwrite").parquet(f"{self.rejects_path}/batch_id={batch_id}")

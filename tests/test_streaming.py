@@ -83,3 +83,21 @@ def test_running_status_counts(spark, tmp_path):
     want = {r["status"]: r["messages"] for r in status_counts(msgs).collect()}
     assert got == want and set(got) == {"processed", "bad_json", "no_text"}
     assert sum(got.values()) == msgs.count()
+
+
+def test_stream_explanation_requests(spark, model, tmp_path):
+    from colloquy.sources.tables import read_table
+    msgs = messages(spark, SF01)
+    src_dir = str(tmp_path / "in")
+    msgs.repartition(2, "partition").write.parquet(src_dir)
+    src = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 1).parquet(src_dir)
+    hist = read_table(spark, SF01, "documents").select("doc_id", F.col("text").alias("dialogue"))
+    base = str(tmp_path)
+    s = ScoringStream(model, src, base + "/out", base + "/rej", base + "/ckpt", requests_path=base + "/req",
+                      history=hist, hist_key="doc_id")
+    s.start(available_now=True)
+    s.await_done()
+    req = spark.read.parquet(base + "/req")
+    assert req.count() == s.processed()
+    assert req.filter(~F.col("prompt").contains("**Dialogue**")).count() == 0
+    assert req.filter(F.col("history_prompt").contains("Historical Similar Cases:")).count() > 0
