@@ -2,7 +2,7 @@
 
     python -m colloquy train   --labelled dialogues.csv --model out/model [--models DT,RF,GBT,LR]
     python -m colloquy score   --model out/model --csv uploads.csv --out out/predictions
-    python -m colloquy stream  --model out/model --source-dir in/ --out out/stream [--kafka]
+    python -m colloquy stream  --model out/model --source-dir in/ --out out/stream [--kafka] [--requests [--history h.csv]]
     python -m colloquy explain --model out/model --text "..." [--history history.csv]
 
 Every subcommand builds DataFrame plans from the library; nothing loops over
@@ -77,8 +77,15 @@ def cmd_stream(args) -> int:
                   .option("maxFilesPerTrigger", args.max_per_trigger or 1).parquet(args.source_dir))
         sink = None
     out = args.out.rstrip("/")
+    history = None
+    if args.history:
+        from colloquy.sources.files import read_history
+        history = (read_history(spark, args.history, infer=False)
+                   .withColumn("history_id", F.xxhash64("dialogue")).select("history_id", "dialogue"))
     stream = ScoringStream(models.load_model(args.model), source, out + "/results", out + "/rejects",
-                           out + "/checkpoint", kafka_options=sink, encoded_path=out + "/encoded")
+                           out + "/checkpoint", kafka_options=sink, encoded_path=out + "/encoded",
+                           requests_path=out + "/requests" if args.requests else None,
+                           history=history, hist_key="history_id" if history is not None else None)
     stream.start(available_now=not args.continuous, processing_time="1 second" if args.continuous else None)
     try:
         stream.await_done()
@@ -136,6 +143,8 @@ def main(argv=None) -> int:
     st.add_argument("--kafka", action="store_true")
     st.add_argument("--max-per-trigger", type=int, default=None)
     st.add_argument("--continuous", action="store_true")
+    st.add_argument("--requests", action="store_true", help="also write explanation requests per message")
+    st.add_argument("--history", help="CSV with a 'dialogue' column for history requests (with --requests)")
     st.set_defaults(fn=cmd_stream)
 
     e = sub.add_parser("explain", help="classify one dialogue and build its explanation requests")

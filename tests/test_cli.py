@@ -35,7 +35,8 @@ def test_cli_end_to_end(spark, tmp_path, capsys):
     src = str(tmp_path / "msgs")
     messages(spark, SF001).write.parquet(src)
     sout = str(tmp_path / "stream")
-    assert main(["stream", "--model", model, "--source-dir", src, "--out", sout]) == 0
+    assert main(["stream", "--model", model, "--source-dir", src, "--out", sout, "--requests"]) == 0
+    assert spark.read.parquet(sout + "/requests").count() == spark.read.parquet(sout + "/results").count()
     assert spark.read.parquet(sout + "/results").count() + spark.read.parquet(sout + "/rejects").count() \
         == messages(spark, SF001).count()
 
