@@ -67,9 +67,11 @@ def model_metrics_e07(spark, sf):
 def hashed_tf_f07(spark, sf):
     """hashed term counts (10,000 buckets) per labelled document:
     non-zero buckets and total count."""
+    from pyspark.ml import PipelineModel
     df = cleaning.with_clean_text(labelled_documents(spark, sf))
-    feat = models.fit_features(df, kind="hash")
-    out = features.vector_summary(feat.transform(df), "raw_features")
+    # tokenizer, stop words and hashing are transformers: no fitting pass (the IDF stage is not needed)
+    hashing = PipelineModel(stages=features.feature_stages(kind="hash")[:3])
+    out = features.vector_summary(hashing.transform(df), "raw_features")
     return out.select("doc_id", "n_nonzero", F.col("total").cast("bigint").alias("total"))
 
 
