@@ -101,3 +101,25 @@ def test_stream_explanation_requests(spark, model, tmp_path):
     assert req.count() == s.processed()
     assert req.filter(~F.col("prompt").contains("**Dialogue**")).count() == 0
     assert req.filter(F.col("history_prompt").contains("Historical Similar Cases:")).count() > 0
+
+
+def test_continuous_start_and_stop(spark, model, tmp_path):
+    """A processing-time stream keeps running until stopped."""
+    import time
+    msgs = messages(spark, SF01)
+    src_dir = str(tmp_path / "in")
+    msgs.repartition(2, "partition").write.parquet(src_dir)
+    src = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 1).parquet(src_dir)
+    base = str(tmp_path)
+    s = ScoringStream(model, src, base + "/out", base + "/rej", base + "/ckpt")
+    s.start(processing_time="1 second")
+    try:
+        s.query.processAllAvailable()
+        assert s.running
+        assert s.processed() + s.rejected() == msgs.count()
+    finally:
+        s.stop()
+    deadline = time.time() + 30
+    while s.running and time.time() < deadline:
+        time.sleep(0.2)
+    assert not s.running
