@@ -44,3 +44,14 @@ def test_bounded_term_list_is_broadcast(spark):
     terms = spark.createDataFrame([("alpha",), ("beta",)], "word string")
     plan = _final(words.word_class_counts(docs, terms, max_terms=2))
     assert "BroadcastHashJoin" in plan
+
+
+def test_no_cross_joins_in_registered_queries(spark):
+    import __spark_entry__ as E
+    qs = E.queries()
+    offenders = []
+    for name in sorted(E.oracle_sql()):
+        plan = qs[name](spark, SF01)._jdf.queryExecution().executedPlan().toString()
+        if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
+            offenders.append(name)
+    assert offenders == []
