@@ -19,15 +19,20 @@ def score(model, df: DataFrame, text_col: str = "dialogue", keep_raw: bool = Fal
     = P(class 1) (P05; also when class 0 is predicted).  Null text is scored
     as empty text rather than failing the job; empty cleaned text is kept.
     Works unchanged on streaming frames (transform only, no fitting).
+    Input columns named like the pipeline's intermediate columns (``words``,
+    ``features``, ...) are recomputed and not returned; an input
+    ``prediction`` / ``confidence`` is replaced by the new one.
     ``keep_raw`` adds ``raw_score`` = ``rawPrediction[1]``, the column the
     reference's AUC was computed on (leaf counts for a single tree: use it
     only to reproduce that number)."""
-    prepared = df.withColumn("clean_text", clean_text(F.coalesce(F.col(text_col), F.lit(""))))
+    # columns the pipeline itself produces are replaced, not an error
+    stale = [c for c in _INTERNAL + ("prediction", "confidence") if c in df.columns and c != text_col]
+    prepared = df.drop(*stale).withColumn("clean_text", clean_text(F.coalesce(F.col(text_col), F.lit(""))))
     out = model.transform(prepared)
     out = out.withColumn("confidence", vector_to_array(F.col("probability"))[1])
     if keep_raw:
         out = out.withColumn("raw_score", vector_to_array(F.col("rawPrediction"))[1])
-    return out.drop(*[c for c in _INTERNAL if c not in df.columns])
+    return out.drop(*[c for c in _INTERNAL if c not in df.columns or c in stale])
 
 
 def classified_batch(scored: DataFrame, text_col: str = "dialogue") -> DataFrame:

@@ -97,3 +97,14 @@ def test_raw_score_auc_variant(fitted, data):
     # for logistic regression the raw margin is monotone in the probability: same AUC
     assert metrics.roc_auc(lr, score_col="confidence").collect()[0]["auc"] == \
         metrics.roc_auc(lr, score_col="raw_score").collect()[0]["auc"]
+
+
+def test_score_replaces_stale_pipeline_columns(spark, fitted, data):
+    from colloquy.operators import features
+    _, held = data
+    pre = features.text_features(held.select("doc_id", "dialogue")).withColumn("prediction", F.lit(7.0))
+    out = scoring.score(fitted[models.DECISION_TREE], pre)
+    assert out.filter(~F.col("prediction").isin(0.0, 1.0)).count() == 0
+    assert "raw_features" not in out.columns and "words" not in out.columns
+    plain = scoring.score(fitted[models.DECISION_TREE], held.select("doc_id", "dialogue"))
+    assert out.select("doc_id", "prediction").exceptAll(plain.select("doc_id", "prediction")).count() == 0
