@@ -43,12 +43,34 @@ def cmd_train(args) -> int:
         print(f"{r['Model']} {r['Dataset']} {r['line']}")
     print(f"best model: {run.best_name} (saved to {args.model})")
     words_df = features.with_tokens(labelled.select("labels", "clean_text"))
-    for name, stats in word_report(spark, run, words_df, n=args.top_words).items():
+    reports = word_report(spark, run, words_df, n=args.top_words)
+    for name, stats in reports.items():
         print(f"\n{name} - top words")
         stats.show(args.top_words, truncate=False)
+    if args.tables:
+        _write_tables(args.tables, run, reports)
+        print(f"tables written to {args.tables}")
     return 0
 
 
+def _write_tables(folder: str, run, reports: dict) -> None:
+    """The tables behind the reference's figures, as CSV folders: metrics
+    (E07), confusion matrices (E06), split counts (X02) and per model the
+    word statistics (A04), their long form (A05) and ratio order (A06)."""
+    from colloquy.operators import words
+
+    def csv(df, name):
+        df.coalesce(1).write.mode("overwrite").option("header", "true").csv(f"{folder.rstrip('/')}/{name}")
+
+    csv(run.metrics, "metrics")
+    csv(run.confusion, "confusion")
+    csv(run.split_counts, "split_counts")
+    for name, stats in reports.items():
+        csv(stats, f"word_stats_{name}")
+        csv(words.melt_counts(stats), f"word_counts_long_{name}")
+        csv(words.rank_by_ratio(stats), f"word_ratio_{name}")
+
+
 def cmd_score(args) -> int:
     """score: a CSV with a dialogue column -> predictions CSV."""
     from colloquy.operators import models, scoring
@@ -128,6 +150,7 @@ def main(argv=None) -> int:
     t.add_argument("--models", default="DT,RF,GBT")
     t.add_argument("--features", choices=("count", "hash"), default="count")
     t.add_argument("--top-words", type=int, default=10)
+    t.add_argument("--tables", help="folder for the metrics / confusion / word tables (CSV)")
     t.set_defaults(fn=cmd_train)
 
     s = sub.add_parser("score", help="score a CSV with a 'dialogue' column")

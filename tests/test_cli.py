@@ -19,8 +19,12 @@ def test_cli_end_to_end(spark, tmp_path, capsys):
     csv = str(tmp_path / "labelled")
     labelled.write.option("header", True).option("quoteAll", True).option("escape", '"').csv(csv)
     model = str(tmp_path / "model")
-    assert main(["train", "--labelled", csv, "--model", model, "--models", "DT,LR"]) == 0
+    tables = str(tmp_path / "tables")
+    assert main(["train", "--labelled", csv, "--model", model, "--models", "DT,LR", "--tables", tables]) == 0
     out = capsys.readouterr().out
+    metrics_csv = spark.read.option("header", True).csv(tables + "/metrics")
+    assert metrics_csv.count() == 2 * 2 * 5 and set(metrics_csv.columns) == {"Model", "Dataset", "Metric", "Score"}
+    assert spark.read.option("header", True).csv(tables + "/word_stats_DecisionTree").count() == 10
     assert "best model:" in out and "Validation F1:" in out and "Train:" in out
 
     uploads = str(tmp_path / "uploads")
