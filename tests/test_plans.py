@@ -55,3 +55,19 @@ def test_no_cross_joins_in_registered_queries(spark):
         if "CartesianProduct" in plan or "BroadcastNestedLoopJoin" in plan:
             offenders.append(name)
     assert offenders == []
+
+
+def test_similarity_plan_has_no_pair_join(spark):
+    import __spark_entry__ as E
+    df = E.queries()["similar_h02"](spark, SF01)
+    # exactly two joins, both "tf x idf" weightings (history and queries); a
+    # query-document pair join on term would be a third
+    joins = [ln for ln in _optimized(df).splitlines() if "Join " in ln]
+    assert len(joins) == 2 and all("idf" in ln and "term" in ln for ln in joins)
+    plan = _final(df)
+    assert "FlatMapCoGroupsInPandas" in plan and "WindowGroupLimit" in plan
+
+
+def test_vocabulary_cut_uses_threshold(spark):
+    plan = _optimized(features.vocabulary(_docs(spark), size=100))
+    assert "scalar-subquery" in plan.lower() or "subquery" in plan.lower()
