@@ -19,6 +19,20 @@ def labelled_split(spark, sf):
     return split.hash_split(df, "doc_id", out="dataset")
 
 
+_LABELLED: dict = {}
+
+
+def cached_split(spark, sf):
+    """``labelled_split`` cached once per session: every model query trains
+    on its Train part and scores its held-out parts without re-scanning,
+    re-joining and re-cleaning the documents."""
+    from colloquy.session import persist
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LABELLED:
+        _LABELLED[key] = persist(labelled_split(spark, sf))
+    return _LABELLED[key]
+
+
 _PREPARED: dict = {}
 
 
@@ -31,7 +45,7 @@ def trained(spark, sf, name: str, kind: str = "count", **params):
     if key not in _MEMO:
         pkey = (app, sf, kind)
         if pkey not in _PREPARED:
-            train = labelled_split(spark, sf).filter(F.col("dataset") == split.TRAIN)
+            train = cached_split(spark, sf).filter(F.col("dataset") == split.TRAIN)
             _PREPARED[pkey] = models.prepare_training(train, kind=kind)
         _MEMO[key] = _PREPARED[pkey].fit(name, **params)
     return _MEMO[key]
@@ -40,7 +54,7 @@ def trained(spark, sf, name: str, kind: str = "count", **params):
 def predictions(spark, sf, name: str, kind: str = "count", **params):
     """doc_id, dataset, labels, prediction, confidence on Validation + Test."""
     model = trained(spark, sf, name, kind, **params)
-    held = labelled_split(spark, sf).filter(F.col("dataset") != split.TRAIN).select(
+    held = cached_split(spark, sf).filter(F.col("dataset") != split.TRAIN).select(
         "doc_id", "dialogue", "labels", "dataset")
     return scoring.score(model, held).select("doc_id", "dataset", "labels", "prediction", "confidence")
 
