@@ -55,6 +55,11 @@ def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema))
 
 
+def ddl(df: DataFrame) -> str:
+    """The columns of ``df`` as a schema string."""
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
 def to_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     arrays = []
     for field in schema:

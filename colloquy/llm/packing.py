@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import map_arrow, settle
+from colloquy.llm.common import ddl, map_arrow, settle
 
 RANK_BUCKETS = 256
 
@@ -83,7 +83,6 @@ def pack(pieces: DataFrame, capacity: int, buckets: int = RANK_BUCKETS) -> DataF
     own = Window.partitionBy("length", "_b").orderBy("doc_id", "piece", "start", "ids_crc32")
     ranked = (rows.withColumn("_r", F.row_number().over(own) - 1).join(starts, ["length", "_b"])
               .withColumn("_r", (F.col("_r") + F.col("_s")).cast("long")))
-    keep = [f for f in pieces.schema.fields]
     table = np.array(sorted(plan) or [(0, 0, 0, 0, 0)], dtype=np.int64)
     keys = (table[:, 0] << 48) + table[:, 1]
 
@@ -94,6 +93,5 @@ def pack(pieces: DataFrame, capacity: int, buckets: int = RANK_BUCKETS) -> DataF
         hit = table[at]
         return {**cols, "sequence_id": hit[:, 3] + rank - hit[:, 1], "offset": hit[:, 4]}
 
-    names = [f.name for f in keep] + ["_r"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keep)
-    return map_arrow(ranked.select(*names), step, f"{schema}, sequence_id long, offset long")
+    names = [*pieces.columns, "_r"]
+    return map_arrow(ranked.select(*names), step, ddl(pieces) + ", sequence_id long, offset long")

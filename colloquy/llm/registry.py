@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import grammar, packing, simhash, tokens
+from colloquy.llm import decontam, grammar, html, knn, packing, pii, quality, simhash, tokens, urls
 from colloquy.llm.common import table
 
 CAPACITY = 2048
@@ -35,5 +35,65 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {"op1_simhash": op1_simhash, "op3_token_files": op3_token_files, "op4_packing": op4_packing}
-SQL: dict[str, str] = {}
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in ``documents``: counts of the base spans, their digest,
+    and all spans."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return pii.find(docs, pii.train(docs))
+
+
+def op5_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest inner products of every vector with an id divisible by 20."""
+    vectors = knn.quantised(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+    return knn.search(vectors, F.col("vec_id") % 20 == 0, 20)
+
+
+OP5_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS v
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every url of ``pages`` judged by the rules, else by the template tree."""
+    return urls.judge(table(spark, sf_dir, "pages", "page_id", "url"))
+
+
+def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages in ``documents``: doc_id, item_id, distance, item_words."""
+    return decontam.matches(table(spark, sf_dir, "documents", "doc_id", "text"),
+                            table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every row of ``pages``."""
+    return html.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every row of ``documents``."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.score(docs, model).select(
+        "doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_pii": op2_pii,
+    "op3_token_files": op3_token_files,
+    "op4_packing": op4_packing,
+    "op5_knn": op5_knn,
+    "op6_url_filter": op6_url_filter,
+    "op8_decontam": op8_decontam,
+    "op9_main_text": op9_main_text,
+    "op10_quality": op10_quality,
+}
+SQL: dict[str, str] = {"op5_knn": OP5_SQL}
