@@ -7,21 +7,21 @@ from __future__ import annotations
 import numpy as np
 
 GRAM = 32
-_BASES = (0x9E3779B97F4A7C15 | 1, 0xC2B2AE3D27D4EB4F | 1)
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: list[np.ndarray] = []
 
 
-def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of a base and of its inverse modulo 2^64, at least n of each."""
-    have = _POWERS.get(which)
-    if have is None or len(have[0]) < n:
-        base = _BASES[which]
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the base and of its inverse modulo 2^64, at least n of each."""
+    if not _POWERS or len(_POWERS[0]) < n:
         size = 1 << max(16, n.bit_length())
-        up = np.ones(size, np.uint64)
-        down = np.ones(size, np.uint64)
-        up[1:], down[1:] = np.uint64(base), np.uint64(pow(base, -1, 1 << 64))
-        have = _POWERS[which] = np.multiply.accumulate(up), np.multiply.accumulate(down)
-    return have
+        made = []
+        for x in (_BASE, pow(_BASE, -1, 1 << 64)):
+            steps = np.ones(size, np.uint64)
+            steps[1:] = np.uint64(x)
+            made.append(np.multiply.accumulate(steps))
+        _POWERS[:] = made
+    return _POWERS
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -31,51 +31,72 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 class RangeHash:
-    """64-bit hashes of byte ranges of one array."""
+    """64-bit polynomial hashes of byte ranges of one array."""
 
-    def __init__(self, data: np.ndarray, which: int):
-        up, self.down = _powers(which, len(data) + 1)
+    def __init__(self, data: np.ndarray):
+        up, self.down = _powers(len(data) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)], out=self.sums[1:])
 
+    def grams(self, width: int) -> np.ndarray:
+        """Of every range of ``width`` bytes, not mixed."""
+        n = len(self.sums) - width
+        return (self.sums[width:] - self.sums[:n]) * self.down[:n]
+
     def of(self, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
         return _mix((self.sums[stop] - self.sums[start]) * self.down[start])
 
 
 def anchor_runs(data: np.ndarray, ends: np.ndarray, length: int, gram: int = GRAM):
     """Runs of windows over documents laid end to end (``ends``: where each
-    stops).  Returns (document, gram hash, gram position, first window, last
-    window, hash of the bytes the run covers); positions are in ``data``."""
+    stops).  Returns (ranges, document, gram hash, gram position, first window,
+    last window); positions are in ``data``."""
     none = np.empty(0, np.int64)
     n = len(data) - length + 1
+    ranges = RangeHash(data)
     if n <= 0:
-        return none, none.astype(np.uint64), none, none, none, none.astype(np.uint64)
-    ranges = RangeHash(data, 0)
-    at = np.arange(len(data) - gram + 1)
-    # the position in its block breaks ties towards the left
+        return ranges, none, none.astype(np.uint64), none, none, none
+    # the high bits of a gram's hash order it; its place in its block breaks
+    # ties towards the left
     span = length - gram + 1
     bits = np.uint64((span - 1).bit_length())
-    grams = ranges.of(at, at + gram)
+    mask = (np.uint64(1) << bits) - np.uint64(1)
+    grams = ranges.grams(gram)
     blocks = -(-(len(grams) + span) // span)
     key = np.full(blocks * span, np.iinfo(np.uint64).max, np.uint64)
-    key[:len(grams)] = (grams >> bits << bits) | (at % span).astype(np.uint64)
+    key[:len(grams)] = grams
     key = key.reshape(blocks, span)
+    key &= ~mask
+    key |= np.arange(span, dtype=np.uint64)
     right = np.minimum.accumulate(key, axis=1).ravel()                        # from the block's start
-    left = np.minimum.accumulate(key[:, ::-1], axis=1)[:, ::-1].ravel()       # to the block's end
+    left = np.ascontiguousarray(np.minimum.accumulate(key[:, ::-1], axis=1)[:, ::-1]).ravel()   # to its end
+    a, b = left[:n], right[span - 1:span - 1 + n]
     s = np.arange(n)
-    a, b = left[s], right[np.minimum(s + span - 1, len(right) - 1)]
-    whole = s % span == 0                                                     # the window is the block
-    first = whole | ((a >> bits) <= (b >> bits))
-    mask = (np.uint64(1) << bits) - np.uint64(1)
-    base = s // span * span
+    base = np.repeat(np.arange(0, blocks * span, span), span)[:n]
+    first = (a | mask) <= (b | mask)
     pick = np.where(first, base + (a & mask).astype(np.int64), base + span + (b & mask).astype(np.int64))
-    doc = np.searchsorted(ends, s, "right")
-    valid = s + length <= ends[doc]
-    s, pick, doc = s[valid], pick[valid], doc[valid]
-    if not len(s):
-        return none, none.astype(np.uint64), none, none, none, none.astype(np.uint64)
-    new = np.flatnonzero(np.concatenate(([True], (pick[1:] != pick[:-1]) | (doc[1:] != doc[:-1]))))
-    lo, hi = s[new], s[np.append(new[1:], len(s)) - 1]
-    cover = RangeHash(data, 1).of(lo, hi + length)
-    cover = _mix(cover + (pick[new] - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + (hi - lo).astype(np.uint64))
-    return doc[new], grams[pick[new]], pick[new], lo, hi, cover
+    pick[::span] = np.arange(0, n, span) + (a[::span] & mask).astype(np.int64)  # the window is the block
+    starts = ends - np.diff(np.concatenate(([0], ends)))
+    valid = np.zeros(n + 1, np.int32)
+    long = ends - starts >= length
+    np.add.at(valid, starts[long], 1)
+    np.add.at(valid, ends[long] - length + 1, -1)
+    valid = np.cumsum(valid[:n]) > 0
+    # a run ends where the pick or the document changes
+    change = np.ones(n, bool)
+    change[1:] = pick[1:] != pick[:-1]
+    edges = starts[starts < n]
+    change[edges] = True
+    change[1:] |= valid[1:] != valid[:-1]
+    at = np.flatnonzero(change)
+    stop = np.append(at[1:], n) - 1
+    keep = valid[at]
+    lo, hi = s[at[keep]], stop[keep]
+    p = pick[lo]
+    return ranges, np.searchsorted(ends, lo, "right"), _mix(grams[p]), p, lo, hi
+
+
+def cover_hash(ranges: RangeHash, p, lo, hi, length: int) -> np.ndarray:
+    """Hash of the bytes that runs cover, and of where the anchor stands in them."""
+    return _mix(ranges.of(lo, hi + length) + (p - lo).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+                + (hi - lo).astype(np.uint64))

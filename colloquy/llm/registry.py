@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import decontam, grammar, html, knn, packing, pii, quality, simhash, tokens, urls
+from colloquy.llm import decontam, grammar, html, knn, packing, pii, quality, simhash, suffix, tokens, urls
 from colloquy.llm.common import table
 
 CAPACITY = 2048
@@ -65,6 +65,11 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages", "page_id", "url"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` without the bytes of 100-byte strings that start earlier too."""
+    return suffix.remove_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark passages in ``documents``: doc_id, item_id, distance, item_words."""
     return decontam.matches(table(spark, sf_dir, "documents", "doc_id", "text"),
@@ -92,6 +97,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_knn": op5_knn,
     "op6_url_filter": op6_url_filter,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_decontam": op8_decontam,
     "op9_main_text": op9_main_text,
     "op10_quality": op10_quality,
