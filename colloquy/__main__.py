@@ -92,7 +92,9 @@ def cmd_stream(args) -> int:
 
     spark = _session(args)
     if args.kafka:
-        source = read_kafka_stream(spark, max_offsets_per_trigger=args.max_per_trigger)
+        # without a limit the first batch of a continuous run is the entire backlog
+        limit = args.max_per_trigger or (10_000 if args.continuous else None)
+        source = read_kafka_stream(spark, max_offsets_per_trigger=limit)
         sink = kafka_writer_options()
     else:
         source = (spark.readStream.schema("key string, value string, partition int, offset long")

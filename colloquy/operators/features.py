@@ -2,7 +2,7 @@
 
 Two forms of the same features:
 
-* MLlib stages (``feature_stages``) for model pipelines that are saved and
+* MLlib stages (``fit_feature_stages``) for model pipelines that are saved and
   re-loaded for scoring;
 * long-form DataFrames ``(doc, term, value)`` for the checked operators and
   for joins (word statistics, similarity search).  These are pure Spark SQL:
@@ -12,7 +12,8 @@ Two forms of the same features:
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizer, HashingTF, IDF, StopWordsRemover, Tokenizer
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import CountVectorizerModel, HashingTF, IDF, StopWordsRemover, Tokenizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -134,14 +135,10 @@ def tfidf_table(docs: DataFrame, key: str, words_col: str = "words") -> DataFram
     return tfidf(tf, idf_from_tf(tf, docs), key)
 
 
-def tfidf(tf: DataFrame, idf: DataFrame, key: str, bounded_idf: bool = False) -> DataFrame:
-    """``(key, term, tfidf)`` = tf x idf, no length normalisation.  The
-    idf side is broadcast only when its size is bounded (a capped
-    vocabulary); otherwise AQE decides from its run-time size."""
-    right = idf.select("term", "idf")
-    if bounded_idf:
-        right = F.broadcast(right)
-    return (tf.join(right, "term")
+def tfidf(tf: DataFrame, idf: DataFrame, key: str) -> DataFrame:
+    """``(key, term, tfidf)`` = tf x idf, no length normalisation; AQE
+    picks the join from the idf side's run-time size."""
+    return (tf.join(idf.select("term", "idf"), "term")
               .select(key, "term", (F.col("tf") * F.col("idf")).alias("tfidf")))
 
 
@@ -152,23 +149,34 @@ def text_features(df: DataFrame, text_col: str = "dialogue") -> DataFrame:
               .withColumn("filtered_words", remove_stop_words("words")))
 
 
-def feature_stages(kind: str = "count", vocab_size: int = DEFAULT_VOCAB_SIZE,
-                   num_features: int = DEFAULT_NUM_FEATURES, input_col: str = "clean_text",
-                   features_col: str = "features"):
-    """MLlib stages Tokenizer -> StopWordsRemover -> (CountVectorizer |
-    HashingTF) -> IDF.  ``kind="count"`` is the vocabulary design,
-    ``kind="hash"`` the hashed design (F07: ``numFeatures`` buckets,
-    non-binary)."""
-    tok = Tokenizer(inputCol=input_col, outputCol="words")
-    sw = StopWordsRemover(inputCol="words", outputCol="filtered_words")
+def hashing_stages(num_features: int = DEFAULT_NUM_FEATURES, input_col: str = "clean_text"):
+    """Tokenizer -> StopWordsRemover -> HashingTF (F07: non-binary); nothing to fit."""
+    return [Tokenizer(inputCol=input_col, outputCol="words"),
+            StopWordsRemover(inputCol="words", outputCol="filtered_words"),
+            HashingTF(inputCol="filtered_words", outputCol="raw_features", numFeatures=num_features)]
+
+
+def fit_feature_stages(train: DataFrame, kind: str = "count", vocab_size: int = DEFAULT_VOCAB_SIZE,
+                       num_features: int = DEFAULT_NUM_FEATURES, input_col: str = "clean_text",
+                       features_col: str = "features") -> PipelineModel:
+    """MLlib stages Tokenizer -> StopWordsRemover -> (counts over the
+    vocabulary | HashingTF) -> IDF, fitted.
+
+    ``kind="count"`` takes the vocabulary of ``vocabulary`` (F03), which breaks
+    ties at the cut by term: MLlib's own fit keeps whichever of the tied terms
+    arrive first, so the kept set would depend on the cluster.  Only integers
+    are counted, so the fitted stages are the same on any layout.
+    ``kind="hash"`` is the hashed design (F07)."""
+    stages = hashing_stages(num_features, input_col)
     if kind == "count":
-        tf = CountVectorizer(inputCol="filtered_words", outputCol="raw_features", vocabSize=vocab_size)
-    elif kind == "hash":
-        tf = HashingTF(inputCol="filtered_words", outputCol="raw_features", numFeatures=num_features)
-    else:
+        terms = vocabulary(with_tokens(train.select(input_col), input_col), size=vocab_size)
+        names = [r.term for r in terms.orderBy("term_index").collect()]     # at most vocab_size rows
+        stages[2] = CountVectorizerModel.from_vocabulary(names, "filtered_words", "raw_features")
+    elif kind != "hash":
         raise ValueError(f"unknown feature kind {kind!r}; use 'count' or 'hash'")
-    idf = IDF(inputCol="raw_features", outputCol=features_col)
-    return [tok, sw, tf, idf]
+    counted = PipelineModel(stages=stages)
+    idf = IDF(inputCol="raw_features", outputCol=features_col).fit(counted.transform(train.select(input_col)))
+    return PipelineModel(stages=[*stages, idf])
 
 
 def vector_summary(df: DataFrame, vec_col: str = "raw_features") -> DataFrame:

@@ -68,16 +68,21 @@ def classification_metrics(pred: DataFrame, group_cols=(), label_col: str = "lab
                       (F.col("_wr") / n).alias("weighted_recall"), (F.col("_wf") / n).alias("f1"))
 
 
+# predictions per ordered range of the AUC's running count
+SCORES_PER_RANGE = 50_000
+
+
 def roc_auc(pred: DataFrame, group_cols=(), label_col: str = "labels", score_col: str = "score",
-            buckets: int = 256, weight_col: str | None = None) -> DataFrame:
+            buckets: int | None = None, weight_col: str | None = None) -> DataFrame:
     """Exact ROC AUC per group, ``(group..., auc)``; null when a group
     has no positives or no negatives.
 
     AUC = sum over distinct scores s of p_s * (negatives below s + n_s / 2),
     divided by P * N.  The running count of negatives is computed without a
-    global (single-task) window: distinct scores are cut into ``buckets``
-    ordered ranges from approximate quantiles; bucket totals (at most
-    ``buckets`` rows per group) give each range its offset, and the running
+    global (single-task) window: distinct scores are cut into ordered ranges
+    from approximate quantiles (``buckets``; by default one per
+    ``SCORES_PER_RANGE`` predictions, 2 to 10,000); range totals (one row a
+    range and group) give each range its offset, and the running
     sum inside a range is a window partitioned by (group, range).  Only
     integers are summed, so the result does not depend on evaluation order."""
     g = list(group_cols)
@@ -90,6 +95,9 @@ def roc_auc(pred: DataFrame, group_cols=(), label_col: str = "labels", score_col
                  .groupBy(*g, "_s")
                  .agg(F.sum(F.when(F.col("_pos"), F.col("_wt")).otherwise(0)).alias("_p"),
                       F.sum(F.when(F.col("_pos"), 0).otherwise(F.col("_wt"))).alias("_n")))
+    if buckets is None:
+        rows = pred.select(F.count(F.lit(1))).first()[0]
+        buckets = min(10_000, max(2, -(-rows // SCORES_PER_RANGE)))
     if buckets > 1:
         qs = [i / buckets for i in range(1, buckets)]
         bounds = per_score.groupBy(*g).agg(F.percentile_approx("_s", qs, 10000).alias("_b"))
@@ -118,17 +126,17 @@ def confusion_matrix(pred: DataFrame, group_cols=(), label_col: str = "labels",
                      prediction_col: str = "prediction", classes=(0.0, 1.0),
                      weight_col: str | None = None) -> DataFrame:
     """One row per true label (``labels_prediction`` as text, like
-    ``crosstab``) and one bigint column per predicted class; every class in
-    ``classes`` gets a column even when never predicted."""
+    ``crosstab``), one bigint column per class in ``classes`` (even when never
+    predicted) and ``predicted_other`` for every other prediction, null
+    included, so that the counts of a row always add up to its rows."""
     g = list(group_cols)
-    names = [f"predicted_{int(c)}" for c in classes]
     pr = F.col(prediction_col).cast("double")
-    pname = F.concat(F.lit("predicted_"), pr.cast("int").cast("string"))
-    wt = [] if weight_col is None else [F.col(weight_col).alias("_wt")]
-    base = pred.select(*g, F.col(label_col).cast("double").cast("string").alias("labels_prediction"),
-                       pname.alias("_pc"), *wt)
-    pv = base.groupBy(*g, "labels_prediction").pivot("_pc", names).agg(_weight(None if not wt else "_wt"))
-    return pv.select(*g, "labels_prediction", *[F.coalesce(F.col(n), F.lit(0)).cast("bigint").alias(n) for n in names])
+    weight = F.lit(1) if weight_col is None else F.col(weight_col)
+    cell = lambda hit: F.sum(F.when(hit, weight).otherwise(0)).cast("bigint")
+    own = [cell(pr == c).alias(f"predicted_{int(c)}") for c in classes]
+    other = cell(~F.coalesce(pr.isin(*classes), F.lit(False))).alias("predicted_other")
+    label = F.col(label_col).cast("double").cast("string").alias("labels_prediction")
+    return pred.groupBy(*g, label).agg(*own, other)
 
 
 def prediction_counts(pred: DataFrame, group_cols, label_col: str = "labels",

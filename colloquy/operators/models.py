@@ -8,9 +8,7 @@ features for each model).  Training itself is distributed MLlib.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
@@ -19,7 +17,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.sql import DataFrame
 
-from colloquy.operators.features import DEFAULT_NUM_FEATURES, DEFAULT_VOCAB_SIZE, feature_stages
+from colloquy.operators.features import DEFAULT_NUM_FEATURES, DEFAULT_VOCAB_SIZE, fit_feature_stages
 from colloquy.session import ensure_checkpoint_dir, persist
 
 # --- fixed values -----------------------------------------------------------
@@ -37,8 +35,9 @@ DEFAULT_PARAMS = {
     LOGISTIC_REGRESSION: {},
 }
 REFERENCE_MODELS = (DECISION_TREE, RANDOM_FOREST, BOOSTED_TREES)
-# Target rows per partition of the cached training vectors.
-ROWS_PER_PARTITION = 20_000
+# Partitions of the training vectors: a setting of the run, never derived from
+# the cluster, because tree learners draw their samples per partition.
+TRAIN_PARTITIONS = 4
 # -----------------------------------------------------------------------------
 
 _CLASSES = {
@@ -57,6 +56,10 @@ def classifier(name: str, label_col: str = "labels", features_col: str = "featur
         raise ValueError(f"unknown classifier {name!r}; choose from {sorted(_CLASSES)}")
     params = dict(DEFAULT_PARAMS[name])
     params.update(overrides)
+    if name in (RANDOM_FOREST, DECISION_TREE):
+        # node ids are kept beside the rows and checkpointed to the shared
+        # folder; a boosting round is too short for that to pay
+        params.setdefault("cacheNodeIds", True)
     if name in (RANDOM_FOREST, BOOSTED_TREES, DECISION_TREE):
         params.setdefault("checkpointInterval", 10)
     return _CLASSES[name](featuresCol=features_col, labelCol=label_col, **params)
@@ -65,24 +68,20 @@ def classifier(name: str, label_col: str = "labels", features_col: str = "featur
 def fit_features(train: DataFrame, kind: str = "count", vocab_size: int = DEFAULT_VOCAB_SIZE,
                  num_features: int = DEFAULT_NUM_FEATURES, text_col: str = "clean_text") -> PipelineModel:
     """F08 fitted: tokenizer, stop words, vocabulary or hashing, IDF."""
-    return Pipeline(stages=feature_stages(kind, vocab_size, num_features, input_col=text_col)).fit(train)
+    return fit_feature_stages(train, kind, vocab_size, num_features, input_col=text_col)
 
 
 class PreparedTraining:
     """Fitted feature stages plus the cached training vectors, shared by
     every classifier trained on them.  ``release()`` drops the caches."""
 
-    def __init__(self, base, feat, vectors, lr_partitions: int | None, label_col: str):
-        self.base, self.feat, self.vectors = base, feat, vectors
-        self.lr_partitions, self.label_col = lr_partitions, label_col
+    def __init__(self, base, feat, vectors, label_col: str):
+        self.base, self.feat, self.vectors, self.label_col = base, feat, vectors, label_col
 
     def fit(self, name: str, **params) -> PipelineModel:
         """One classifier glued behind the shared feature stages."""
         est = classifier(name, label_col=self.label_col, **params)
-        data = self.vectors
-        if name == LOGISTIC_REGRESSION and self.lr_partitions:
-            data = self.vectors.coalesce(self.lr_partitions)  # one gradient per partition per pass
-        return PipelineModel(stages=list(self.feat.stages) + [est.fit(data)])
+        return PipelineModel(stages=list(self.feat.stages) + [est.fit(self.vectors)])
 
     def release(self) -> None:
         self.vectors.unpersist()
@@ -91,36 +90,34 @@ class PreparedTraining:
 
 def prepare_training(train: DataFrame, kind: str = "count", vocab_size: int = DEFAULT_VOCAB_SIZE,
                      num_features: int = DEFAULT_NUM_FEATURES, label_col: str = "labels",
-                     text_col: str = "clean_text") -> PreparedTraining:
+                     text_col: str = "clean_text", key: str | None = None,
+                     partitions: int = TRAIN_PARTITIONS) -> PreparedTraining:
     """Scan / join / clean the training input once (cached), fit the feature
     stages, and cache the vectors.
 
-    Iterative fitting runs one job per pass, so partitions are sized to the
-    data: about ROWS_PER_PARTITION rows each, but tree learners keep at least
-    half the cores busy (they aggregate per partition).  A large training
-    set keeps all of its partitions."""
+    Rows are dealt by a hash of ``key`` (the text where no key is named) over
+    ``partitions`` partitions and sorted in them, so that the same input gives
+    the same partitions, samples and trees on any cluster.  Set ``partitions``
+    to the cores of a large run; copies of one text need a key to spread."""
     ensure_checkpoint_dir(train.sparkSession)  # tree models checkpoint node ids there
-    base = persist(train.select(label_col, text_col))
-    n = base.count()
-    sc = train.sparkSession.sparkContext
-    by_rows = max(1, math.ceil(n / ROWS_PER_PARTITION))
-    have = base.rdd.getNumPartitions()
-    parts = min(have, max(by_rows, math.ceil(sc.defaultParallelism / 2)))
-    work = base.coalesce(parts) if parts < have else base
-    feat = fit_features(work, kind, vocab_size, num_features, text_col)
-    vectors = persist(feat.transform(work).select(label_col, "features"))
-    return PreparedTraining(base, feat, vectors, by_rows if by_rows < parts else None, label_col)
+    order = [key] if key else []
+    dealt = (train.select(*order, label_col, text_col).repartition(partitions, *(order or [text_col]))
+             .sortWithinPartitions(*order, text_col, label_col))
+    base = persist(dealt.select(label_col, text_col))
+    feat = fit_features(base, kind, vocab_size, num_features, text_col)
+    vectors = persist(feat.transform(base).select(label_col, "features"))
+    return PreparedTraining(base, feat, vectors, label_col)
 
 
 def fit_models(train: DataFrame, names=REFERENCE_MODELS, kind: str = "count",
                vocab_size: int = DEFAULT_VOCAB_SIZE, num_features: int = DEFAULT_NUM_FEATURES,
-               params: dict | None = None, label_col: str = "labels",
-               text_col: str = "clean_text") -> dict:
+               params: dict | None = None, label_col: str = "labels", text_col: str = "clean_text",
+               key: str | None = None, partitions: int = TRAIN_PARTITIONS) -> dict:
     """``{name: PipelineModel}``; features fitted once, vectors cached
     (memory and disk, recomputed from lineage if an executor is lost) and
     released afterwards."""
     params = params or {}
-    prep = prepare_training(train, kind, vocab_size, num_features, label_col, text_col)
+    prep = prepare_training(train, kind, vocab_size, num_features, label_col, text_col, key, partitions)
     try:
         return {name: prep.fit(name, **params.get(name, {})) for name in names}
     finally:

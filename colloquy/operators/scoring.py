@@ -3,6 +3,7 @@ and a streaming frame."""
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,31 @@ def score(model, df: DataFrame, text_col: str = "dialogue", keep_raw: bool = Fal
     return out.drop(*[c for c in _INTERNAL if c not in df.columns or c in stale])
 
 
+def score_all(models: dict, df: DataFrame, keep: list[str], text_col: str = "dialogue") -> DataFrame:
+    """``model, <keep>, prediction, confidence`` of every row under every model.
+
+    Models that share their feature stages are applied one after another to
+    the same vectors, so tokenising, counting and weighting run once."""
+    groups: dict[tuple, list[str]] = {}
+    for name, model in models.items():
+        groups.setdefault(tuple(st.uid for st in model.stages[:-1]), []).append(name)
+    union = None
+    for names in groups.values():
+        stages = models[names[0]].stages[:-1]
+        text = df.select(*keep, clean_text(F.coalesce(F.col(text_col), F.lit(""))).alias("clean_text"))
+        out = PipelineModel(stages=list(stages)).transform(text).select(*keep, "features")
+        cells = []
+        for k, name in enumerate(names):
+            last = models[name].stages[-1]
+            last = last.copy({last.predictionCol: f"_p{k}", last.probabilityCol: f"_c{k}", last.rawPredictionCol: f"_r{k}"})
+            out = last.transform(out).drop(f"_r{k}")
+            cells.append(F.struct(F.lit(name).alias("model"), F.col(f"_p{k}").alias("prediction"),
+                                  vector_to_array(F.col(f"_c{k}"))[1].alias("confidence")))
+        part = out.select(*keep, F.inline(F.array(*cells))).select("model", *keep, "prediction", "confidence")
+        union = part if union is None else union.unionByName(part)
+    return union
+
+
 def classified_batch(scored: DataFrame, text_col: str = "dialogue") -> DataFrame:
     """``dialogue, predicted_label, confidence`` as display text
     (label text, or the value itself when unmapped; ``"12.34%"`` or null when

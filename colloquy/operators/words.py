@@ -9,29 +9,21 @@ from colloquy.functions.formats import round_half_up, round_ratio
 from colloquy.functions.text import ENGLISH_STOP_WORDS
 from colloquy.operators.features import doc_terms
 
-# Broadcast a term list only under this many rows (a proven bound: the lists
-# come from a top-n or a capped vocabulary).
-MAX_BROADCAST_TERMS = 200_000
-
-
 def word_class_counts(docs: DataFrame, terms: DataFrame, words_col: str = "words",
                       label_col: str = "labels", term_col: str = "word",
-                      max_terms: int | None = None, stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
+                      stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
     """A02 + A03: for each term in ``terms``: how many dialogues of class 1
     (``scam_count``) and class 0 (``non_scam_count``) contain it, and
     ``scam_ratio = round(scam / (scam + non), 3)`` (0.0 when neither).
 
     One pass over the dialogues for all terms: explode the distinct words of
-    each dialogue, inner-join the (bounded, broadcast) term list, and sum
-    per term with map-side partial aggregation.  Terms that occur nowhere
+    each dialogue, inner-join the term list (broadcast by Spark when its
+    measured size allows, shuffled otherwise), and sum per term with map-side partial aggregation.  Terms that occur nowhere
     keep zero counts."""
-    if max_terms is not None and max_terms > MAX_BROADCAST_TERMS:
-        raise ValueError(f"term list bound {max_terms} exceeds broadcast limit {MAX_BROADCAST_TERMS}")
     term_list = terms.select(F.col(term_col).alias("word")).distinct()
-    right = F.broadcast(term_list) if max_terms is not None else term_list
     lab = docs.select(F.col(label_col).alias("_label"), words_col)
     hits = (doc_terms(lab, "_label", words_col, stop_words, distinct=True).withColumnRenamed("term", "word")
-                .join(right, "word")
+                .join(term_list, "word")
                 .groupBy("word")
                 .agg(F.sum(F.when(F.col("_label") == 1.0, 1).otherwise(0)).cast("bigint").alias("scam_count"),
                      F.sum(F.when(F.col("_label") == 0.0, 1).otherwise(0)).cast("bigint").alias("non_scam_count")))
@@ -80,6 +72,14 @@ def importance_vector(model):
     raise NoImportancesError(f"{type(stage).__name__} has no feature importances or coefficients")
 
 
+def idf_vector(model):
+    """Index -> idf weight of the model's own IDF stage."""
+    for st in model.stages:
+        if hasattr(st, "idf"):
+            return st.idf.toArray()
+    raise NoImportancesError("model has no IDF stage")
+
+
 def feature_terms(model):
     """Index -> term for the model's vocabulary stage (CountVectorizer)."""
     for st in model.stages:
@@ -99,17 +99,12 @@ def top_features(spark: SparkSession, model, n: int = 10) -> DataFrame:
     return df.orderBy(F.desc("importance"), F.asc("word")).limit(n)
 
 
-def red_flag_terms(tfidf_long: DataFrame, weights: DataFrame, key: str, k: int = 5,
-                   max_terms: int | None = None) -> DataFrame:
+def red_flag_terms(tfidf_long: DataFrame, weights: DataFrame, key: str, k: int = 5) -> DataFrame:
     """Per dialogue, the ``k`` terms with the largest tfidf x weight
     (weights = term importances or |coefficients|), ``(key, rank, word, score)``.
     The window is partitioned by dialogue, so one task holds one dialogue's
     distinct terms at a time."""
     w = weights.select(F.col("word").alias("term"), F.col("importance").alias("_w")).filter(F.col("_w") > 0)
-    if max_terms is not None:  # a model's vocabulary: bounded, ship it to every task
-        if max_terms > MAX_BROADCAST_TERMS:
-            raise ValueError(f"weight list bound {max_terms} exceeds broadcast limit {MAX_BROADCAST_TERMS}")
-        w = F.broadcast(w)
     scored = (tfidf_long.join(w, "term")
               .select(key, F.col("term").alias("word"), (F.col("tfidf") * F.col("_w")).alias("score")))
     win = Window.partitionBy(key).orderBy(F.desc("score"), F.asc("word"))

@@ -2,31 +2,22 @@
 
 from __future__ import annotations
 
+from colloquy.plans import evaluation, extra, history, modelling, oracle, queries, streams
+
+MODULES = (evaluation, modelling, history, streams, extra)
+
 
 def all_queries() -> dict:
     """Every registered query: name -> fn(spark, sf_dir)."""
-    from colloquy.plans import queries
     out = dict(queries.EXACT)
-    for mod_name in ("colloquy.plans.evaluation", "colloquy.plans.modelling",
-                     "colloquy.plans.history", "colloquy.plans.streams"):
-        try:
-            mod = __import__(mod_name, fromlist=["EXACT"])
-        except ImportError:
-            continue
-        out.update(getattr(mod, "EXACT", {}))
-        out.update(getattr(mod, "ROWS_ONLY", {}))
+    for mod in MODULES:
+        out.update(mod.EXACT)
     return out
 
 
 def all_oracles() -> dict:
-    """The DuckDB SQL of every exactly checkable query."""
-    from colloquy.plans import oracle
+    """The DuckDB SQL of every query."""
     out = dict(oracle.SQL)
-    for mod_name in ("colloquy.plans.evaluation", "colloquy.plans.modelling", "colloquy.plans.history",
-                     "colloquy.plans.streams"):
-        try:
-            mod = __import__(mod_name, fromlist=["SQL"])
-        except ImportError:
-            continue
-        out.update(getattr(mod, "SQL", {}))
+    for mod in MODULES:
+        out.update(mod.SQL)
     return out

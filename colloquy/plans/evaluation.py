@@ -36,8 +36,10 @@ def metrics_e02_e05(spark, sf):
 
 
 def confusion_e06(spark, sf):
-    """E06 per rule model and dataset."""
-    return metrics.confusion_matrix(rule_eval_frame(spark, sf), ["model", "dataset"])
+    """E06 per rule model and dataset, with a third predicted class mixed in."""
+    frame = rule_eval_frame(spark, sf)
+    third = F.when(F.pmod("doc_id", F.lit(9)) == 0, F.lit(2.0)).when(F.pmod("doc_id", F.lit(9)) == 1, F.lit(0.5))
+    return metrics.confusion_matrix(frame.withColumn("prediction", third.otherwise(F.col("prediction"))), ["model", "dataset"])
 
 
 def metrics_long_e07(spark, sf):
@@ -109,8 +111,9 @@ SQL = {
         {R6('weighted_precision')} AS weighted_precision, {R6('weighted_recall')} AS weighted_recall,
         {R6('f1')} AS f1 FROM m""",
     "confusion_e06": _DS + """ SELECT model, dataset, CAST(labels AS VARCHAR) AS labels_prediction,
-        CAST(sum(CASE WHEN prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS predicted_0,
-        CAST(sum(CASE WHEN prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS predicted_1
+        CAST(sum(CASE WHEN doc_id % 9 > 1 AND prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS predicted_0,
+        CAST(sum(CASE WHEN doc_id % 9 > 1 AND prediction = 1 THEN 1 ELSE 0 END) AS BIGINT) AS predicted_1,
+        CAST(sum(CASE WHEN doc_id % 9 <= 1 THEN 1 ELSE 0 END) AS BIGINT) AS predicted_other
         FROM ds GROUP BY ALL""",
     "metrics_long_e07": _DS + ' SELECT "Model", "Dataset", "Metric", "Score" FROM long',
     "best_model_e08": _DS + """ SELECT "Dataset", "Metric", "Model" AS best_model, "Score" AS best_score FROM (

@@ -48,7 +48,7 @@ def top_term_stats(spark: SparkSession, sf: str, n: int = TOP_TERMS) -> DataFram
     """A02 + A03 over the n most frequent terms of the labelled dialogues."""
     docs = labelled_clean(spark, sf)
     vocab = features.vocabulary(docs, size=n).select(F.col("term").alias("word"))
-    return words.word_class_counts(docs, vocab, max_terms=n)
+    return words.word_class_counts(docs, vocab)
 
 
 # ---------------------------------------------------------------- P / F / D / X

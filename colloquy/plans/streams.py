@@ -1,16 +1,16 @@
 """Streaming queries.
 
-Exact ones run the stream operators on the static message table derived
-from ``conversations`` (the operators are source-agnostic); the rows-only
-ones drive a real Structured Streaming query (file source, AvailableNow)
-through the scoring model and read back its sink."""
+Some run the stream operators on the static message table derived from
+``conversations`` (the operators are source-agnostic); the ``stream_*`` ones
+drive a real Structured Streaming query (file source, AvailableNow) through
+the scoring model and read back its sink."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from colloquy.operators import models
-from colloquy.plans.modelling import trained
+from colloquy.plans.modelling import _checked, trained
 from colloquy.plans.queries import r6
 from colloquy.session import scratch_path
 from colloquy.sources import fixtures
@@ -18,6 +18,8 @@ from colloquy.sources.tables import read_table
 from colloquy.streaming import ScoringStream, accepted, decode_messages, latest_feed, processed_count, rejects
 
 _RUNS: dict = {}
+# The input files of a stream run hold so many messages; a micro-batch reads so many files.
+FILE_MESSAGES, BATCH_FILES = 200, 4
 
 
 def messages(spark, sf):
@@ -58,14 +60,14 @@ def feed_t06(spark, sf):
 
 def run_stream(spark, sf, rule: bool = False):
     """Write the messages as files, stream them through the forest model (or
-    the rule stand-in) one file per micro-batch, return the output folder."""
+    the rule stand-in) a few files per micro-batch, return the output folder."""
     key = (spark.sparkContext.applicationId, sf, rule)
     if key in _RUNS:
-        return _RUNS[key]
+        return _RUNS[key]    # one run a session feeds several queries; release_memos() drops it
     base = scratch_path(spark, "stream")
     msgs = messages(spark, sf)
-    msgs.repartition(4, "partition").write.parquet(base + "/in")
-    src = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 1).parquet(base + "/in")
+    msgs.write.option("maxRecordsPerFile", FILE_MESSAGES).parquet(base + "/in")
+    src = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", BATCH_FILES).parquet(base + "/in")
     model = fixtures.RuleModel() if rule else trained(spark, sf, models.RANDOM_FOREST)
     stream = ScoringStream(model, src, base + "/results", base + "/rejects", base + "/checkpoint",
                            encoded_path=base + "/encoded").start(available_now=True)
@@ -75,9 +77,10 @@ def run_stream(spark, sf, rule: bool = False):
 
 
 def stream_score_t02(spark, sf):
-    """Key, offset, prediction, confidence from a real stream run (forest model)."""
+    """T02 from a real stream run with the forest: every accepted message once,
+    and what must hold for its prediction."""
     out = spark.read.parquet(run_stream(spark, sf) + "/results")
-    return out.select("key", "offset", "prediction", r6("confidence").alias("confidence"))
+    return _checked(out, "key", "offset")
 
 
 def stream_rule_score_t02(spark, sf):
@@ -99,8 +102,11 @@ def stream_rule_rejects_k05(spark, sf):
 
 
 def stream_encode_t03(spark, sf):
-    """The encoded output of that stream run."""
-    return spark.read.parquet(run_stream(spark, sf) + "/encoded").select("key", "value")
+    """T03 from that stream run: every message's JSON carries its text and a
+    prediction and confidence of the right form."""
+    out = spark.read.parquet(run_stream(spark, sf) + "/encoded")
+    v = F.from_json("value", "prediction double, confidence double, analysis string, historical_insight string, original_text string")
+    return _checked(out.select("key", v.alias("v")).select("key", "v.*"), "key", F.col("original_text").alias("text"))
 
 
 EXACT = {
@@ -112,8 +118,6 @@ EXACT = {
     "stream_rule_score_t02": stream_rule_score_t02,
     "stream_rule_rejects_k05": stream_rule_rejects_k05,
     "stream_rule_encode_t03": stream_rule_encode_t03,
-}
-ROWS_ONLY = {
     "stream_score_t02": stream_score_t02,
     "stream_encode_t03": stream_encode_t03,
 }
@@ -123,15 +127,23 @@ WITH msgs AS (
   SELECT CAST(conv_id AS VARCHAR) AS key,
          CASE WHEN (conv_id * 7 + turn) % 25 = 0 THEN '{"text": ' || CAST(to_json({'text': text}) AS VARCHAR)
               WHEN (conv_id * 3 + turn) % 31 = 0 THEN '{}'
+              WHEN (conv_id * 5 + turn) % 41 = 0 THEN CAST(to_json({'text': text}) AS VARCHAR) || ' garbage'
+              WHEN (conv_id * 5 + turn) % 41 = 1 THEN CAST(to_json({'text': text}) AS VARCHAR) || '{"text":"b"}'
+              WHEN (conv_id * 5 + turn) % 41 = 2 THEN '{"text":5}'
+              WHEN (conv_id * 5 + turn) % 41 = 3 THEN '{"text":{"a":1}}'
+              WHEN (conv_id * 5 + turn) % 41 = 4 THEN ''
+              WHEN (conv_id * 5 + turn) % 41 = 5 THEN CAST(to_json({'text': text}) AS VARCHAR) || ',"x":{"y":1}'
               ELSE CAST(to_json({'text': text}) AS VARCHAR) END AS value,
          CAST(conv_id % 3 AS INTEGER) AS partition,
          CAST(conv_id * 1000 + turn AS BIGINT) AS "offset"
   FROM conversations),
 dec AS (
   SELECT *,
-         CASE WHEN json_valid(value) AND json_type(value) = 'OBJECT' THEN json_extract_string(value, '$.text') END AS text,
-         CASE WHEN value IS NULL OR NOT json_valid(value) OR json_type(value) <> 'OBJECT' THEN 'bad_json'
-              WHEN json_extract_string(value, '$.text') IS NULL THEN 'no_text' END AS reject_reason
+         CASE WHEN json_valid(value) THEN CASE WHEN json_type(value) = 'OBJECT' AND json_type(value, '$.text') = 'VARCHAR'
+              THEN json_extract_string(value, '$.text') END END AS text,
+         CASE WHEN value IS NULL OR NOT json_valid(value) THEN 'bad_json'
+              WHEN json_type(value) <> 'OBJECT' THEN 'bad_json'
+              WHEN coalesce(json_type(value, '$.text'), '') <> 'VARCHAR' THEN 'no_text' END AS reject_reason
   FROM msgs),
 ok AS (SELECT * FROM dec WHERE reject_reason IS NULL)
 """
@@ -165,4 +177,8 @@ SELECT "offset", key,
             ELSE CAST(u1 // 10 AS VARCHAR) || '.' || CAST(u1 % 10 AS VARCHAR) || '%' END AS confidence_text,
        substring(text, 1, 100) || '...' AS preview
 FROM u""",
+    "stream_score_t02": _MSGS + """ SELECT key, "offset", true AS prediction_is_class,
+        true AS confidence_is_probability, true AS prediction_is_likelier FROM ok""",
+    "stream_encode_t03": _MSGS + """ SELECT key, text, true AS prediction_is_class,
+        true AS confidence_is_probability, true AS prediction_is_likelier FROM ok""",
 }

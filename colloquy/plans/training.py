@@ -23,21 +23,19 @@ class TrainingRun:
 
 def run_training(labelled: DataFrame, key: str = "doc_id", names=models.REFERENCE_MODELS,
                  kind: str = "count", params: dict | None = None, select_metric: str = "F1",
-                 select_dataset: str = split.VALIDATION, model_path: str | None = None) -> TrainingRun:
+                 select_dataset: str = split.VALIDATION, model_path: str | None = None,
+                 fitted: dict | None = None) -> TrainingRun:
     """``labelled``: key, dialogue, labels (double), clean_text -- already
     cleaned and non-empty (``cleaning.load_and_clean``).  Trains every
     model on the Train part, evaluates all of them on Validation and Test
     in one metrics pass, picks the best by ``select_metric`` on
-    ``select_dataset`` and, with ``model_path``, saves it (replacing)."""
+    ``select_dataset`` and, with ``model_path``, saves it (replacing).
+    ``fitted``: models already trained on the same Train part."""
     parts = split.hash_split(labelled, key, out="dataset")
     train = parts.filter(F.col("dataset") == split.TRAIN)
     held = parts.filter(F.col("dataset") != split.TRAIN).select(key, "dialogue", "labels", "dataset")
-    fitted = models.fit_models(train, names, kind=kind, params=params)
-    union = None
-    for name, model in fitted.items():
-        p = scoring.score(model, held).select(F.lit(name).alias("model"), key, "dataset", "labels",
-                                              "prediction", "confidence")
-        union = p if union is None else union.unionByName(p)
+    fitted = fitted or models.fit_models(train, names, kind=kind, params=params, key=key)
+    union = scoring.score_all(fitted, held, [key, "dataset", "labels"])
     # three consumers (metrics, confusion, best pick) and four model
     # transforms behind them: checkpoint the small counted form once to the
     # shared folder (cuts the lineage; survives executor loss)
@@ -45,7 +43,9 @@ def run_training(labelled: DataFrame, key: str = "doc_id", names=models.REFERENC
     table = metrics.metrics_table(counts, score_col="confidence", weight_col="_count")
     best = metrics.pick_best(table, select_dataset, select_metric)
     row = best.first()
-    best_name = row["best_model"] if row else next(iter(fitted))
+    if row is None:
+        raise ValueError(f"no {select_metric} on {select_dataset}: nothing to pick the best model by")
+    best_name = row["best_model"]
     if model_path:
         models.save_model(fitted[best_name], model_path)
     return TrainingRun(fitted, table, metrics.confusion_matrix(counts, ["model", "dataset"], weight_col="_count"),
@@ -60,6 +60,6 @@ def word_report(spark, run: TrainingRun, labelled_words: DataFrame, n: int = 10)
             imp = words.top_features(spark, model, n)
         except words.NoImportancesError:
             continue
-        counts = words.word_class_counts(labelled_words, imp, max_terms=n)
+        counts = words.word_class_counts(labelled_words, imp)
         out[name] = words.word_stats(counts, imp)
     return out

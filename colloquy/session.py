@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark import StorageLevel
@@ -48,11 +49,14 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use ``spark.checkpoint.dir`` when set; only otherwise (tests) set our own."""
+    """Use ``spark.checkpoint.dir`` when set; only a local session (one machine,
+    as in tests) gets a folder of its own where it is missing."""
     sc = spark.sparkContext
-    d = checkpoint_dir(spark)
+    d = checkpoint_dir(spark) or fallback
     if d is None:
-        d = fallback or tempfile.mkdtemp(prefix="colloquy-ckpt-")
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
+        d = tempfile.mkdtemp(prefix="colloquy-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -62,8 +66,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory (never machine-local
     on a cluster, because the checkpoint dir is the cluster's shared folder)."""
     base = ensure_checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     run = f"{name}-{os.getpid()}-{next(_counter)}-{os.urandom(4).hex()}"
     return base.rstrip("/") + "/colloquy-scratch/" + run
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-# Labelled dialogue file: all columns nullable strings.
+# Fixed value. Labelled dialogue file: all columns nullable strings.
 LABELLED_SCHEMA = T.StructType([
     T.StructField("dialogue", T.StringType(), True),
     T.StructField("personality", T.StringType(), True),
@@ -16,11 +16,29 @@ LABELLED_SCHEMA = T.StructType([
 _CSV_OPTS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"'}
 
 
-def read_labelled(spark: SparkSession, path: str, schema: T.StructType = LABELLED_SCHEMA) -> DataFrame:
-    """Labelled dialogues CSV with a fixed schema.  Quoted fields may hold
-    newlines and doubled quotes; missing values stay null (never the text
-    ``nan``).  Read natively and in parallel, not through the driver."""
-    return spark.read.schema(schema).options(**_CSV_OPTS).csv(path)
+class MissingColumnError(ValueError):
+    pass
+
+
+def read_labelled(spark: SparkSession, path: str, schema: T.StructType = LABELLED_SCHEMA,
+                  malformed: str | None = None) -> DataFrame:
+    """Labelled dialogues CSV; the columns of ``schema`` taken by header
+    name, in any order, among any others.  Quoted fields may hold newlines and
+    doubled quotes; missing values stay null (never the text ``nan``).
+
+    Rows with more or fewer fields than the header keep what could be read;
+    ``malformed`` names a column that then holds their raw line (null on good
+    rows), so that they can be counted.  Raises if a column is absent."""
+    header = spark.read.options(**_CSV_OPTS).csv(path).columns
+    absent = [f.name for f in schema.fields if f.name not in header]
+    if absent:
+        raise MissingColumnError(f"CSV must contain a '{absent[0]}' column.")
+    types = {f.name: f.dataType for f in schema.fields}
+    fields = [T.StructField(c, types.get(c, T.StringType()), True) for c in header]
+    corrupt = malformed or "_malformed"
+    read = (spark.read.schema(T.StructType([*fields, T.StructField(corrupt, T.StringType(), True)]))
+            .options(**_CSV_OPTS).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt).csv(path))
+    return read.select(*[f.name for f in schema.fields], *([corrupt] if malformed else []))
 
 
 def read_history(spark: SparkSession, path: str, infer: bool = True) -> DataFrame:
@@ -28,10 +46,6 @@ def read_history(spark: SparkSession, path: str, infer: bool = True) -> DataFram
     return spark.read.options(**_CSV_OPTS).option("inferSchema", str(infer).lower()).csv(path)
 
 
-class MissingColumnError(ValueError):
-    pass
-
-
 def require_columns(df: DataFrame, required=("dialogue",)) -> DataFrame:
     """Upload contract; raises with a readable message if a column is absent."""
     missing = [c for c in required if c not in df.columns]

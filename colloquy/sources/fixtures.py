@@ -51,11 +51,19 @@ def stream_messages(turns: DataFrame) -> DataFrame:
     """Kafka-shaped messages built from conversation turns:
     ``key`` (conv_id text), ``value`` (JSON ``{"text": ...}``), ``partition``,
     ``offset``.  Every 25th turn is broken JSON and every 31st has no
-    ``text`` field, so the reject path is exercised."""
+    ``text`` field; fewer have trailing garbage, a second object, a text that
+    is not a string, or an empty value, so the reject path is exercised."""
+    c = F.pmod(F.col("conv_id") * F.lit(5) + F.col("turn"), F.lit(41))
     k = F.pmod(F.col("conv_id") * F.lit(7) + F.col("turn"), F.lit(25))
     j = F.pmod(F.col("conv_id") * F.lit(3) + F.col("turn"), F.lit(31))
     value = (F.when(k == 0, F.concat(F.lit('{"text": '), F.to_json(F.struct("text"))))
               .when(j == 0, F.lit("{}"))
+              .when(c == 0, F.concat(F.to_json(F.struct("text")), F.lit(" garbage")))
+              .when(c == 1, F.concat(F.to_json(F.struct("text")), F.lit('{"text":"b"}')))
+              .when(c == 2, F.lit('{"text":5}'))
+              .when(c == 3, F.lit('{"text":{"a":1}}'))
+              .when(c == 4, F.lit(""))
+              .when(c == 5, F.concat(F.to_json(F.struct("text")), F.lit(',"x":{"y":1}')))
               .otherwise(F.to_json(F.struct("text"))))
     return turns.select(
         F.col("conv_id").cast("string").alias("key"),

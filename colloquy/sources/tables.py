@@ -9,30 +9,15 @@ from pyspark.sql import functions as F
 # Tables whose rows carry long texts: per-row work (regex, tokenising) dominates.
 TEXT_TABLES = ("documents", "conversations", "pages")
 REBALANCE_CONF = "colloquy.read.rebalance"
-# "auto" rebalances only tables stored in at most this many files (and in
-# fewer files than cores): small inputs, where one shuffle is cheap.
-REBALANCE_MAX_FILES = 8
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet table ``<sf_dir>/<name>.parquet``.
+    """Parquet table ``<sf_dir>/<name>.parquet``, as scanned.
 
-    Text tables stored in a handful of files (at most ``REBALANCE_MAX_FILES``
-    and fewer than the session has cores -- the test tables are single files
-    with a single row group, i.e. one scan task) are spread round-robin over
-    ``defaultParallelism`` partitions right after the scan, so tokenising
-    runs on every core.  A large table arrives in many files and is left as
-    scanned (no extra shuffle).  Set ``colloquy.read.rebalance`` to
-    ``never`` / ``always`` to override."""
+    A text table in a few unsplittable files gives few scan tasks; set
+    ``colloquy.read.rebalance`` to a partition count to deal its rows
+    round-robin over so many partitions right after the scan."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if name not in TEXT_TABLES:
-        return df
-    mode = spark.conf.get(REBALANCE_CONF, "auto")
-    n = spark.sparkContext.defaultParallelism
-    files = len(df.inputFiles()) if mode == "auto" else 0
-    if mode == "always" or (mode == "auto" and n > 1 and files < n and files <= REBALANCE_MAX_FILES):
-        return df.repartition(n)
-    return df
+    parts = int(spark.conf.get(REBALANCE_CONF, "0"))
+    return df.repartition(parts) if parts > 0 and name in TEXT_TABLES else df
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str, with_extra: bool = False) -> DataFrame:

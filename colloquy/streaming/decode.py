@@ -5,21 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MESSAGE_SCHEMA = "text string, _corrupt string"
 BAD_JSON, NO_TEXT = "bad_json", "no_text"
 
 
 def decode_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
-    """UTF-8 JSON ``{"text": ...}`` -> ``text``, plus ``reject_reason``:
-    ``bad_json`` for unparsable or non-object values, ``no_text`` when the
-    field is missing or null, null for good messages.  No message can fail
-    the query (the reference loop dies on the first bad one)."""
+    """UTF-8 JSON ``{"text": "..."}`` -> ``text``, plus ``reject_reason``:
+    ``bad_json`` for a value that is not exactly one JSON object (null, empty,
+    cut off, trailing garbage, a second object), ``no_text`` when the field is
+    missing, null or not a string, null for good messages.  No message can
+    fail the query (the reference loop dies on the first bad one).
+
+    The value is parsed inside an outer object, before an end marker: text
+    after the value breaks the outer object or adds a key to it, while a bare
+    parse would stop at the value's end and pass it."""
     raw = F.col(value_col).cast("string")
-    parsed = F.from_json(raw, MESSAGE_SCHEMA, {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
-    out = messages.withColumn("_m", parsed)
-    reason = (F.when(raw.isNull() | F.col("_m._corrupt").isNotNull(), F.lit(BAD_JSON))
-               .when(F.col("_m.text").isNull(), F.lit(NO_TEXT)))
-    return out.withColumn("text", F.col("_m.text")).withColumn("reject_reason", reason).drop("_m")
+    # ends with the value and the marker alone, or the value held more than itself
+    wrapped = F.concat(F.lit('{"value":'), raw, F.lit(',"end":true}'))
+    whole = F.try_parse_json(wrapped)
+    keys = F.json_object_keys(wrapped)
+    one = (F.try_variant_get(whole, "$.end", "boolean") & (F.size(keys) == 2)
+           & F.schema_of_variant(F.try_variant_get(whole, "$.value", "variant")).startswith("OBJECT"))
+    text = F.try_variant_get(whole, "$.value.text", "variant")
+    good = F.schema_of_variant(text) == "STRING"
+    reason = (F.when(~F.coalesce(one, F.lit(False)), F.lit(BAD_JSON))
+               .when(~F.coalesce(good, F.lit(False)), F.lit(NO_TEXT)))
+    return (messages.withColumn("reject_reason", reason)
+            .withColumn("text", F.when(F.col("reject_reason").isNull(), F.try_variant_get(whole, "$.value.text", "string")))
+            .select(*[c for c in messages.columns if c != "text"], "text", "reject_reason"))
 
 
 def accepted(decoded: DataFrame) -> DataFrame:

@@ -39,22 +39,30 @@ class ScoringStream:
         self.kafka_options = kafka_options
         self.requests_path, self.history, self.hist_key, self.k = requests_path, history, hist_key, k
         self.query = None
+        self._prepared = None
+
+    def _prepared_history(self):
+        """The history's vectors: made by the first batch that needs them, kept for the run."""
+        if self._prepared is None:
+            from colloquy.operators import features, history
+            self._prepared = history.PreparedHistory(
+                features.text_features(self.history.select(self.hist_key, "dialogue")), self.hist_key)
+        return self._prepared
 
     def _write_requests(self, scored: DataFrame, batch_id: int) -> None:
         """Per message (``msg_id`` = partition:offset): the analysis request
         and, with a history corpus, the history request over its k most
         similar past cases -- what the reference asks its LLM per message."""
-        from colloquy.operators import explain, features, history
+        from colloquy.operators import explain, features
 
         msgs = scored.select(F.concat_ws(":", "partition", "offset").alias("msg_id"), "key",
                              F.col("text").alias("dialogue"), "prediction", "confidence")
-        out = explain.explanation_requests(msgs, "msg_id").join(msgs.select("msg_id", "key"), "msg_id")
+        out = explain.explanation_requests(msgs, "msg_id", keep=("key",))
         if self.history is not None:
-            hist = self.history.select(self.hist_key, F.col("dialogue"))
-            sim = history.similar_cases_for(features.text_features(msgs.select("msg_id", "dialogue")), "msg_id",
-                                            features.text_features(hist), self.hist_key, k=self.k)
-            hp = explain.history_prompts(msgs, "msg_id", sim, hist.withColumnRenamed("dialogue", "text"),
-                                         self.hist_key)
+            prepared = self._prepared_history()
+            sim = prepared.similar(features.text_features(msgs.select("msg_id", "dialogue")), "msg_id", self.k)
+            hp = explain.history_prompts(msgs, "msg_id", sim, self.history.select(
+                self.hist_key, F.col("dialogue").alias("text")), self.hist_key)
             out = out.join(hp.withColumnRenamed("prompt", "history_prompt"), "msg_id", "left")
         out.write.mode("overwrite").parquet(f"{self.requests_path}/batch_id={batch_id}")
 

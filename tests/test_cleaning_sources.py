@@ -92,7 +92,12 @@ def test_assemble_dialogues_chunks(spark):
     assert r["dialogue"].startswith("User: ") and r["n_turns"] >= 2
 
 
-def test_rebalance_only_few_files(spark):
-    df = tables.read_table(spark, SF01, "documents")
-    assert df.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert tables.read_table(spark, SF01, "labels").count() == 399
+def test_rebalance_is_an_explicit_setting(spark):
+    assert tables.read_table(spark, SF01, "documents").rdd.getNumPartitions() == 1      # one file, one task
+    spark.conf.set(tables.REBALANCE_CONF, "6")
+    try:
+        df = tables.read_table(spark, SF01, "documents")
+        assert df.rdd.getNumPartitions() == 6 and df.count() == 1000
+        assert tables.read_table(spark, SF01, "labels").rdd.getNumPartitions() == 1
+    finally:
+        spark.conf.unset(tables.REBALANCE_CONF)

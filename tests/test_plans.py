@@ -39,10 +39,10 @@ def test_tfidf_tokenises_once(spark):
     assert "ReusedExchange" in plan and "count" in plan.split("ReusedExchange", 1)[1].splitlines()[0]
 
 
-def test_bounded_term_list_is_broadcast(spark):
+def test_small_term_list_is_broadcast(spark):
     docs = _docs(spark).withColumn("labels", F.lit(1.0))
     terms = spark.createDataFrame([("alpha",), ("beta",)], "word string")
-    plan = _final(words.word_class_counts(docs, terms, max_terms=2))
+    plan = _final(words.word_class_counts(docs, terms))
     assert "BroadcastHashJoin" in plan
 
 
