@@ -37,18 +37,23 @@ def cached_split(spark, sf):
 _PREPARED: dict = {}
 
 
+def prepared(spark, sf, kind: str = "count"):
+    """The training set of the model queries of one session: cleaned input,
+    fitted vocabulary / IDF, cached vectors."""
+    key = (spark.sparkContext.applicationId, sf, kind)
+    if key not in _PREPARED:
+        train = cached_split(spark, sf).filter(F.col("dataset") == split.TRAIN)
+        _PREPARED[key] = models.prepare_training(train, kind=kind, key="doc_id")
+        _PREPARED[key].vectors.count()
+    return _PREPARED[key]
+
+
 def trained(spark, sf, name: str, kind: str = "count", **params):
-    """Fit (once per session, table folder and settings) and return the model.
-    The model queries of one session share one prepared training set
-    (cleaned input, fitted vocabulary / IDF, cached vectors)."""
+    """Fit (once per session, table folder and settings) and return the model."""
     app = spark.sparkContext.applicationId
     key = (app, sf, name, kind, tuple(sorted(params.items())))
     if key not in _MEMO:
-        pkey = (app, sf, kind)
-        if pkey not in _PREPARED:
-            train = cached_split(spark, sf).filter(F.col("dataset") == split.TRAIN)
-            _PREPARED[pkey] = models.prepare_training(train, kind=kind, key="doc_id")
-        _MEMO[key] = _PREPARED[pkey].fit(name, **params)
+        _MEMO[key] = prepared(spark, sf, kind).fit(name, **params)
     return _MEMO[key]
 
 
