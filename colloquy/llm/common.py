@@ -3,27 +3,38 @@
 from __future__ import annotations
 
 import os
+import re
+import tempfile
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+BROADCAST_IDS = 2_000_000      # ids sent to all tasks, at most (16 MB)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Parquet table ``<sf_dir>/<name>.parquet``, only the named columns."""
+    """Parquet table ``<sf_dir>/<name>.parquet``, only the named columns, dealt
+    over so many partitions as the explicit setting ``colloquy.read.rebalance``
+    names (for text tables in a few unsplittable files), else as scanned."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    parts = int(spark.conf.get("colloquy.read.rebalance", "0"))
+    return df.repartition(parts) if parts > 0 and name in ("documents", "pages") else df
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``), as the session
-    names it, scheme included.  A session without the setting must have set a
-    checkpoint folder itself (tests do); there is no machine-local default."""
-    named = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    names it, scheme included.  Only a local session (one machine, as in tests)
+    gets a folder of its own where the setting is missing."""
+    sc = spark.sparkContext
+    named = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not named:
-        raise ValueError(f"{CHECKPOINT_CONF} is not set and no checkpoint folder was given")
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise ValueError(f"{CHECKPOINT_CONF} is not set: it must name a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="colloquy-llm-")
+        sc.setCheckpointDir(named)
     return named.rstrip("/")
 
 
@@ -35,6 +46,15 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def without(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Rows of ``df`` whose ``key`` is not in ``ids`` (a null key matches a null
+    id).  The ids are settled and counted: up to ``BROADCAST_IDS`` they are sent
+    to the rows, which then stay where they are; more are joined by shuffle."""
+    named = settle(ids.select(F.col(key).alias("_gone")), "ids")
+    named = F.broadcast(named) if named.count() <= BROADCAST_IDS else named
+    return df.join(named, df[key].eqNullSafe(named["_gone"]), "left_anti")
+
+
 def map_arrow(df: DataFrame, step, schema: str) -> DataFrame:
     """``df`` through ``step(batch) -> dict of columns`` (or None), batch by
     batch, inside the partitions that Spark made."""

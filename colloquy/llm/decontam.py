@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import map_arrow
+from colloquy.llm.common import map_arrow, without
 
 SIMILARITY = 0.8
 LEAST_WORDS = 5
@@ -216,7 +216,7 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY,
 
 
 def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark passage (by doc_id;
-    rows without an id are judged by their text)."""
-    found = matches(docs, items, **options).select("doc_id").distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    """``docs`` without the documents that hold a benchmark passage, by doc_id:
+    every row of such an id goes, and so do all rows without an id if one of
+    them holds a passage."""
+    return without(docs, matches(docs, items, **options).select("doc_id").distinct())

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.llm import decontam, packing, pii, quality, simhash, tokens
-from colloquy.llm.common import settle, table
+from colloquy.llm.common import settle, table, without
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 CAPACITY = 2048
@@ -25,13 +25,14 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group: the one with the smallest
-    doc_id.  Repeated rows of that id are one document; rows without an id
-    stay only where no row of their group has one, once each text."""
+    doc_id.  Repeated rows of one doc_id and text are one document; rows
+    without an id are nobody's duplicate but exact repeats of each other."""
     docs = docs.select(*COLUMNS)
-    groups = simhash.near_duplicates(docs)
-    kept = groups.filter(F.col("component_id").isNull() | (F.col("doc_id") == F.col("component_id"))).select("doc_id").distinct()
-    same = docs["doc_id"].eqNullSafe(kept["doc_id"])
-    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"])
+    groups = settle(simhash.near_duplicates(docs), "groups")
+    copies = groups.filter("component_id <> doc_id").select("doc_id").distinct()
+    kept = without(docs, copies)
+    repeated = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
+    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
 
 
 def keep_unseen(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
