@@ -19,8 +19,9 @@ DEFAULT_GROUP = "dialogue-classifier-group"
 def _security(env) -> dict:
     if env.get("KAFKA_SECURITY_PROTOCOL") != "SASL_SSL":
         return {}
-    user = env.get("KAFKA_USERNAME") or ""
-    password = env.get("KAFKA_PASSWORD") or ""
+    # backslashes and quotes would end the quoted value
+    user, password = ((env.get(k) or "").replace("\\", "\\\\").replace('"', '\\"')
+                      for k in ("KAFKA_USERNAME", "KAFKA_PASSWORD"))
     jaas = ('org.apache.kafka.common.security.plain.PlainLoginModule required '
             f'username="{user}" password="{password}";')
     return {

@@ -100,3 +100,9 @@ def test_history_prompt_reads_the_history_in_place(spark):
     out = explain.history_prompts(cases, "qid", sim, hist, "hid")
     assert "c d" in out.first().prompt
     assert out.agg(F.count(F.lit(1))).first()[0] == 1
+
+
+def test_kafka_credentials_are_escaped():
+    from colloquy.sources.kafka import kafka_reader_options
+    o = kafka_reader_options({"KAFKA_SECURITY_PROTOCOL": "SASL_SSL", "KAFKA_USERNAME": 'a"b', "KAFKA_PASSWORD": "c\\d"})
+    assert 'username="a\\"b" password="c\\\\d";' in o["kafka.sasl.jaas.config"]
