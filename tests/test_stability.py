@@ -99,6 +99,9 @@ def test_history_prompt_reads_the_history_in_place(spark):
     cases = spark.createDataFrame([(7, "new")], "qid long, dialogue string")
     out = explain.history_prompts(cases, "qid", sim, hist, "hid")
     assert "c d" in out.first().prompt
+    whole = explain.history_prompts(cases, "qid", sim, hist.withColumn("label", F.lit(None).cast("int")), "hid",
+                                    fields=("hid", "label"))
+    assert "hid=2, label=null; c d" in whole.first().prompt
     assert out.agg(F.count(F.lit(1))).first()[0] == 1
 
 
