@@ -8,6 +8,7 @@ a bounded cache; other files get the whole text."""
 from __future__ import annotations
 
 import json
+import struct
 import zlib
 
 import numpy as np
@@ -17,12 +18,14 @@ from pyspark.sql import DataFrame
 from colloquy.llm.common import map_arrow
 
 WORD_BPE = "word_bpe_49k.json"
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 LONG_WORD = 64
 
 # Characters on which NFC and per-character lower-casing are plain: ASCII
-# marks and letters, Latin letters up to U+024F without U+0130.
-_PLAIN = regex.compile("[!-~À-ÖØ-öø-įı-ɏ]+")
+# letters and marks (without "<", which may begin an added token), Latin
+# letters up to U+024F without U+0130.
+_PLAIN = regex.compile("[!-;=-~À-ÖØ-öø-įı-ɏ]+")
+_MARKS = frozenset(b"!\"#$%&'()*+,-./:;=>?@[]^_`{|}~")
 
 
 def tokenizer_path(name: str) -> str:
@@ -47,16 +50,17 @@ class TextEncoder(dict):
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
+        self.code = "H" if self.tokenizer.get_vocab_size() <= 65536 else "I"
+        self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
         norm = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
         pre = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
         self.by_word = (norm == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in pre] == ["Split", "ByteLevel"]
                         and pre[0]["invert"] and pre[0]["behavior"] == "Removed" and not pre[1]["add_prefix_space"]
                         and spec["post_processor"] is None)
         self.split = regex.compile(pre[0]["pattern"]["Regex"]) if self.by_word else None
-        self.added = [x["content"] for x in spec["added_tokens"]]
+        self.by_word = self.by_word and all(x["content"].startswith("<") for x in spec["added_tokens"])
         self.letters = _byte_letters()
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
 
     def _pack(self, ids) -> bytes:
         return np.asarray(ids, dtype=self.dtype).tobytes()
@@ -65,23 +69,29 @@ class TextEncoder(dict):
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def __missing__(self, word: bytes) -> bytes:
-        text = word.decode("utf-8")
         if len(word) > LONG_WORD:
-            return self._library(text)
-        if not _PLAIN.fullmatch(text) or any(x in text for x in self.added):
-            out = self._library(text)
+            return self._library(word.decode("utf-8"))
+        if word.isalpha():                                   # ASCII letters: one piece
+            out = self._piece(word.lower())
+        elif word[-1] in _MARKS and word[:-1].isalpha():     # ... and one mark
+            out = self._piece(word[:-1].lower()) + self._piece(word[-1:])
         else:
-            out = b"".join([self._piece(x) for x in self.split.findall(text.lower())])
+            text = word.decode("utf-8")
+            if _PLAIN.fullmatch(text):
+                out = b"".join([self._piece(x.encode()) for x in self.split.findall(text.lower())])
+            else:
+                out = self._library(text)
         if len(self) >= CACHE_WORDS:
             self.clear()
         self[word] = out
         return out
 
-    def _piece(self, piece: str) -> bytes:
+    def _piece(self, piece: bytes) -> bytes:
         out = self.pieces.get(piece)
         if out is None:
-            spelled = "".join([self.letters[b] for b in piece.encode()])
-            out = self._pack([t.id for t in self.tokenizer.model.tokenize(spelled)])
+            spelled = piece.decode() if piece.isalpha() else "".join(map(self.letters.__getitem__, piece))
+            ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
+            out = struct.pack(f"<{len(ids)}{self.code}", *ids)
             if len(self.pieces) >= CACHE_WORDS:
                 self.pieces.clear()
             self.pieces[piece] = out
