@@ -17,73 +17,75 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import _arrow_schema, map_arrow, shared_dir, to_batch
+from colloquy.llm.common import _arrow_schema, map_arrow, settle, shared_dir, to_batch
 from colloquy.llm.tokens import encoder
 
 BLOCK_IDS = 1_000_000
 ROUNDS = 5
 PAIRS_PER_ROUND = 1024
 LEAST_COUNT = 16
+BROADCAST_BLOCKS = 500_000    # block starts are sent to all tasks up to so many
 BLOCKS = ("shard int, block int, first_doc long, n_docs int, n_ids long, n_terminals int, "
           "docs binary, doc_nulls binary, doc_ids binary, doc_symbols binary, "
           "rules binary, rule_lengths binary, symbols binary")
 
 
-def compress(ids: np.ndarray, last: np.ndarray, terminals: int, rounds: int = ROUNDS,
+def compress(ids: np.ndarray, ends: np.ndarray, terminals: int, rounds: int = ROUNDS,
              per_round: int = PAIRS_PER_ROUND, least: int = LEAST_COUNT):
-    """Re-Pair over ``ids``; ``last`` marks the final id of each document, which
-    no pair may span.  Each round counts all neighbouring pairs, turns the most
-    frequent ones into rules and replaces them from left to right.  Stops when
-    no pair occurs ``least`` times, after ``rounds``, or when the symbol space
-    (16 bits, or 32 for larger vocabularies) is full.
-    Returns (symbols, last, rules as an n x 2 array)."""
-    room = (1 << 16 if terminals <= 1 << 16 else 1 << 31) - terminals
-    seq, rules = ids.astype(np.int64), []
-    made = 0
+    """Re-Pair over ``ids``; ``ends`` are the places of the final id of each
+    document, which no pair may span.  Each round counts all neighbouring
+    pairs, turns the most frequent ones into rules and replaces them from left
+    to right.  Stops when no pair occurs ``least`` times, after ``rounds``, or
+    when the symbol space (16 bits less one, or 31 for larger vocabularies) is full.
+    Returns (symbols, ends, rules as an n x 2 array)."""
+    small = terminals < 1 << 16
+    room = ((1 << 16) - 1 if small else 1 << 31) - terminals
+    wide, width = (np.uint32, 16) if small else (np.uint64, 32)
+    seq, rules, made = ids.astype(np.uint16 if small else np.uint32), [], 0
     for _ in range(rounds):
         if len(seq) < 2 or made >= room:
             break
-        inner = ~last[:-1]
-        pair = (seq[:-1] << 32) | seq[1:]
-        if terminals <= 1 << 16:
-            pair = (seq[:-1].astype(np.uint32) << np.uint32(16)) | seq[1:].astype(np.uint32)
-        ordered = np.sort(pair[inner])
-        if not len(ordered):
+        pair = seq[:-1].astype(wide)
+        pair <<= wide(width)
+        pair |= seq[1:]
+        inner = ends[ends < len(pair)]
+        none = np.iinfo(wide).max            # no pair: ids stay below the symbol space
+        pair[inner] = none
+        pair.sort()
+        pair = pair[:np.searchsorted(pair, none)]
+        if not len(pair):
             break
-        cut = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
-        starts = np.concatenate(([0], cut))
-        counts = np.diff(np.concatenate((starts, [len(ordered)])))
+        starts = np.flatnonzero(np.concatenate(([True], pair[1:] != pair[:-1])))
+        counts = np.diff(np.append(starts, len(pair)))
         often = np.flatnonzero(counts >= least)
         if not len(often):
             break
         k = min(per_round, room - made, len(often))
         # the k most frequent; ties by the pair itself (values are in pair order)
         best = often[np.argsort(-counts[often], kind="stable")[:k]]
-        chosen = np.sort(ordered[starts[best]]).astype(np.int64)
-        width = 16 if terminals <= 1 << 16 else 32
+        chosen = np.sort(pair[starts[best]]).astype(np.int64)
         left, right = chosen >> width, chosen & ((1 << width) - 1)
         lefts, li = np.unique(left, return_inverse=True)
         rights, ri = np.unique(right, return_inverse=True)
-        size = terminals + made
-        row, col = np.zeros(size, np.int32), np.zeros(size, np.int32)
-        row[lefts], col[rights] = np.arange(1, len(lefts) + 1), np.arange(1, len(rights) + 1)
-        grid = np.zeros((len(lefts) + 1, len(rights) + 1), np.int32)
-        grid[li + 1, ri + 1] = np.arange(1, k + 1)
-        rule = grid[row[seq[:-1]], col[seq[1:]]]
-        at = np.flatnonzero((rule > 0) & inner)
+        row, col = np.zeros(terminals + made, np.int32), np.zeros(terminals + made, np.int32)
+        row[lefts], col[rights] = np.arange(1, len(lefts) + 1) * (len(rights) + 1), np.arange(1, len(rights) + 1)
+        grid = np.zeros((len(lefts) + 1) * (len(rights) + 1), np.int32)
+        grid[row[left] + col[right]] = np.arange(1, k + 1)
+        cell = row[seq[:-1]]
+        cell += col[seq[1:]]
+        rule = grid[cell]
+        rule[inner] = 0
+        at = np.flatnonzero(rule)
         # of a run of overlapping pairs take every second one
         head = np.concatenate(([True], np.diff(at) > 1))
         first = np.maximum.accumulate(np.where(head, np.arange(len(at)), 0))
         at = at[((np.arange(len(at)) - first) & 1) == 0]
-        seq[at] = terminals + made + rule[at] - 1
-        last = last.copy()
-        last[at] = last[at + 1]
-        keep = np.ones(len(seq), bool)
-        keep[at + 1] = False
-        seq, last = seq[keep], last[keep]
+        seq[at] = terminals + made - 1 + rule[at]
+        seq = np.delete(seq, at + 1)
+        ends = ends - np.searchsorted(at + 1, ends, "right")
         rules.append(np.stack([left, right], 1))
         made += k
-    return seq, last, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
+    return seq, ends, np.concatenate(rules) if rules else np.zeros((0, 2), np.int64)
 
 
 def rule_lengths(rules: np.ndarray, terminals: int) -> np.ndarray:
@@ -123,14 +125,11 @@ class Grammar:
 
 def _block(shard: int, number: int, docs: list, parts: list[np.ndarray], terminals: int, kind) -> dict:
     lens = np.array([len(p) for p in parts], dtype=np.int64)
-    ends = np.cumsum(lens)
-    last = np.zeros(int(ends[-1]), bool)
-    last[ends - 1] = True
-    symbols, last, rules = compress(np.concatenate(parts), last, terminals)
-    marks = np.flatnonzero(last)
+    total = int(lens.sum())
+    symbols, marks, rules = compress(np.concatenate(parts), np.cumsum(lens) - 1, terminals)
     lengths = rule_lengths(rules, terminals)
     return {
-        "shard": shard, "block": number, "first_doc": docs[0], "n_docs": len(docs), "n_ids": int(ends[-1]),
+        "shard": shard, "block": number, "first_doc": docs[0], "n_docs": len(docs), "n_ids": total,
         "n_terminals": terminals,
         "docs": np.array([0 if d is None else d for d in docs], "<i8").tobytes(),
         "doc_nulls": bytes(d is None for d in docs),
@@ -150,7 +149,7 @@ def write_token_files(docs: DataFrame, out: str, path: str, end_id: int, block_i
     def run(batches):
         enc = encoder(path)
         terminals = max(enc.tokenizer.get_vocab_size(), end_id + 1)
-        kind = "<u2" if terminals <= 1 << 16 else "<u4"
+        kind = "<u2" if terminals < 1 << 16 else "<u4"
         shard, number, held, ids, parts = TaskContext.get().partitionId(), 0, 0, [], []
 
         def emit():
@@ -159,7 +158,7 @@ def write_token_files(docs: DataFrame, out: str, path: str, end_id: int, block_i
 
         for batch in batches:
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.append(enc.encode(text).astype(np.int64), end_id)
+                part = np.append(enc.encode(text), enc.dtype.type(end_id))
                 if held and held + len(part) > block_ids:
                     yield emit()
                     number, held, ids, parts = number + 1, 0, [], []
@@ -175,7 +174,7 @@ def write_token_files(docs: DataFrame, out: str, path: str, end_id: int, block_i
 
 def load_block(row: dict):
     """(Grammar, ids of documents, null flags, lengths, symbol bounds, symbols)."""
-    kind = "<u2" if row["n_terminals"] <= 1 << 16 else "<u4"
+    kind = "<u2" if row["n_terminals"] < 1 << 16 else "<u4"
     rules = np.frombuffer(row["rules"], kind).reshape(-1, 2).astype(np.int64)
     grammar = Grammar(rules, np.frombuffer(row["rule_lengths"], "<u4"), row["n_terminals"])
     bounds = np.concatenate(([0], np.cumsum(np.frombuffer(row["doc_symbols"], "<u4").astype(np.int64))))
@@ -198,7 +197,8 @@ def read_documents(spark: SparkSession, path: str, keep_ids: bool = False) -> Da
     first = shards.select("shard", F.coalesce(F.sum("_n").over(prior), F.lit(0)).alias("_before"))
     starts = totals.join(first, "shard").select(
         "shard", "block", (F.col("_before") + F.coalesce(F.sum("n_ids").over(inner), F.lit(0))).alias("_start"))
-    placed = files.join(starts, ["shard", "block"])
+    starts = settle(starts, "starts")
+    placed = files.join(F.broadcast(starts) if starts.count() <= BROADCAST_BLOCKS else starts, ["shard", "block"])
     names = placed.columns
 
     def step(batch):
