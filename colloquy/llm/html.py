@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import Counter
 
 import xxhash
 from pyspark.sql import DataFrame
@@ -23,6 +24,7 @@ from colloquy.llm.common import map_arrow, settle
 LEAST_PAGES = 5         # a node is judged by its contents from so many pages on
 LOW = 0.35              # branches under this importance are cut
 CONTENT_SHARE = 0.9     # of the importance; the rest is the presentation's
+BROADCAST_NODES = 4_000_000     # unimportant nodes sent to all tasks, at most (32 MB)
 
 # Element names.
 SKIPPED = frozenset("script style noscript template svg math head title iframe object select button textarea canvas "
@@ -175,14 +177,36 @@ class _Page:
                 return
 
 
+def node_features(pages: DataFrame) -> DataFrame:
+    """host, path, kind (0 text, 1 style), feature, n: what each node of the
+    style trees showed, counted per batch before anything moves."""
+    rows = pages.select("html", _host().alias("host"))
+
+    def step(batch):
+        seen: Counter = Counter()
+        for text, host in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            page = _Page(text or "")
+            for block, paths, _, _ in page.blocks:
+                own = _hash(block)
+                for path in paths:
+                    seen[host, _hash(path), 0, own] += 1
+            for path, style in page.styles:
+                seen[host, _hash(path), 1, _hash(style)] += 1
+        if not seen:
+            return None
+        host, path, kind, feature = zip(*seen)
+        return {"host": list(host), "path": list(path), "kind": list(kind), "feature": list(feature), "n": list(seen.values())}
+
+    return map_arrow(rows, step, "host string, path long, kind int, feature long, n long")
+
+
 def read_pages(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, has_main and the visible blocks of every page
-    (text, node paths as hashes, in main, in a container of main) and its
-    styles.  Null html has no blocks."""
+    """page_id, url, host, has_main and the visible blocks of every page (text,
+    node paths as hashes, in main, in a container of main).  Null html has no
+    blocks."""
     at = pages.select("page_id", "url", "html", _host().alias("host"))
     schema = ("page_id long, url string, host string, has_main boolean, "
-              "blocks array<struct<text:string,paths:array<bigint>,main:boolean,inside:boolean>>, "
-              "styles array<struct<path:bigint,style:bigint>>")
+              "blocks array<struct<text:string,paths:array<bigint>,main:boolean,inside:boolean>>")
 
     def step(batch):
         made = [_Page(t or "") for t in batch.column(2).to_pylist()]
@@ -191,7 +215,6 @@ def read_pages(pages: DataFrame) -> DataFrame:
             "has_main": [p.has_main for p in made],
             "blocks": [[{"text": t, "paths": [_hash(x) for x in paths], "main": m, "inside": c}
                         for t, paths, m, c in p.blocks] for p in made],
-            "styles": [[{"path": _hash(a), "style": _hash(b)} for a, b in p.styles] for p in made],
         }
     return map_arrow(at, step, schema)
 
@@ -201,15 +224,7 @@ def _host():
     return F.lower(F.regexp_extract(F.coalesce(rest, F.lit("")), "^([^/?#]*)", 1))
 
 
-def _entropy(rows: DataFrame, by: list[str], feature: str, name: str) -> DataFrame:
-    """Per node: pages ``m`` (page-feature pairs at most) and the mean over its
-    features of log_m(pages with the feature)."""
-    each = rows.groupBy(*by, feature).agg(F.count(F.lit(1)).alias("c"))
-    return each.groupBy(*by).agg(F.sum("c").alias(f"{name}_n"),
-                                 F.sum(F.col("c") * F.log(F.col("c").cast("double"))).alias(f"{name}_clog"))
-
-
-def importance(read: DataFrame) -> DataFrame:
+def importance(features: DataFrame) -> DataFrame:
     """host, path, importance of every node of the style trees.
 
     Content: 1 minus the mean, over the node's text occurrences, of
@@ -217,18 +232,18 @@ def importance(read: DataFrame) -> DataFrame:
     entropy of its child sequences over the same logarithm.  Everything is
     counted by (host, path, feature) before it meets, so a host with a third
     of all pages is spread over its texts."""
-    block = read.select("host", F.explode("blocks").alias("b"))
-    texts = block.select("host", F.explode("b.paths").alias("path"), F.xxhash64("b.text").alias("text"))
-    styles = read.select("host", F.explode("styles").alias("s")).select("host", "s.path", "s.style")
-    content = _entropy(texts, ["host", "path"], "text", "t")
-    looks = _entropy(styles, ["host", "path"], "style", "s")
-    both = content.join(looks, ["host", "path"], "left")
+    each = features.groupBy("host", "path", "kind", "feature").agg(F.sum("n").alias("c"))
+    own = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value))
+    clog = F.col("c") * F.log(F.col("c").cast("double"))
+    nodes = each.groupBy("host", "path").agg(own(0, F.col("c")).alias("t_n"), own(0, clog).alias("t_clog"),
+                                             own(1, F.col("c")).alias("s_n"), own(1, clog).alias("s_clog"))
     pages = F.coalesce("s_n", "t_n").cast("double")
     log_m = F.log(pages)
     content_score = 1 - F.least(F.lit(1.0), F.try_divide(F.try_divide("t_clog", "t_n"), log_m))
     look_score = F.least(F.lit(1.0), F.try_divide(F.log(F.col("s_n").cast("double")) - F.try_divide("s_clog", "s_n"), log_m))
     mixed = CONTENT_SHARE * content_score + (1 - CONTENT_SHARE) * F.coalesce(look_score, F.lit(0.0))
-    return both.select("host", "path", F.when(pages < LEAST_PAGES, 1.0).otherwise(mixed).alias("importance"))
+    return (nodes.filter("t_n IS NOT NULL")
+            .select("host", "path", F.when(pages < LEAST_PAGES, 1.0).otherwise(mixed).alias("importance")))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -237,10 +252,13 @@ def extract(pages: DataFrame) -> DataFrame:
     Inside the main element only containers (no paragraphs, lists, tables,
     headings standing in it directly) can be cut for their contents; outside
     it nothing stays; pages without one keep every important branch."""
-    read = settle(read_pages(pages), "pages")
-    low = (importance(read).filter(F.col("importance") < LOW).groupBy("host")
-           .agg(F.collect_set("path").alias("low")))
-    joined = read.join(low, "host", "left").withColumn("low", F.coalesce("low", F.array().cast("array<bigint>")))
+    low = settle(importance(node_features(pages)).filter(F.col("importance") < LOW).groupBy("host")
+                 .agg(F.collect_set("path").alias("low")), "low")
+    nodes = low.agg(F.sum(F.size("low") + 8)).first()[0] or 0
+    low = F.broadcast(low) if nodes <= BROADCAST_NODES else low
+    # pages are read again rather than kept: parsing costs less than moving them
+    joined = (read_pages(pages).join(low, "host", "left")
+              .withColumn("low", F.coalesce("low", F.array().cast("array<bigint>"))))
     cut = lambda b: F.size(F.array_intersect(b["paths"], F.col("low"))) > 0
     keep = F.filter("blocks", lambda b: F.when(F.col("has_main"), b["main"] & ~(b["inside"] & cut(b))).otherwise(~cut(b)))
     text = F.array_join(F.transform(keep, lambda b: b["text"]), "\n\n")
