@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,8 +79,20 @@ def suffix_order(strings: list[bytes]) -> list[tuple[int, int]]:
 def duplicate_windows(strings: list[bytes], places: list[tuple], length: int) -> list[list[int]]:
     """For each string, which of its windows also start earlier in another one.
     ``places``: where each string starts, as a tuple whose last number grows
-    with the position."""
+    with the position.  Of equal strings the first stands for all in the order;
+    every window of the others starts earlier in it."""
+    earliest: dict[bytes, int] = {}
+    for k, s in enumerate(strings):
+        if s not in earliest or places[k] < places[earliest[s]]:
+            earliest[s] = k
+    if len(earliest) < len(strings):
+        own = list(earliest.values())
+        found = duplicate_windows([strings[k] for k in own], [places[k] for k in own], length)
+        by = dict(zip(own, found))
+        return [by[k] if k in by else list(range(len(s) - length + 1)) for k, s in enumerate(strings)]
     out: list[list[int]] = [[] for _ in strings]
+    if len(strings) < 2:
+        return out
     run: list[tuple[int, int]] = []
 
     def close():
@@ -204,24 +217,28 @@ def _blocks(contexts: DataFrame, length: int, gram: int) -> DataFrame:
     half = -(-span // 2)
 
     def step(batch):
-        out: dict[str, list] = {k: [] for k in ("h", "c", "block", "core", "doc_id", "th", "at", "shift", "s")}
-        rows = [batch.column(k).to_pylist() for k in range(7)]
-        for h, c, ctx, off, doc, th, lo in zip(*rows):
-            raw = np.frombuffer(ctx, np.uint8)
-            ranges, n = None, len(ctx) - length + 1
-            for block in range(2):
-                # windows start at off - d for distances d of the block
-                far, near = off - min(span - 1, block * half + half - 1), off - block * half
-                a, b = max(0, far), min(n - 1, near)
-                if a > b:
-                    continue
-                ranges = ranges or RangeHash(raw)
-                # the core runs from the nearest start to the farthest end
-                core = ranges.of(np.array([near]), np.array([far + length]))[0]
-                for k, v in (("h", h), ("c", c), ("block", block), ("core", int(core.view(np.int64))), ("doc_id", doc),
-                             ("th", th), ("at", lo + a), ("shift", a), ("s", ctx[a:b + length])):
-                    out[k].append(v)
-        return out if out["h"] else None
+        ctx = batch.column(2).to_pylist()
+        sizes = np.array([len(x) for x in ctx])
+        ranges = RangeHash(np.frombuffer(b"".join(ctx), np.uint8))
+        at = np.cumsum(sizes) - sizes
+        off, lo = batch.column(3).to_numpy().astype(np.int64), batch.column(6).to_numpy().astype(np.int64)
+        out: dict[str, list] = {k: [] for k in ("rows", "block", "core", "at", "shift", "s")}
+        for block in range(2):
+            # windows start at off - d for distances d of the block; the core
+            # runs from the nearest start to the farthest end
+            far, near = off - min(span - 1, block * half + half - 1), off - block * half
+            a, b = np.maximum(far, 0), np.minimum(near, sizes - length)
+            ok = np.flatnonzero(a <= b)
+            out["rows"].append(ok)
+            out["block"].append(np.full(len(ok), block))
+            out["core"].append(ranges.of((at + near)[ok], (at + far)[ok] + length).view(np.int64))
+            out["at"].append((lo + a)[ok])
+            out["shift"].append(a[ok])
+            out["s"] += [ctx[k][i:j] for k, i, j in zip(ok.tolist(), a[ok].tolist(), (b[ok] + length).tolist())]
+        rows = pa.array(np.concatenate(out["rows"]))
+        return {"h": batch.column(0).take(rows), "c": batch.column(1).take(rows), "doc_id": batch.column(4).take(rows),
+                "th": batch.column(5).take(rows), "s": out["s"],
+                **{k: np.concatenate(out[k]) for k in ("block", "core", "at", "shift")}} if len(rows) else None
 
     return map_arrow(contexts.select("h", "c", "ctx", "off", "doc_id", "th", "lo"), step,
                      "h long, c long, block int, core long, doc_id long, th int, at int, shift int, s binary")
@@ -232,7 +249,7 @@ def _verdicts(contexts: DataFrame, length: int, gram: int, limit: int) -> DataFr
     for contexts that differ from others of their gram."""
     key = ["h", "block", "core"]
     counts = settle(_blocks(contexts, length, gram).groupBy(*key).agg(F.count(F.lit(1)).alias("k")).filter("k > 1"), "cores")
-    shared = _blocks(contexts, length, gram).join(counts, key)
+    shared = settle(_blocks(contexts, length, gram).join(counts, key), "shared")
     member = F.struct("c", "doc_id", "th", "at", "shift", "s")
     groups = shared.filter(F.col("k") <= limit).groupBy(*key).agg(F.collect_list(member).alias("members"))
     target = _arrow_schema(contexts.sparkSession, "h long, c long, dups array<int>")
@@ -252,6 +269,8 @@ def _verdicts(contexts: DataFrame, length: int, gram: int, limit: int) -> DataFr
             yield to_batch({"h": h_, "c": c_, "dups": d_}, target)
 
     light = groups.select("h", "members").mapInArrow(solve, "h long, c long, dups array<int>")
+    if not counts.filter(F.col("k") > limit).limit(1).count():
+        return light.groupBy("h", "c").agg(F.flatten(F.collect_list("dups")).alias("dups"))
     # a group with more strings than one task should order: each window meets
     # its equals by itself
     wide = (shared.filter(F.col("k") > limit)
@@ -266,38 +285,38 @@ def _verdicts(contexts: DataFrame, length: int, gram: int, limit: int) -> DataFr
 
 
 def duplicate_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limit: int = GROUP_STRINGS) -> DataFrame:
-    """doc_id, th (hash of the text) and the covered byte ranges ``a, b`` of
-    every document in which a window also starts earlier; ranges may overlap."""
+    """doc_id, th (hash of the text) and covered byte ranges (start << 32 | end)
+    of every document in which a window also starts earlier; ranges may overlap."""
     found = settle(occurrences(docs, length, gram), "occurrences")
     place = F.struct("doc_id", "th", "lo")
     classes = settle(found.groupBy("h", "c").agg(
         F.min(place).alias("first"), F.count(F.lit(1)).alias("k"), F.max("ctx").alias("ctx"), F.first("off").alias("off")), "contexts")
     contexts = classes.filter("ctx IS NOT NULL").select("h", "c", "ctx", "off", "first.*")
     verdicts = _verdicts(contexts, length, gram, limit)
-    judged = (classes.select("h", "c", "first", "k").join(verdicts, ["h", "c"], "left")
-              .filter("k > 1 OR dups IS NOT NULL").drop("k"))
+    judged = settle(classes.select("h", "c", "first", "k").join(verdicts, ["h", "c"], "left")
+                    .filter("k > 1 OR dups IS NOT NULL").drop("k"), "judged")
+    # both sides are plain tables: a context that a third of all rows share is
+    # split by the skew join
     hit = found.select("h", "c", "doc_id", "th", "lo", "n").join(judged, ["h", "c"])
-    whole = F.array(F.struct(F.col("lo").alias("a"), (F.col("lo") + F.col("n") - 1 + length).alias("b")))
-    single = F.transform("dups", lambda w: F.struct((F.col("lo") + w).alias("a"), (F.col("lo") + w + length).alias("b")))
+    span = lambda a, b: F.shiftleft(a.cast("long"), 32).bitwiseOR(b.cast("long"))
+    whole = F.array(span(F.col("lo"), F.col("lo") + F.col("n") - 1 + length))
+    single = F.transform("dups", lambda w: span(F.col("lo") + w, F.col("lo") + w + length))
     ranges = F.when(~place.eqNullSafe(F.col("first")), whole).otherwise(single)
-    return hit.select("doc_id", "th", ranges.alias("r")).filter("r IS NOT NULL").select("doc_id", "th", "r")
+    return hit.select("doc_id", "th", ranges.alias("r")).filter("r IS NOT NULL")
 
 
 def _merged(spans: DataFrame) -> DataFrame:
     """Per document the sorted, disjoint ranges, packed as little-endian pairs."""
     def step(batch):
-        packed = []
-        for lists in batch.column(2).to_pylist():
-            pairs = sorted((x["a"], x["b"]) for one in lists for x in one)
-            out: list[list[int]] = []
-            for a, b in pairs:
-                if out and a <= out[-1][1]:
-                    out[-1][1] = max(out[-1][1], b)
-                else:
-                    out.append([a, b])
-            packed.append(np.array(out, "<i4").tobytes())
+        packed, lists = [], batch.column(2)
+        values, at = lists.values.to_numpy(), lists.offsets.to_numpy()
+        for i, j in zip(at[:-1].tolist(), at[1:].tolist()):
+            own = np.sort(values[i:j])
+            start, stop = own >> 32, np.maximum.accumulate(own & 0xFFFFFFFF)
+            new = np.flatnonzero(np.concatenate(([True], start[1:] > stop[:-1])))
+            packed.append(np.stack([start[new], stop[np.append(new[1:], len(own)) - 1]], 1).astype("<i4").tobytes())
         return {"doc_id": batch.column(0), "th": batch.column(1), "spans": packed}
-    rows = spans.groupBy("doc_id", "th").agg(F.collect_list("r").alias("r"))
+    rows = spans.groupBy("doc_id", "th").agg(F.flatten(F.collect_list("r")).alias("r"))
     return map_arrow(rows, step, "doc_id long, th int, spans binary")
 
 
