@@ -4,16 +4,16 @@ A CGK walk reads a word sequence with a pointer that, at every step, stays or
 moves on by a random bit of (step, word): words in edit distance become words
 in Hamming distance, and an insertion or deletion is forgotten once two walks
 fall into step again.  Each repetition walks from every window of the corpus
-and from the item words at its own relative place, samples a few positions of
+and from a random word of each item, samples a few positions of
 the embedding and looks for equal samples; the samples are compared one after
-another, so that most windows end after the first.  Every hit is verified by
+another, so that most windows end after the first.  Walks that move at every
+step start at the pieces of each item, one more than its allowed edits: every
+copy leaves one piece untouched, so none is missed.  Every hit is verified by
 the exact edit distance between the item and the best fitting part of the
 window.  All windows of a document are in one row, so nothing is shuffled."""
 
 from __future__ import annotations
 
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -67,41 +67,51 @@ class Index:
             if len(words) >= LEAST_WORDS:
                 ids = [self.vocab.setdefault(w, len(self.vocab) + 1) for w in words]
                 self.items.append((item_id, ids, int((1 - similarity) * len(ids) + 1e-9)))
-        # walks start at the rarest word near their place, so that few windows do
-        seen = Counter(w for _, ids, _ in self.items for w in ids)
-        spelled = {k: len(w) for w, k in self.vocab.items()}
-        rare = [[(seen[w], -spelled[w]) for w in ids] for _, ids, _ in self.items]
+        self.distinct = [frozenset(ids) for _, ids, _ in self.items]
         rng = np.random.default_rng(seed)
-        n_words = len(self.vocab) + 1
+        self.n_words = len(self.vocab) + 1
         self.gap = SAMPLES[-1] + 2
         self.reps = []
-        for r in range(repetitions):
+        if not self.items:
+            return
+        sizes = np.array([len(ids) for _, ids, _ in self.items])
+        self.flat = np.concatenate([np.array(ids + [0] * self.gap) for _, ids, _ in self.items])
+        self.at = np.cumsum(sizes + self.gap) - sizes - self.gap
+        for length, places in self._pieces().items():
+            self._add(places, list(range(length)), np.ones((length, self.n_words), np.uint8))
+        for _ in range(repetitions):
             steps = [0, *(int(rng.integers(a + (k > 0), b + 1)) for k, (a, b) in enumerate(zip(SAMPLES, SAMPLES[1:])))]
             steps = sorted(set(steps))
-            bits = rng.integers(0, 2, (steps[-1] + 1, n_words), dtype=np.uint8)
-            share = (r + 0.5 * rng.random()) / repetitions if r else 0.0
-            starts = []
-            for weights in rare:
-                low = min(int(share * len(weights)), max(0, len(weights) - SAMPLES[-1] // 2 - 1))
-                near = range(low, min(len(weights), low + max(4, len(weights) // 6)))
-                starts.append(min(near, key=weights.__getitem__))
-            flat = np.concatenate([np.array(ids[o:] + [0] * self.gap) for (_, ids, _), o in zip(self.items, starts)]) if self.items else np.zeros(1, int)
-            sizes = np.array([len(ids) - o + self.gap for (_, ids, _), o in zip(self.items, starts)], int)
-            at = np.cumsum(sizes) - sizes
-            levels, keys = [], None
-            ptr, prev = at.copy(), 0
-            for j in steps:
-                ptr = self._walk(flat, ptr, bits, prev, j)
-                keys = self._key(keys, flat[ptr] if len(self.items) else np.zeros(0, int))
-                levels.append(np.unique(keys))
-                prev = j
-            first = np.zeros(n_words, bool)
-            if len(self.items):
-                first[flat[at]] = True
-            by_key: dict[int, list[tuple[int, int]]] = {}
-            for k, (key, o) in enumerate(zip(keys.tolist(), starts)):
-                by_key.setdefault(key, []).append((k, o))
-            self.reps.append((steps, bits, first, levels, by_key))
+            bits = rng.integers(0, 2, (steps[-1] + 1, self.n_words), dtype=np.uint8)
+            starts = rng.integers(0, np.maximum(1, sizes - SAMPLES[-1] // 2))
+            self._add(list(enumerate(starts.tolist())), steps, bits)
+
+    def _pieces(self) -> dict[int, list[tuple[int, int]]]:
+        """Sampled words -> (item number, first word) of every item cut into one
+        piece more than it may have edits: one of them is untouched."""
+        out: dict[int, list[tuple[int, int]]] = {}
+        for k, (_, ids, most) in enumerate(self.items):
+            cuts = [len(ids) * c // (most + 1) for c in range(most + 2)]
+            for a, b in zip(cuts, cuts[1:]):
+                out.setdefault(min(b - a, SAMPLES[-1]), []).append((k, a))
+        return out
+
+    def _add(self, places: list[tuple[int, int]], steps: list[int], bits: np.ndarray) -> None:
+        """One repetition: walks from ``places`` (item number, first word) by
+        ``bits``, sampled at ``steps``."""
+        at = self.at[[k for k, _ in places]] + [o for _, o in places]
+        levels, keys, ptr, prev = [], None, at, 0
+        for j in steps:
+            ptr = self._walk(self.flat, ptr, bits, prev, j)
+            keys = self._key(keys, self.flat[ptr])
+            levels.append(np.unique(keys))
+            prev = j
+        first = np.zeros(self.n_words, bool)
+        first[self.flat[at]] = True
+        by_key: dict[int, list[tuple[int, int]]] = {}
+        for key, place in zip(keys.tolist(), places):
+            by_key.setdefault(key, []).append(place)
+        self.reps.append((steps, bits, first, levels, by_key))
 
     @staticmethod
     def _walk(symbols, ptr, bits, a: int, b: int):
@@ -145,7 +155,7 @@ class Index:
 
         def flush():
             symbols = np.concatenate([*parts, pad])
-            ends = [b[1] for b in bounds]
+            ends = np.array([b[1] for b in bounds])
             best: dict[tuple[int, int], int] = {}
             for s, k in self.hits(symbols):
                 _, ids, most = self.items[k]
@@ -159,6 +169,9 @@ class Index:
                 if best.get((doc, k), len(ids)) == 0:
                     continue
                 region = symbols[max(lo, s - most):min(hi, s + len(ids) + most)].tolist()
+                # an edit takes away one distinct word at most
+                if len(self.distinct[k].intersection(region)) < len(self.distinct[k]) - most:
+                    continue
                 d = best_distance(ids, region)
                 if d <= most and d < best.get((doc, k), most + 1):
                     best[doc, k] = d

@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
@@ -70,6 +71,24 @@ def test_decontamination_recall_on_edited_passages():
     assert index.search([None, "", "a"]) == []
 
 
+def test_decontamination_misses_no_edited_copy_of_any_length():
+    rng = random.Random(3)
+    common, rare = [f"w{k}" for k in range(40)], [f"rare{k}" for k in range(900)]
+    items = [(k, " ".join(rng.choice(rare) if rng.random() < 0.3 else rng.choice(common) for _ in range(5 + k % 30)))
+             for k in range(240)]
+    seen = Counter(w for _, text in items for w in text.split())
+    index = decontam.Index(items, 0.8, decontam.REPETITIONS)
+    texts = []
+    for k, text in items:
+        words = text.split()
+        places = sorted(range(len(words)), key=lambda i: seen[words[i]]) if k % 2 else rng.sample(range(len(words)), len(words))
+        for i in places[:int(0.2 * len(words) + 1e-9)]:
+            words[i] = "edited"
+        texts.append(" ".join(["x"] * 40 + words + ["y"] * 40))
+    found = {(n, i) for n, i, *_ in index.search(texts)}
+    assert all((k, k) in found for k in range(len(items)))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 16), st.integers(1, 40), max_size=8))
 def test_best_fit_places_every_rank_once_without_gaps(runs):
