@@ -126,7 +126,7 @@ class Index:
         return mixed ^ (mixed >> np.uint64(29))
 
     def hits(self, symbols: np.ndarray):
-        """(position in symbols, item number, window start) of equal signatures."""
+        """(window start, item number, walk start) of equal signatures, as places in symbols."""
         found = set()
         for steps, bits, first, levels, by_key in self.reps:
             start = np.flatnonzero(first[symbols])
@@ -140,7 +140,7 @@ class Index:
                 if not len(start):
                     break
             for p, key in zip(start.tolist(), keys.tolist() if len(start) else ()):
-                found.update((p - o, k) for k, o in by_key[key])
+                found.update((p - o, k, p) for k, o in by_key[key])
         return sorted(found)
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int]]:
@@ -157,15 +157,12 @@ class Index:
             symbols = np.concatenate([*parts, pad])
             ends = np.array([b[1] for b in bounds])
             best: dict[tuple[int, int], int] = {}
-            for s, k in self.hits(symbols):
+            hits = self.hits(symbols)
+            # a window may begin before its document: the walk's start is always inside
+            docs = np.searchsorted(ends, np.array([p for _, _, p in hits], int), "right").tolist()
+            for doc, k, s in sorted({(doc, k, s) for doc, (s, k, _) in zip(docs, hits)}):
                 _, ids, most = self.items[k]
-                doc = int(np.searchsorted(ends, max(s, 0) if s >= 0 else 0, "right"))
-                # a window may begin before its document: place it by its middle
-                doc = min(doc, len(bounds) - 1)
                 lo, hi = bounds[doc]
-                if s + len(ids) <= lo and doc:
-                    doc -= 1
-                    lo, hi = bounds[doc]
                 if best.get((doc, k), len(ids)) == 0:
                     continue
                 region = symbols[max(lo, s - most):min(hi, s + len(ids) + most)].tolist()

@@ -89,6 +89,14 @@ def test_decontamination_misses_no_edited_copy_of_any_length():
     assert all((k, k) in found for k in range(len(items)))
 
 
+def test_decontamination_finds_items_whose_first_words_are_missing():
+    item = [f"w{k}" for k in range(100)]
+    index = decontam.Index([(1, " ".join(item))], 0.8, decontam.REPETITIONS)
+    part = " ".join(item[20:] + ["z"] * 5)
+    texts = ["a " * 30, part, "b", part, part, None, "c " * 200, part]
+    assert index.search(texts) == [(n, 1, 20, 100) for n in (1, 3, 4, 7)]
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.dictionaries(st.integers(1, 16), st.integers(1, 40), max_size=8))
 def test_best_fit_places_every_rank_once_without_gaps(runs):
