@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import map_arrow, settle
+from colloquy.llm.common import BROADCAST_IDS, map_arrow, settle
 
 LEAST_PAGES = 5         # a node is judged by its contents from so many pages on
 LOW = 0.35              # branches under this importance are cut
@@ -177,32 +177,56 @@ class _Page:
                 return
 
 
-def node_features(pages: DataFrame) -> DataFrame:
-    """host, path, kind (0 text, 1 style), feature, n: what each node of the
-    style trees showed, counted per batch before anything moves."""
-    rows = pages.select("html", _host().alias("host"))
+def _weighted(pages: DataFrame) -> DataFrame:
+    """html, host, weight: 1 over the number of the host's pages that have the
+    same html, so that copies of a page count as one page.  Only hashes move,
+    as long as the repeated ones are few enough to be sent to all tasks."""
+    rows = pages.select("html", _host().alias("host")).withColumn("_page", F.xxhash64("host", "html"))
+    copies = settle(rows.groupBy("_page").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"), "copies")
+    copies = F.broadcast(copies) if copies.count() <= BROADCAST_IDS else copies
+    return rows.join(copies, "_page", "left").select("html", "host", (1 / F.coalesce("_n", F.lit(1))).alias("weight"))
+
 
+def node_features(pages: DataFrame) -> DataFrame:
+    """host, path, kind (0 text, 1 style, 2 page), feature, n: what each node of
+    the style trees showed, a text once per page and copies of a page as one
+    page (n sums to whole numbers), counted per batch before anything moves."""
     def step(batch):
-        seen: Counter = Counter()
-        for text, host in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        seen: dict = {}
+        for text, host, weight in zip(*(batch.column(i).to_pylist() for i in range(3))):
             page = _Page(text or "")
-            for block, paths, _, _ in page.blocks:
-                own = _hash(block)
-                for path in paths:
-                    seen[host, _hash(path), 0, own] += 1
+            once = {(_hash(path), 0, _hash(block)) for block, paths, _, _ in page.blocks for path in paths}
+            once |= {(path, 2, 0) for path, _, _ in once}
+            for path, kind, own in once:
+                seen[host, path, kind, own] = seen.get((host, path, kind, own), 0.0) + weight
             for path, style in page.styles:
-                seen[host, _hash(path), 1, _hash(style)] += 1
+                key = host, _hash(path), 1, _hash(style)
+                seen[key] = seen.get(key, 0.0) + weight
         if not seen:
             return None
         host, path, kind, feature = zip(*seen)
         return {"host": list(host), "path": list(path), "kind": list(kind), "feature": list(feature), "n": list(seen.values())}
 
-    return map_arrow(rows, step, "host string, path long, kind int, feature long, n long")
+    return map_arrow(_weighted(pages), step, "host string, path long, kind int, feature long, n double")
+
+
+def _cuttable(page: _Page) -> list[list[str]]:
+    """The paths of each block at which it may be cut: not html and body, not
+    the main element and what is around it, and no node that holds more than
+    half of the page's text (of that in main elements, where there are any)."""
+    blocks, size = [], Counter()
+    for text, paths, main, _ in page.blocks:
+        tags = [p[len(q) + 1:].split(" ", 1)[0] for p, q in zip(paths, ["", *paths])]
+        outer = next((k + 1 for k, tag in enumerate(tags) if main and tag in MAIN), 0)
+        blocks.append([p for k, (p, tag) in enumerate(zip(paths, tags)) if k >= outer and tag not in ("html", "body")])
+        if main or not page.has_main:
+            size.update({p: len(text) for p in set(paths)} | {"": len(text)})
+    return [[p for p in paths if 2 * size[p] <= size[""]] for paths in blocks]
 
 
 def read_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, host, has_main and the visible blocks of every page (text,
-    node paths as hashes, in main, in a container of main).  Null html has no
+    paths to cut it at as hashes, in main, in a container of main).  Null html has no
     blocks."""
     at = pages.select("page_id", "url", "html", _host().alias("host"))
     schema = ("page_id long, url string, host string, has_main boolean, "
@@ -214,7 +238,7 @@ def read_pages(pages: DataFrame) -> DataFrame:
             "page_id": batch.column(0), "url": batch.column(1), "host": batch.column(3),
             "has_main": [p.has_main for p in made],
             "blocks": [[{"text": t, "paths": [_hash(x) for x in paths], "main": m, "inside": c}
-                        for t, paths, m, c in p.blocks] for p in made],
+                        for (t, _, m, c), paths in zip(p.blocks, _cuttable(p))] for p in made],
         }
     return map_arrow(at, step, schema)
 
@@ -227,20 +251,22 @@ def _host():
 def importance(features: DataFrame) -> DataFrame:
     """host, path, importance of every node of the style trees.
 
-    Content: 1 minus the mean, over the node's text occurrences, of
+    Content: 1 minus the mean, over the node's texts (once per page), of
     log(pages that share the text) / log(pages of the node).  Presentation: the
     entropy of its child sequences over the same logarithm.  Everything is
     counted by (host, path, feature) before it meets, so a host with a third
     of all pages is spread over its texts."""
-    each = features.groupBy("host", "path", "kind", "feature").agg(F.sum("n").alias("c"))
+    each = features.groupBy("host", "path", "kind", "feature").agg(F.round(F.sum("n")).cast("long").alias("c"))
     own = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value))
     clog = F.col("c") * F.log(F.col("c").cast("double"))
     nodes = each.groupBy("host", "path").agg(own(0, F.col("c")).alias("t_n"), own(0, clog).alias("t_clog"),
-                                             own(1, F.col("c")).alias("s_n"), own(1, clog).alias("s_clog"))
-    pages = F.coalesce("s_n", "t_n").cast("double")
+                                             own(1, F.col("c")).alias("s_n"), own(1, clog).alias("s_clog"),
+                                             own(2, F.col("c")).alias("pages"))
+    pages = F.col("pages").cast("double")
     log_m = F.log(pages)
     content_score = 1 - F.least(F.lit(1.0), F.try_divide(F.try_divide("t_clog", "t_n"), log_m))
-    look_score = F.least(F.lit(1.0), F.try_divide(F.log(F.col("s_n").cast("double")) - F.try_divide("s_clog", "s_n"), log_m))
+    look_score = F.least(F.lit(1.0), F.try_divide(F.log(F.col("s_n").cast("double")) - F.try_divide("s_clog", "s_n"),
+                                                   F.log(F.col("s_n").cast("double"))))
     mixed = CONTENT_SHARE * content_score + (1 - CONTENT_SHARE) * F.coalesce(look_score, F.lit(0.0))
     return (nodes.filter("t_n IS NOT NULL")
             .select("host", "path", F.when(pages < LEAST_PAGES, 1.0).otherwise(mixed).alias("importance")))
@@ -251,7 +277,8 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Inside the main element only containers (no paragraphs, lists, tables,
     headings standing in it directly) can be cut for their contents; outside
-    it nothing stays; pages without one keep every important branch."""
+    it nothing stays; pages without one keep every important branch.  A node
+    that holds most of a page's text is never cut there."""
     low = settle(importance(node_features(pages)).filter(F.col("importance") < LOW).groupBy("host")
                  .agg(F.collect_set("path").alias("low")), "low")
     nodes = low.agg(F.sum(F.size("low") + 8)).first()[0] or 0

@@ -227,6 +227,20 @@ def test_style_tree_cuts_repeated_branches_without_a_main_element(spark):
     assert {r.page_id: r.text for r in got} == {k: f"T{k}\n\ntext number {k}" for k in range(30)}
 
 
+def test_copies_of_a_page_are_no_boilerplate(spark):
+    page = lambda body: f"<html><body><div class='content'>{body}</div></body></html>"
+    one = "<p>the one text of this host</p><p>and more of it</p>"
+    rows = [(k, "http://same.org/", page(one)) for k in range(12)]
+    rows += [(100 + k, "http://main.org/", f"<html><body><main><article>{one}</article></main></body></html>") for k in range(12)]
+    rows += [(200 + k, "http://mixed.org/", page(one)) for k in range(30)]
+    rows += [(300 + k, "http://mixed.org/", page(f"<p>unique text {k}</p><p>further {k}</p>")) for k in range(8)]
+    rows += [(400 + k, "http://twice.org/", page(f"<p>own {k}</p>" * 6 + "<div class='x7'>offer</div>")) for k in range(8)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[k] == "the one text of this host\n\nand more of it" for k in got if k < 300)
+    assert all(got[300 + k] == f"unique text {k}\n\nfurther {k}" for k in range(8))
+    assert all(got[400 + k] == "\n\n".join([f"own {k}"] * 6) for k in range(8))
+
+
 def test_quality_without_labels_and_with_one_class(spark, hard_docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int")
     model = quality.train(hard_docs, none)
