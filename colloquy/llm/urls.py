@@ -2,8 +2,8 @@
 
 Pages collapse to (host, shape) counts: digit runs in a path are wildcards
 right away.  Level by level, a path segment stays literal under its host and
-parent template only if it is frequent there and its labelled rows differ from
-its siblings' by a two-proportion test; other siblings merge into ``*``.  A
+parent template only if it has a few rows there and its labelled rows differ from
+its siblings' by a two-proportion test, whatever the host's size; other siblings merge into ``*``.  A
 template is rejected when the smoothed share of blocked pages among its
 labelled ones reaches the threshold; the smoothing leans on the parent."""
 
@@ -17,8 +17,7 @@ from colloquy.llm.common import settle
 # Fixed values: (verdict, host, path).
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"),
          ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
-MIN_ROWS = 3            # a literal segment has at least so many rows under its parent,
-MIN_SHARE = 0.02        # and at least this share of the parent's rows
+MIN_ROWS = 3            # a literal segment has at least so many rows under its parent
 Z = 1.96
 SMOOTH = 2.0            # labelled rows that the parent's purity counts for
 DAMP = 0.5              # of the parent's purity
@@ -72,7 +71,7 @@ def template_verdicts(shapes: DataFrame) -> DataFrame:
         differs = F.coalesce((F.col("labelled") > 0) & (rest > 0) & (error > 0) & (F.abs(rate - other) >= Z * error), F.lit(False))
         # siblings without labels and siblings with labels are not alike either
         mixed = (F.col("p_labelled") > 0) & (((F.col("labelled") == 0) & (rest > 0)) | ((F.col("labelled") > 0) & (rest == 0)))
-        often = (F.col("n") >= MIN_ROWS) & (F.col("n") >= MIN_SHARE * F.col("p_n"))
+        often = F.col("n") >= MIN_ROWS
         named = both.select("host", "node", "_s", F.concat("node", F.lit("/"), F.when(
             (F.col("_s") == "$") | (often & (differs | mixed)), F.col("_s")).otherwise("*")).alias("_next"))
         cur = settle(cur.join(named, ["host", "node", "_s"]).withColumn("node", F.col("_next")).drop("_s", "_next"), "templates")

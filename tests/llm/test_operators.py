@@ -165,6 +165,16 @@ def test_urls_reject_blocked_templates_only(spark):
     assert got == {("h", ("spam", "#")): "block", ("h", ("news", "#")): "allow", ("h", ("other",)): "allow", ("g", ()): "allow"}
 
 
+def test_urls_rare_branches_are_judged_by_themselves(spark):
+    slug = lambda k: chr(97 + k % 26) + chr(97 + k // 26)
+    shapes = spark.createDataFrame(
+        [("h", ["s" + slug(k), "t" + slug(k), "x"], 5, 0, 0) for k in range(600)]
+        + [("h", ["de", "u" + slug(k), "x"], 1, 1, 1) for k in range(15)],
+        "host string, shape array<string>, n long, labelled long, blocked long")
+    got = {r["shape"][0]: r.judged for r in urls.template_verdicts(shapes).collect()}
+    assert {k for k, v in got.items() if v == "block"} == {"de"}
+
+
 def test_suffix_awkward_rows(spark, hard_docs, no_docs):
     for limit in (1024, 2):
         spans = suffix.duplicate_spans(hard_docs, 20, 8, limit)
