@@ -46,13 +46,16 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def without(df: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Rows of ``df`` whose ``key`` is not in ``ids`` (a null key matches a null
-    id).  The ids are settled and counted: up to ``BROADCAST_IDS`` they are sent
-    to the rows, which then stay where they are; more are joined by shuffle."""
-    named = settle(ids.select(F.col(key).alias("_gone")), "ids")
+def without(df: DataFrame, ids: DataFrame, *keys: str) -> DataFrame:
+    """Rows of ``df`` whose ``keys`` (doc_id) are not in ``ids`` (a null key
+    matches a null id).  The ids are settled and counted: up to
+    ``BROADCAST_IDS`` they are sent to the rows, which then stay where they
+    are; more are joined by shuffle."""
+    keys = keys or ("doc_id",)
+    named = settle(ids.select(*[F.col(k).alias("_gone_" + k) for k in keys]), "ids")
     named = F.broadcast(named) if named.count() <= BROADCAST_IDS else named
-    return df.join(named, df[key].eqNullSafe(named["_gone"]), "left_anti")
+    same = [df[k].eqNullSafe(named["_gone_" + k]) for k in keys]
+    return df.join(named, same, "left_anti")
 
 
 def map_arrow(df: DataFrame, step, schema: str) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.llm.common import map_arrow, without
+from colloquy.llm.common import ddl, map_arrow
 
 SIMILARITY = 0.8
 LEAST_WORDS = 5
@@ -192,6 +192,18 @@ class Index:
 MATCHES = "doc_id long, item_id long, distance int, item_words int"
 
 
+def _indexes(items: DataFrame, similarity: float, repetitions: int, items_per_pass: int):
+    """One index per pass over the documents."""
+    text = items.select("item_id", "text").filter(F.col("text").isNotNull())
+    bound = text.count()
+    passes = max(1, -(-bound // items_per_pass))
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
+    for p in range(passes):
+        rows = sorted((r.item_id if r.item_id is not None else -1, r.text, r.item_id is None)
+                      for r in text.filter(part == p).collect())
+        yield Index([(None if null else i, t) for i, t, null in rows], similarity, repetitions)
+
+
 def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY,
             repetitions: int = REPETITIONS, items_per_pass: int = ITEMS_PER_PASS) -> DataFrame:
     """doc_id, item_id, distance, item_words: one row per document row and
@@ -201,16 +213,8 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY,
     Null texts hold nothing; items of under ``LEAST_WORDS`` words are no
     evidence; repeated rows answer each for themselves.  The items are read in
     passes of at most ``items_per_pass``, one scan of the documents each."""
-    text = items.select("item_id", "text").filter(F.col("text").isNotNull())
-    bound = text.count()
-    passes = max(1, -(-bound // items_per_pass))
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(passes))
     out = None
-    for p in range(passes):
-        rows = sorted((r.item_id if r.item_id is not None else -1, r.text, r.item_id is None)
-                      for r in text.filter(part == p).collect())
-        index = Index([(None if null else i, t) for i, t, null in rows], similarity, repetitions)
-
+    for index in _indexes(items, similarity, repetitions, items_per_pass):
         def step(batch, index=index):
             ids = batch.column(0)
             found = index.search(batch.column(1).to_pylist())
@@ -225,8 +229,17 @@ def matches(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY,
     return out
 
 
-def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark passage, by doc_id:
-    every row of such an id goes, and so do all rows without an id if one of
-    them holds a passage."""
-    return without(docs, matches(docs, items, **options).select("doc_id").distinct())
+def clean(docs: DataFrame, items: DataFrame, similarity: float = SIMILARITY,
+          repetitions: int = REPETITIONS, items_per_pass: int = ITEMS_PER_PASS) -> DataFrame:
+    """``docs`` without the rows whose text holds a benchmark passage, each row
+    by its own text, whatever its doc_id."""
+    names, at = docs.columns, docs.columns.index("text")
+    schema = ddl(docs)
+    for index in _indexes(items, similarity, repetitions, items_per_pass):
+        def step(batch, index=index):
+            held = {f[0] for f in index.search(batch.column(at).to_pylist())}
+            kept = batch.filter(pa.array([n not in held for n in range(batch.num_rows)], pa.bool_()))
+            return dict(zip(names, kept.columns))
+
+        docs = map_arrow(docs, step, schema)
+    return docs

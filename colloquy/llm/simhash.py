@@ -43,11 +43,12 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long) of every row; null text as empty."""
+    """doc_id, text_hash, fp (the 64 bits as a long) of every row; null text as empty."""
     def step(batch):
         fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-        return {"doc_id": batch.column(0), "fp": pa.array(fps.view(np.int64))}
-    return map_arrow(docs.select("doc_id", "text"), step, "doc_id long, fp long")
+        return {"doc_id": batch.column(0), "text_hash": batch.column(2), "fp": pa.array(fps.view(np.int64))}
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    return map_arrow(rows, step, "doc_id long, text_hash long, fp long")
 
 
 def segments(distance: int, bits: int = 64) -> list[tuple[int, int]]:
@@ -172,14 +173,28 @@ def links(classes: DataFrame, distance: int = DISTANCE, heavy: int = HEAVY) -> D
     return dealt.mapInArrow(run, schema).distinct()
 
 
+def _least_of_component(docs: DataFrame, least, shingle: int, distance: int) -> DataFrame:
+    """doc_id, text_hash, fp and the smallest ``least`` of its component (``named``) for every row."""
+    rows = settle(fingerprints(docs, shingle), "fingerprints")
+    classes = settle(rows.groupBy("fp").agg(F.min(least).alias("least")), "classes")
+    roots = components(links(classes, distance)).withColumnsRenamed({"node": "fp"})
+    rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    named = rooted.groupBy("root").agg(F.min("least").alias("named"))
+    of = rooted.select("fp", "root").join(named, "root").select("fp", "named")
+    return rows.join(of, "fp")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """doc_id, fp, component_id (smallest doc_id reachable over links of at
     most ``distance`` bits) for every row.  Rows without a doc_id are kept and
     never name a component; a component of only such rows has a null id."""
-    rows = settle(fingerprints(docs, shingle), "fingerprints")
-    classes = settle(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "classes")
-    roots = components(links(classes, distance)).withColumnsRenamed({"node": "fp"})
-    rooted = classes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = rooted.select("fp", "root").join(named, "root").select("fp", "component_id")
-    return rows.join(of, "fp").select("doc_id", "fp", "component_id")
+    rows = _least_of_component(docs, F.col("doc_id"), shingle, distance)
+    return rows.select("doc_id", "fp", F.col("named").alias("component_id"))
+
+
+def first_of_components(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """doc_id, text_hash, first for every row: whether it is the row of its
+    component with the smallest doc_id (null ids last), then text hash."""
+    own = F.struct(F.col("doc_id").isNull().alias("missing"), F.coalesce("doc_id", F.lit(0)).alias("id"), "text_hash")
+    rows = _least_of_component(docs, own, shingle, distance)
+    return rows.select("doc_id", "text_hash", (F.col("named") == own).alias("first"))

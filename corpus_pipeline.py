@@ -24,14 +24,14 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest
-    doc_id.  Repeated rows of one doc_id and text are one document; rows
-    without an id are nobody's duplicate but exact repeats of each other."""
+    """One row of each near-duplicate group: the one with the smallest doc_id
+    (null ids last), then text hash.  Rows are told apart by id and text, so a
+    different text of the same id, or of none, stays."""
     docs = docs.select(*COLUMNS)
-    groups = settle(simhash.near_duplicates(docs), "groups")
-    copies = groups.filter("component_id <> doc_id").select("doc_id").distinct()
-    kept = without(docs, copies)
-    repeated = groups.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
+    rows = settle(simhash.first_of_components(docs), "groups")
+    copies = rows.filter("NOT first").select("doc_id", "text_hash").distinct()
+    kept = without(docs.withColumn("text_hash", F.xxhash64("text")), copies, "doc_id", "text_hash").select(*COLUMNS)
+    repeated = rows.filter("first").groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
     return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
 
 

@@ -227,3 +227,15 @@ def test_stages_on_awkward_documents(spark, hard_docs, no_docs):
             if name != "packing":
                 assert out.columns == corpus_pipeline.COLUMNS
                 docs = out
+
+
+def test_stages_drop_rows_not_ids(spark):
+    import corpus_pipeline
+    leak = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    own = [" ".join(f"{a}{k}" for k in range(60)) for a in "abcd"]
+    rows = [(None, own[0]), (None, own[0]), (None, leak), (5, own[1]), (5, own[2]), (5, leak), (3, own[1]), (None, own[1]), (9, own[3])]
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    seen = corpus_pipeline.keep_unseen(spark, docs, SF).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in seen) == sorted((d or 0, t) for d, t in rows if t != leak)
+    kept = corpus_pipeline.keep_distinct(spark, docs, SF).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(0, own[0]), (5, leak), (3, own[1]), (5, own[2]), (9, own[3])])
