@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import decontam, grammar, html, knn, packing, pii, quality, simhash, suffix, tokens, urls
+from colloquy.llm import decontam, grammar, html, knn, lexical, packing, pii, quality, simhash, suffix, tokens, urls
 from colloquy.llm.common import table
 
 CAPACITY = 2048
@@ -90,6 +90,28 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 highest-scoring ``documents`` of every ``benchmark`` item."""
+    return lexical.top_documents(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                 table(spark, sf_dir, "benchmark", "item_id", "text"), 10)
+
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+OP11_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+c AS (SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM d WHERE len(terms) > 0),
+f AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(n_docs) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM f, c GROUP BY term),
+i AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+s AS (SELECT i.item_id, d.doc_id, d.r,
+             CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(terms) * n_docs) // n_terms)))) AS BIGINT) AS score
+      FROM i JOIN w USING (term) JOIN f USING (term) JOIN d USING (r), c GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 10
+"""
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_pii": op2_pii,
@@ -101,5 +123,6 @@ QUERIES = {
     "op8_decontam": op8_decontam,
     "op9_main_text": op9_main_text,
     "op10_quality": op10_quality,
+    "op11_ranked_search": op11_ranked_search,
 }
-SQL: dict[str, str] = {"op5_knn": OP5_SQL}
+SQL: dict[str, str] = {"op5_knn": OP5_SQL, "op11_ranked_search": OP11_SQL}
