@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import decontam, grammar, html, knn, lexical, packing, pii, quality, simhash, suffix, tokens, urls
+from colloquy.llm import codes, decontam, grammar, html, knn, lexical, packing, pii, quality, simhash, suffix, tokens, urls
 from colloquy.llm.common import table
 
 CAPACITY = 2048
@@ -112,6 +112,44 @@ o AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 10
 """
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every usable row of ``embeddings`` as 8 codebook indexes."""
+    coded, books = codes.compress(codes.quantised(table(spark, sf_dir, "embeddings", "vec_id", "label", "embedding")))
+    return codes.with_label_errors(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(codes.digest(books)).alias("codebooks_sha256"))
+
+
+def _op12_sql() -> str:
+    """The rounds written out; nearest entry by least (distance, index)."""
+    near = """SELECT r, part, any_value(x) AS x, min(16 * list_sum(list_transform(range(1, len(x) + 1),
+                lambda i: (x[i] - e[i]) * (x[i] - e[i]))) + entry) AS near FROM p JOIN {b} USING (part) GROUP BY r, part"""
+    sql = """WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label,
+         list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT r, vec_id, part, v[part * (len(v) // 8) + 1:(part + 1) * (len(v) // 8)] AS x
+  FROM v, (SELECT unnest(range(8)) AS part)),
+b0 AS MATERIALIZED (SELECT part, x AS e, row_number() OVER (PARTITION BY part ORDER BY vec_id, x) - 1 AS entry
+  FROM p QUALIFY entry < 16)"""
+    for k in range(codes.ROUNDS):
+        sql += f""",
+a{k} AS ({near.format(b=f"b{k}")}),
+u{k} AS (SELECT part, near % 16 AS entry, unnest(range(1, len(x) + 1)) AS i, unnest(x) AS c FROM a{k}),
+m{k} AS (SELECT part, entry, list(CAST(floor(s / n) AS BIGINT) ORDER BY i) AS e
+  FROM (SELECT part, entry, i, sum(c) AS s, count(*) AS n FROM u{k} GROUP BY ALL) GROUP BY ALL),
+b{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m{k}.e, b{k}.e) AS e FROM b{k} LEFT JOIN m{k} USING (part, entry))"""
+    last = f"b{codes.ROUNDS}"
+    return sql + f""",
+z AS ({near.format(b=last)}),
+o AS (SELECT r, string_agg(printf('%02x', CAST(near % 16 AS INTEGER)), '' ORDER BY part) AS code,
+             CAST(sum(near // 16) AS BIGINT) AS error FROM z GROUP BY r),
+h AS (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM {last})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM o JOIN v USING (r), h"""
+
+
+OP12_SQL = _op12_sql()
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_pii": op2_pii,
@@ -124,5 +162,6 @@ QUERIES = {
     "op9_main_text": op9_main_text,
     "op10_quality": op10_quality,
     "op11_ranked_search": op11_ranked_search,
+    "op12_vector_codes": op12_vector_codes,
 }
-SQL: dict[str, str] = {"op5_knn": OP5_SQL, "op11_ranked_search": OP11_SQL}
+SQL: dict[str, str] = {"op5_knn": OP5_SQL, "op11_ranked_search": OP11_SQL, "op12_vector_codes": OP12_SQL}
