@@ -24,11 +24,11 @@ FACTOR = 4096
 PARTS = 8
 ENTRIES = 16
 ROUNDS = 6
-CELL_MEMO = 200_000        # cells a worker remembers for one part position
-SIDE = 1.0                 # a cell's side over the entries' spread in one component
+CELL_MEMO = 1 << 16         # cells a worker remembers for one part position
+SIDE = 0.7                 # a cell's side over the entries' spread in one component
 BLOCK_ROWS = 2048          # rows whose cells are looked up at a time
 # squared distances fit 64-bit integers while components stay below this
-SMALL = 1 << 27
+SMALL = 1 << 23
 
 
 def quantised(vectors: DataFrame) -> DataFrame:
@@ -76,32 +76,45 @@ class Codebook:
 
     def _forget(self) -> None:
         self.memo: dict[int, int] = {}
-        self.cells, self.masks = [], []
+        self.cells = np.zeros((0, self.book.shape[1]), np.int64)
+        self.masks = np.zeros((0, len(self.book)), bool)
 
     def near(self, cell: np.ndarray) -> np.ndarray:
-        """Which entries can be nearest to a point of each cell: those whose
-        least distance to its box is at most every entry's greatest."""
+        """Which entries can be nearest to a point of each cell.  An entry is
+        dominated if its least distance to the box is above some entry's
+        greatest, or if some entry is nearer all over the box: the difference
+        of two squared distances is linear, so its greatest value lies at the
+        corner that every component picks for itself."""
         low = cell[:, None, :] * self.side
-        under, over = low - self.book, self.book - (low + (self.side - 1))
+        high = low + (self.side - 1)
+        under, over = low - self.book, self.book - high
         least = np.maximum(np.maximum(under, over), 0)
         most = np.maximum(-under, -over)                     # to the farther face
-        return (least * least).sum(2) <= (most * most).sum(2).min(1)[:, None]
+        near = (least * least).sum(2) <= (most * most).sum(2).min(1)[:, None]
+        norm = (self.book * self.book).sum(1)
+        for f, entry in enumerate(self.book):
+            gap = 2 * (self.book - entry)                    # |x - entry|^2 - |x - e|^2 = x . gap + norms
+            near &= np.maximum(low * gap, high * gap).sum(2) + (norm[f] - norm) >= 0
+        return near
 
     def _remembered(self, cell: np.ndarray) -> np.ndarray:
         """``near`` of each cell, computed once per cell and worker."""
         keys, first, at = np.unique(_cell_hash(cell), return_index=True, return_inverse=True)
         if len(self.memo) + len(keys) > CELL_MEMO:
             self._forget()
-        places = [self.memo.get(key, -1) for key in keys.tolist()]
-        new = [i for i, place in enumerate(places) if place < 0]
-        if new:
+        places = np.array([self.memo.get(key, -1) for key in keys.tolist()])
+        new = np.flatnonzero(places < 0)
+        if len(new):
+            places[new] = np.arange(len(new)) + len(self.memo)
+            self.memo.update(zip(keys[new].tolist(), places[new].tolist()))
             own = cell[first[new]]
-            for i, c, mask in zip(new, own, self.near(own)):
-                places[i] = self.memo[int(keys[i])] = len(self.cells)
-                self.cells.append(c)
-                self.masks.append(mask)
-        masks = np.array([self.masks[i] for i in places])[at]
-        other = np.flatnonzero((np.array([self.cells[i] for i in places])[at] != cell).any(1))
+            if len(self.memo) > len(self.cells):             # room for twice as many
+                more = 2 * len(self.memo) - len(self.cells)
+                self.cells = np.vstack([self.cells, np.zeros((more, own.shape[1]), np.int64)])
+                self.masks = np.vstack([self.masks, np.zeros((more, len(self.book)), bool)])
+            self.cells[places[new]], self.masks[places[new]] = own, self.near(own)
+        masks = self.masks[places[at]]
+        other = np.flatnonzero((self.cells[places[at]] != cell).any(1))
         if len(other):                                       # another cell of the same hash
             masks[other] = self.near(cell[other])
         return masks
