@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import codes, decontam, grammar, html, knn, lexical, packing, pii, quality, simhash, suffix, tokens, urls
+from colloquy.llm import codes, decontam, grammar, html, knn, langid, lexical, packing, pii, quality, simhash, suffix, tokens, urls
 from colloquy.llm.common import table
 
 CAPACITY = 2048
@@ -150,6 +150,13 @@ FROM o JOIN v USING (r), h"""
 
 OP12_SQL = _op12_sql()
 
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicted language of every row of ``documents``."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return langid.predict(docs, langid.train(docs)).select(
+        "doc_id", langid.held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_pii": op2_pii,
@@ -163,5 +170,6 @@ QUERIES = {
     "op10_quality": op10_quality,
     "op11_ranked_search": op11_ranked_search,
     "op12_vector_codes": op12_vector_codes,
+    "op13_language": op13_language,
 }
 SQL: dict[str, str] = {"op5_knn": OP5_SQL, "op11_ranked_search": OP11_SQL, "op12_vector_codes": OP12_SQL}
