@@ -25,12 +25,13 @@ from pyspark.sql import functions as F
 
 from colloquy.llm.common import _arrow_schema, map_arrow, settle, to_batch
 
-BLOCK_BYTES = 1 << 20      # text of the items that are searched for at a time
-ITEM_LEAF = 8
-DOC_LEAF = 32
-FANOUT = 16                # leaves of a node
-CHUNK_DOCS = 4096          # documents under one root
-CHUNK_VALUES = 1 << 21     # their coordinates, at most (one document has fewer than a block has terms)
+BLOCK_BYTES = 1 << 18      # text of the items that are searched for at a time
+ITEM_GROUP = 16            # items of a node
+DOC_LEAF = 8
+FANOUT = 16                # document leaves of a node
+AT_ONCE = 16               # leaves that are scored between two looks at the k-th score
+CHUNK_DOCS = 1024          # documents under one root
+CHUNK_CELLS = 1 << 22      # their coordinates, zeros included (one leaf at least)
 SLICES = 32                # the first k-th scores come from one slice of the documents
 
 # A term is a run of ASCII letters, ASCII digits and anything beyond ASCII.
@@ -124,44 +125,27 @@ def _scored(vectors: DataFrame, weights: np.ndarray, n_docs: int, n_terms: int)
 
 
 class ItemTree:
-    """Items in leaves, nodes of leaves and one root; every node has the terms
-    of its items and their largest values."""
+    """Items under groups of like items under one root; every node has the
+    terms of its items and their largest values."""
 
     def __init__(self, counts: list[dict[int, int]], weights: np.ndarray):
         self.size, self.top = len(counts), np.zeros(len(weights), np.int64)
         vectors = [{t: c * int(weights[t]) for t, c in item.items()} for item in counts]
         heavy = [sorted(v, key=lambda t: (-v[t], t))[:2] for v in vectors]
         order = sorted(range(self.size), key=lambda i: heavy[i])
-        self.levels = []                                     # leaves last: (items, terms, maxima, children)
-        for leaf in (self.size or 1, ITEM_LEAF * FANOUT, ITEM_LEAF):
-            nodes = []
-            for a in range(0, self.size, leaf):
-                items = np.array(order[a:a + leaf])
-                most: dict[int, int] = {}
-                for i in items.tolist():
-                    for t, v in vectors[i].items():
-                        most[t] = max(v, most.get(t, 0))
-                ids = np.array(sorted(most), np.int64)
-                nodes.append((items, ids, np.array([most[t] for t in ids.tolist()], np.int64)))
-            self.levels.append(nodes)
-        for t, v in zip(*self.levels[0][0][1:]) if self.size else ():
-            self.top[t] = v
-        self.leaf_values = []
-        for items, ids, _ in self.levels[-1]:
-            values = np.zeros((len(ids), len(items)), np.int64)
-            where = {t: k for k, t in enumerate(ids.tolist())}
-            for j, i in enumerate(items.tolist()):
+
+        def node(items: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            most: dict[int, int] = {}
+            for i in items:
                 for t, v in vectors[i].items():
-                    values[where[t], j] = v
-            self.leaf_values.append(values)
+                    most[t] = max(v, most.get(t, 0))
+            ids = np.array(sorted(most), np.int64)
+            return np.array(items), ids, np.array([most[t] for t in ids.tolist()], np.int64)
 
-    def spans(self, level: int, parent: int) -> range:
-        """Nodes of ``level`` under a node of the level above."""
-        if level == 0:
-            return range(len(self.levels[0]))
-        if level == 1:
-            return range(len(self.levels[1]))
-        return range(parent * FANOUT, min((parent + 1) * FANOUT, len(self.levels[2])))
+        self.root = node(order)
+        self.top[self.root[1]] = self.root[2]
+        members = [order[a:a + ITEM_GROUP] for a in range(0, self.size, ITEM_GROUP)]
+        self.groups = [(node(items), [node([i]) for i in items]) for items in members]
 
 
 class Best:
@@ -183,50 +167,38 @@ class Best:
 def walk(tree: ItemTree, best: Best, docs: np.ndarray, ids: np.ndarray, worth: np.ndarray, at: np.ndarray, kind) -> int:
     """One chunk of documents (ids and values flat, row bounds ``at``) against
     all items; returns how many (item, document) scores were computed."""
-    n, dim = len(docs), len(tree.top)
+    n, dim, done = len(docs), len(tree.top), 0
     row = np.repeat(np.arange(n), np.diff(at))
-    leaves = np.zeros((-(-n // DOC_LEAF), dim), kind)
-    np.maximum.at(leaves, (row // DOC_LEAF, ids), worth)
-    nodes = np.maximum.reduceat(leaves, np.arange(0, len(leaves), FANOUT), axis=0)
-    levels = [nodes.max(0, keepdims=True), nodes, leaves]
-    reach = [np.zeros(1, np.int64), np.zeros(len(nodes), np.int64), np.arange(len(leaves)) // FANOUT]   # parents
-    dense: dict[int, np.ndarray] = {}
-    done = 0
-
-    def members(leaf: int) -> np.ndarray:
-        if leaf not in dense:
-            a, b = at[leaf * DOC_LEAF], at[min(n, (leaf + 1) * DOC_LEAF)]
-            dense[leaf] = np.zeros((min(n, (leaf + 1) * DOC_LEAF) - leaf * DOC_LEAF, dim), kind)
-            dense[leaf][row[a:b] - leaf * DOC_LEAF, ids[a:b]] = worth[a:b]
-        return dense[leaf]
-
-    def descend(level: int, parent: int, near: np.ndarray) -> None:
-        nonlocal done
-        for k in tree.spans(level, parent):
-            items, own, most = tree.levels[level][k]
-            under = np.flatnonzero(near[reach[level]]) if level else near
-            if not len(under):
-                continue
-            bound = levels[level][under][:, own] @ most.astype(kind)
-            weakest = best.bars[items].min()
-            if level < 2:
-                left = np.zeros(len(levels[level]), bool)
-                left[under[bound >= weakest]] = True
-                if left.any():
-                    descend(level + 1, k, left)
-                continue
-            values = tree.leaf_values[k].astype(kind)
-            for j in np.argsort(-bound, kind="stable").tolist():
-                if bound[j] < best.bars[items].min():
-                    break                                    # all others are bounded lower still
-                leaf = int(under[j])
-                scores = members(leaf)[:, own] @ values
-                done += scores.size
-                for i in np.flatnonzero((scores >= best.bars[items]).any(0)).tolist():
-                    hit = np.flatnonzero(scores[:, i] >= best.bars[items[i]])
-                    best.add(int(items[i]), docs[leaf * DOC_LEAF + hit], scores[hit, i].astype(np.int64))
-
-    descend(0, 0, np.zeros(1, np.int64))
+    # coordinates of documents, leaves, nodes and the root, one row a term
+    values = np.zeros((dim, n), kind)
+    values[ids, row] = worth
+    leaves = np.zeros((dim, -(-n // DOC_LEAF)), kind)
+    np.maximum.at(leaves, (ids, row // DOC_LEAF), worth)
+    nodes = np.maximum.reduceat(leaves, np.arange(0, leaves.shape[1], FANOUT), axis=1)
+    node_of = np.arange(leaves.shape[1]) // FANOUT
+
+    def bound(node, level: np.ndarray) -> np.ndarray:
+        return node[2].astype(kind) @ level[node[1]]
+
+    if bound(tree.root, nodes.max(1, keepdims=True))[0] < best.bars.min():
+        return done
+    for group, items in tree.groups:
+        near = bound(group, nodes) >= best.bars[group[0]].min()
+        if not near.any():
+            continue
+        for item in items:
+            i = int(item[0][0])
+            reach = np.where(near[node_of], bound(item, leaves), 0)
+            left = np.flatnonzero(reach >= best.bars[i])
+            left = left[np.argsort(-reach[left], kind="stable")]
+            while len(left) and reach[left[0]] >= best.bars[i]:
+                own = (left[:AT_ONCE, None] * DOC_LEAF + np.arange(DOC_LEAF)).ravel()
+                own, left = own[own < n], left[AT_ONCE:]
+                scores = item[2].astype(kind) @ values[item[1][:, None], own]
+                done += len(own)
+                hit = np.flatnonzero(scores >= best.bars[i])
+                if len(hit):
+                    best.add(i, docs[own[hit]], scores[hit].astype(np.int64))
     return done
 
 
@@ -241,15 +213,14 @@ def _search(vectors: DataFrame, tree: ItemTree, k: int, bars: np.ndarray) -> Dat
 
     def run(batches):
         best = Best(tree.size, k, bars)
+        step = max(DOC_LEAF, min(CHUNK_DOCS, CHUNK_CELLS // len(tree.top)))
         for batch in batches:
             docs = batch.column(0).fill_null(_NO_ID).to_numpy()
             ids, at = _rows_of(batch.column(1).to_pylist())
             worth, _ = _rows_of(batch.column(2).to_pylist())
-            a = 0
-            while a < len(docs):
-                b = min(a + CHUNK_DOCS, max(a + 1, int(np.searchsorted(at, at[a] + CHUNK_VALUES, "right")) - 1))
+            for a in range(0, len(docs), step):
+                b = min(a + step, len(docs))
                 walk(tree, best, docs[a:b], ids[at[a]:at[b]].astype(np.int64), worth[at[a]:at[b]], at[a:b + 1] - at[a], kind)
-                a = b
         item = np.repeat(np.arange(tree.size), [len(d) for d, _ in best.found])
         doc = np.concatenate([d for d, _ in best.found] or [np.empty(0, np.int64)])
         score = np.concatenate([s for _, s in best.found] or [np.empty(0, np.int64)])
