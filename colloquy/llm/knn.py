@@ -19,6 +19,7 @@ from colloquy.llm.common import _arrow_schema, map_arrow, settle, to_batch
 PIVOTS = 64
 CELL_ROWS = 2048
 QUERY_ROWS = 512
+WHOLE = float(1 << 52)     # doubles from here on are whole (and FLOOR gives a long)
 
 
 def quantised(vectors: DataFrame, factor: float = 64.0) -> DataFrame:
@@ -29,7 +30,8 @@ def quantised(vectors: DataFrame, factor: float = 64.0) -> DataFrame:
     usable = F.col("embedding").isNotNull() & F.forall(
         x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) != float("inf")))
     return vectors.filter(F.coalesce(usable, F.lit(False))).select(
-        "vec_id", F.transform(x, lambda e: F.floor(e * factor).cast("double")).alias("v"))
+        "vec_id", F.transform(x, lambda e: F.when(F.abs(e) < WHOLE, F.floor(e * factor).cast("double"))
+                              .otherwise(e * factor)).alias("v"))
 
 
 def _matrix(column, dim: int) -> np.ndarray:
@@ -52,12 +54,17 @@ def search(vectors: DataFrame, is_query, k: int = 20, n_pivots: int = PIVOTS, ce
     the smaller vec_id.  Vectors (vec_id, v) of whole numbers, so that scores
     are exact; shorter vectors count as padded with zeros; rows without a
     vec_id are candidates that rank after all others of the same score and
-    never queries; a repeated vec_id is listed once for each of its rows."""
+    never queries; a repeated vec_id is listed once for each of its rows.
+    Large components are kept in 64 bits; a score beyond 64 bits raises."""
     spark = vectors.sparkSession
     rows = settle(vectors.select("vec_id", "v", F.coalesce(is_query & F.col("vec_id").isNotNull(), F.lit(False)).alias("q")), "vectors")
     out = "query_id long, rank int, vec_id long, score long"
-    first = rows.agg(F.max(F.size("v")), F.count(F.lit(1))).first()
-    dim, total = first[0] or 0, first[1]
+    first = rows.agg(F.max(F.size("v")), F.count(F.lit(1)), F.max(F.array_max(F.transform("v", F.abs)))).first()
+    dim, total, top = first[0] or 0, first[1], first[2] or 0.0
+    if top >= 2.0 ** 63:
+        raise ValueError("components of 2^63 and more have no 64-bit scores")
+    stored = "<i4" if top < 2.0 ** 31 else "<i8"
+    kind = np.float64 if dim * top * top < 2.0 ** 53 else np.int64      # of which every score is exact
     if not total or not dim:
         return spark.createDataFrame([], out) if not total else _zero_scores(rows, k)
     chosen = rows.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(n_pivots).collect()
@@ -68,7 +75,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, n_pivots: int = PIVOTS, ce
     def assign(batch):
         x = _matrix(batch.column(1), dim)
         group = _near(x, pivots)
-        return {"vec_id": batch.column(0), "x": [r.tobytes() for r in x.astype("<i4")], "q": batch.column(2), "g": group}
+        return {"vec_id": batch.column(0), "x": [r.tobytes() for r in x.astype(stored)], "q": batch.column(2), "g": group}
 
     grouped = settle(map_arrow(rows, assign, "vec_id long, x binary, q boolean, g int"), "groups")
     sizes = {r[0]: r[1] for r in grouped.groupBy("g").count().collect()}     # one row a pivot
@@ -77,7 +84,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, n_pivots: int = PIVOTS, ce
     cells = grouped.withColumn("part", F.pmod(F.xxhash64("vec_id", "x"), n_parts).cast("int"))
 
     def decode(col) -> np.ndarray:
-        return np.frombuffer(b"".join(col.to_pylist()), "<i4").reshape(-1, dim).astype(float)
+        return np.frombuffer(b"".join(col.to_pylist()), stored).reshape(-1, dim).astype(float)
 
     def summarise(batch):
         x, g, p = decode(batch.column(0)), batch.column(1).to_numpy(), batch.column(2).to_numpy()
@@ -106,12 +113,20 @@ def search(vectors: DataFrame, is_query, k: int = 20, n_pivots: int = PIVOTS, ce
 
     def unpack(cell):
         ids = np.array([last if r["vec_id"] is None else r["vec_id"] for r in cell], np.int64)
-        x = np.frombuffer(b"".join([r["x"] for r in cell]), "<i4").reshape(-1, dim).astype(float)
+        x = np.frombuffer(b"".join([r["x"] for r in cell]), stored).reshape(-1, dim).astype(kind)
         return ids, x
 
+    def products(qi, q, ci, c):
+        if kind is np.int64 and len(q):
+            size = np.abs(q.astype(float) @ c.T.astype(float))
+            if np.where(qi[:, None] == ci[None, :], 0, size).max(initial=0) >= 2.0 ** 62.99:
+                raise OverflowError("a score does not fit 64 bits")
+        return q @ c.T
+
     def best_of(qi, ci, scores):
         """The k best (score, smaller id) per query row, as flat arrays."""
-        scores = np.where(qi[:, None] == ci[None, :], -np.inf, scores)
+        low = -np.inf if kind is np.float64 else np.iinfo(np.int64).min
+        scores = np.where(qi[:, None] == ci[None, :], low, scores)
         order = np.argsort(ci, kind="stable")
         n = min(k, len(ci))
         top = np.argsort(-scores[:, order], axis=1, kind="stable")[:, :n] if len(ci) <= 4 * k else None
@@ -124,7 +139,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, n_pivots: int = PIVOTS, ce
                 top[i] = at[np.argsort(-s[i][at], kind="stable")[:n]]
         who = order[top]
         got = np.take_along_axis(scores, who, 1)
-        ok = np.isfinite(got)
+        ok = got > low
         return np.repeat(qi, n).reshape(-1, n)[ok], ci[who][ok], got[ok].astype(np.int64)
 
     def solve(iterator):
@@ -135,7 +150,7 @@ def search(vectors: DataFrame, is_query, k: int = 20, n_pivots: int = PIVOTS, ce
                 if r.get("need") is not None:
                     keep = np.isin(qi, np.array(r["need"], np.int64))
                     qi, q = qi[keep], q[keep]
-                a, b, s = best_of(qi, ci, q @ c.T)
+                a, b, s = best_of(qi, ci, products(qi, q, ci, c))
                 ids = pa.array(b, mask=b == last)
                 yield to_batch({"query_id": a, "vec_id": ids, "score": s}, found)
 
@@ -157,7 +172,9 @@ def search(vectors: DataFrame, is_query, k: int = 20, n_pivots: int = PIVOTS, ce
     def needed(batch):
         x, qg = decode(batch.column(1)), batch.column(2).to_numpy()
         bar_ = batch.column(4).to_numpy(zero_copy_only=False).astype(float)
-        bound = x @ pivots.T + np.linalg.norm(x, axis=1)[:, None] * radius + 1e-6
+        size = np.linalg.norm(x, axis=1)[:, None]
+        bound = x @ pivots.T + size * radius                                 # rounding: far under 1e-9 of its terms
+        bound += 1e-6 + 1e-9 * size * (np.linalg.norm(pivots, axis=1) + np.maximum(radius, 0))
         want = (radius >= 0) & (np.isnan(bar_)[:, None] | (bound >= bar_[:, None]))
         want[np.arange(len(x)), qg] = False                                  # the own group is done
         i, g = np.nonzero(want)
