@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.llm.anchors import GRAM, RangeHash, anchor_runs, cover_hash
-from colloquy.llm.common import _arrow_schema, map_arrow, settle, to_batch
+from colloquy.llm.common import BROADCAST_IDS, _arrow_schema, map_arrow, settle, to_batch
 
 LENGTH = 100
 CHUNK_BYTES = 30_000
@@ -156,7 +156,7 @@ def _has(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bits[x >> 3] >> (x & 7).astype(np.uint8)) & 1 != 0
 
 
-OCCURRENCES = "h long, c long, doc_id long, th int, lo int, off int, n int, ctx binary"
+OCCURRENCES = "h long, c long, doc_id long, th binary, lo int, off int, n int, ctx binary"
 
 
 def occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
@@ -206,7 +206,7 @@ def occurrences(docs: DataFrame, length: int, gram: int) -> DataFrame:
             cols["ctx"] += ctx
         return cols if cols["h"] else None
 
-    return map_arrow(docs.select("doc_id", F.hash("text").alias("th"), "text"), step, OCCURRENCES)
+    return map_arrow(docs.select("doc_id", "th", "text"), step, OCCURRENCES)
 
 
 def _blocks(contexts: DataFrame, length: int, gram: int) -> DataFrame:
@@ -241,7 +241,7 @@ def _blocks(contexts: DataFrame, length: int, gram: int) -> DataFrame:
                 **{k: np.concatenate(out[k]) for k in ("block", "core", "at", "shift")}} if len(rows) else None
 
     return map_arrow(contexts.select("h", "c", "ctx", "off", "doc_id", "th", "lo"), step,
-                     "h long, c long, block int, core long, doc_id long, th int, at int, shift int, s binary")
+                     "h long, c long, block int, core long, doc_id long, th binary, at int, shift int, s binary")
 
 
 def _verdicts(contexts: DataFrame, length: int, gram: int, limit: int) -> DataFrame:
@@ -284,9 +284,23 @@ def _verdicts(contexts: DataFrame, length: int, gram: int, limit: int) -> DataFr
             .agg(F.flatten(F.collect_list("dups")).alias("dups")))
 
 
+def identified(docs: DataFrame) -> DataFrame:
+    """doc_id, text, th: what tells the texts of one doc_id (or of none) apart,
+    128 bits (MD5) where there are several, else nothing."""
+    own = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    several = settle(docs.groupBy("doc_id").agg(F.min(own).alias("a"), F.max(own).alias("b"))
+                     .filter("a <> b").select(F.col("doc_id").alias("_id"), F.lit(True).alias("_several")), "repeated-ids")
+    n = several.count()
+    if not n:
+        return docs.select("doc_id", "text", F.lit(b"").alias("th"))
+    several = F.broadcast(several) if n <= BROADCAST_IDS else several
+    return docs.join(several, F.col("doc_id").eqNullSafe(F.col("_id")), "left").select(
+        "doc_id", "text", F.when(F.col("_several"), own).otherwise(F.lit(b"")).alias("th"))
+
+
 def duplicate_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, limit: int = GROUP_STRINGS) -> DataFrame:
-    """doc_id, th (hash of the text) and covered byte ranges (start << 32 | end)
-    of every document in which a window also starts earlier; ranges may overlap."""
+    """doc_id, th and covered byte ranges (start << 32 | end) of every document
+    (``identified``: doc_id, text, th) in which a window also starts earlier; ranges may overlap."""
     found = settle(occurrences(docs, length, gram), "occurrences")
     place = F.struct("doc_id", "th", "lo")
     classes = settle(found.groupBy("h", "c").agg(
@@ -317,7 +331,7 @@ def _merged(spans: DataFrame) -> DataFrame:
             packed.append(np.stack([start[new], stop[np.append(new[1:], len(own)) - 1]], 1).astype("<i4").tobytes())
         return {"doc_id": batch.column(0), "th": batch.column(1), "spans": packed}
     rows = spans.groupBy("doc_id", "th").agg(F.flatten(F.collect_list("r")).alias("r"))
-    return map_arrow(rows, step, "doc_id long, th int, spans binary")
+    return map_arrow(rows, step, "doc_id long, th binary, spans binary")
 
 
 def remove_duplicates(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, keep_text: bool = False) -> DataFrame:
@@ -328,13 +342,13 @@ def remove_duplicates(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, k
     Earlier is a smaller doc_id or an earlier start in the same document.  Null
     texts are empty; null ids come before all others; repeated rows of one
     doc_id and text count as one document and get the same result; rows of one
-    doc_id and different texts are ordered by a hash of the text."""
-    docs = docs.select("doc_id", "text")
+    doc_id and different texts are ordered by a hash of the text (MD5, 128
+    bits).  Contexts count as equal by two independent 64-bit hashes."""
+    docs = identified(docs.select("doc_id", "text"))
     spans = settle(_merged(duplicate_spans(docs, length, gram)), "spans")
     size = spans.agg(F.sum(F.octet_length("spans") + 64)).first()[0] or 0
     own = spans.select(F.col("doc_id").alias("d"), F.col("th").alias("t"), "spans")
-    rows = docs.withColumn("th", F.hash("text"))
-    rows = rows.join(F.broadcast(own) if size <= BROADCAST_BYTES else own,
+    rows = docs.join(F.broadcast(own) if size <= BROADCAST_BYTES else own,
                      F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("th") == F.col("t")), "left")
 
     def step(batch):

@@ -141,6 +141,44 @@ def test_knn_equals_brute_force_with_many_ties(spark):
     assert sorted(map(tuple, got)) == expected
 
 
+def test_knn_scores_of_large_components_are_exact(spark):
+    rows = [(0, [1e8] * 4), (1, [1.0] * 4), (2, [-3e8, 2.5, 1.0, 7e7]), (3, [0.25, 1e10, -1e10, 3.0]), (20, [1.0, 2.0, 0.5, 3.0]),
+            (4, [1.0, 1.0, 1.0, 0.984375]), (40, [3e9, -1.0, 1.0, 2.0])]
+    vectors = knn.quantised(spark.createDataFrame(rows[:2] + rows[4:6], "vec_id long, embedding array<double>"))
+    whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows}
+
+    def expected(ids):
+        out = []
+        for q in (i for i in ids if i % 20 == 0):
+            scores = sorted((-sum(a * b for a, b in zip(whole[q], whole[i])), i) for i in ids if i != q)[:20]
+            out += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
+        return sorted(out)
+
+    got = knn.search(vectors, F.col("vec_id") % 20 == 0).collect()
+    assert sorted(map(tuple, got)) == expected([0, 1, 20, 4])
+    assert max(r.score for r in got if r.query_id == 0) > 1_600_000_000_000
+    # products of large with large ones: exact as long as they fit 64 bits
+    wide = knn.quantised(spark.createDataFrame([rows[i] for i in (1, 2, 4, 5)], "vec_id long, embedding array<double>"))
+    assert sorted(map(tuple, knn.search(wide, F.col("vec_id") % 20 == 0, n_pivots=2).collect())) == expected([1, 2, 20, 4])
+    with np.testing.assert_raises(Exception):
+        far = knn.quantised(spark.createDataFrame([(0, [1e18]), (20, [1e18])], "vec_id long, embedding array<double>"))
+        knn.search(far, F.col("vec_id") % 20 == 0).collect()
+
+
+def test_suffix_dedup_tells_texts_of_one_id_apart(spark):
+    # two texts of the same 32-bit hash
+    texts = spark.range(300_000).select(F.repeat(F.sha2(F.col("id").cast("string"), 256), 4).alias("t"))
+    pair = texts.groupBy(F.hash("t")).agg(F.collect_list("t").alias("t")).filter(F.size("t") > 1).first().t[:2]
+    rows = [(1, pair[0]), (7, pair[0]), (7, pair[1]), (None, pair[1][:100] + "x"), (None, "y" + pair[1][50:150])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    rows = sorted([(r.doc_id or 0, r.n_bytes, r.n_removed) for r in suffix.remove_duplicates(docs).collect()])
+    # a text repeats its first 64 bytes: 64 of them start nowhere earlier; the
+    # rows without an id come first and hold strings of the second text
+    assert [r for r in rows if r[0]] == [(1, 256, 192), (7, 256, 256), (7, 256, 256)]
+    alone = suffix.remove_duplicates(docs.filter("doc_id IS NOT NULL")).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in alone) == [(1, 192), (7, 192), (7, 256)]
+
+
 def test_urls_rules_and_templates(spark):
     rows = [(1, "http://A.example.NET/en/x?q"), (2, "https://example.net/de/1"), (3, "ftp://x.example.com/de/5#t"),
             (4, "http://org/fr/"), (5, None), (6, "no url"), (7, "http://net"), (8, "http://h.org/frx"), (9, "http://Ä.NET/"),
@@ -177,7 +215,7 @@ def test_urls_rare_branches_are_judged_by_themselves(spark):
 
 def test_suffix_awkward_rows(spark, hard_docs, no_docs):
     for limit in (1024, 2):
-        spans = suffix.duplicate_spans(hard_docs, 20, 8, limit)
+        spans = suffix.duplicate_spans(suffix.identified(hard_docs), 20, 8, limit)
         assert spans.count() > 0
     rows = suffix.remove_duplicates(hard_docs, 20, 8, keep_text=True).collect()
     seen = set()
