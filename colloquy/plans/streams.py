@@ -133,6 +133,10 @@ WITH msgs AS (
               WHEN (conv_id * 5 + turn) % 41 = 3 THEN '{"text":{"a":1}}'
               WHEN (conv_id * 5 + turn) % 41 = 4 THEN ''
               WHEN (conv_id * 5 + turn) % 41 = 5 THEN CAST(to_json({'text': text}) AS VARCHAR) || ',"x":{"y":1}'
+              WHEN (conv_id * 5 + turn) % 41 = 6 THEN CAST(to_json({'text': text}) AS VARCHAR) || ',"end":true} garbage'
+              WHEN (conv_id * 5 + turn) % 41 = 7 THEN CAST(to_json({'text': text}) AS VARCHAR) || ',"end":true}{"text":"b"}'
+              WHEN (conv_id * 5 + turn) % 41 = 8 THEN CAST(to_json({'text': text}) AS VARCHAR) || '}'
+              WHEN (conv_id * 5 + turn) % 41 = 9 THEN '{"a":"}{","b":[{"text":"c"}],' || substring(CAST(to_json({'text': text}) AS VARCHAR), 2)
               ELSE CAST(to_json({'text': text}) AS VARCHAR) END AS value,
          CAST(conv_id % 3 AS INTEGER) AS partition,
          CAST(conv_id * 1000 + turn AS BIGINT) AS "offset"

@@ -51,8 +51,10 @@ def stream_messages(turns: DataFrame) -> DataFrame:
     """Kafka-shaped messages built from conversation turns:
     ``key`` (conv_id text), ``value`` (JSON ``{"text": ...}``), ``partition``,
     ``offset``.  Every 25th turn is broken JSON and every 31st has no
-    ``text`` field; fewer have trailing garbage, a second object, a text that
-    is not a string, or an empty value, so the reject path is exercised."""
+    ``text`` field; fewer have trailing garbage, a second object (some with
+    text that looks like a parser's own end mark), a text that is not a string,
+    or an empty value, so the reject path is exercised; some good ones have
+    further fields with braces in them."""
     c = F.pmod(F.col("conv_id") * F.lit(5) + F.col("turn"), F.lit(41))
     k = F.pmod(F.col("conv_id") * F.lit(7) + F.col("turn"), F.lit(25))
     j = F.pmod(F.col("conv_id") * F.lit(3) + F.col("turn"), F.lit(31))
@@ -64,6 +66,10 @@ def stream_messages(turns: DataFrame) -> DataFrame:
               .when(c == 3, F.lit('{"text":{"a":1}}'))
               .when(c == 4, F.lit(""))
               .when(c == 5, F.concat(F.to_json(F.struct("text")), F.lit(',"x":{"y":1}')))
+              .when(c == 6, F.concat(F.to_json(F.struct("text")), F.lit(',"end":true} garbage')))
+              .when(c == 7, F.concat(F.to_json(F.struct("text")), F.lit(',"end":true}{"text":"b"}')))
+              .when(c == 8, F.concat(F.to_json(F.struct("text")), F.lit("}")))
+              .when(c == 9, F.concat(F.lit('{"a":"}{","b":[{"text":"c"}],'), F.substr(F.to_json(F.struct("text")), F.lit(2))))
               .otherwise(F.to_json(F.struct("text"))))
     return turns.select(
         F.col("conv_id").cast("string").alias("key"),

@@ -15,15 +15,15 @@ def decode_messages(messages: DataFrame, value_col: str = "value") -> DataFrame:
     missing, null or not a string, null for good messages.  No message can
     fail the query (the reference loop dies on the first bad one).
 
-    The value is parsed inside an outer object, before an end marker: text
-    after the value breaks the outer object or adds a key to it, while a bare
-    parse would stop at the value's end and pass it."""
+    The value is parsed inside an outer object, before a key that is made of
+    the value's own SHA-256.  A bare parse would stop at the value's end and
+    pass whatever follows; here it would have to hold a key that no value can
+    know, so the outer object has its two keys only if the value is one."""
     raw = F.col(value_col).cast("string")
-    # ends with the value and the marker alone, or the value held more than itself
-    wrapped = F.concat(F.lit('{"value":'), raw, F.lit(',"end":true}'))
+    end = F.sha2(raw, 256)
+    wrapped = F.concat(F.lit('{"value":'), raw, F.lit(',"'), end, F.lit('":true}'))
     whole = F.try_parse_json(wrapped)
-    keys = F.json_object_keys(wrapped)
-    one = (F.try_variant_get(whole, "$.end", "boolean") & (F.size(keys) == 2)
+    one = ((F.json_object_keys(wrapped) == F.array(F.lit("value"), end))
            & F.schema_of_variant(F.try_variant_get(whole, "$.value", "variant")).startswith("OBJECT"))
     text = F.try_variant_get(whole, "$.value.text", "variant")
     good = F.schema_of_variant(text) == "STRING"
