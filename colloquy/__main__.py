@@ -2,8 +2,9 @@
 
     python -m colloquy train   --labelled dialogues.csv --model out/model [--models DT,RF,GBT,LR]
     python -m colloquy score   --model out/model --csv uploads.csv --out out/predictions
-    python -m colloquy stream  --model out/model --source-dir in/ --out out/stream [--kafka] [--requests [--history h.csv]]
-    python -m colloquy explain --model out/model --text "..." [--history history.csv]
+    python -m colloquy index   --history history.csv --index out/history
+    python -m colloquy stream  --model out/model --source-dir in/ --out out/stream [--kafka] [--requests [--index out/history]]
+    python -m colloquy explain --model out/model --text "..." [--index out/history | --history history.csv]
 
 Every subcommand builds DataFrame plans from the library; nothing loops over
 rows on the driver.  Outputs go to the given folders (CSV / parquet).
@@ -101,15 +102,11 @@ def cmd_stream(args) -> int:
                   .option("maxFilesPerTrigger", args.max_per_trigger or 1).parquet(args.source_dir))
         sink = None
     out = args.out.rstrip("/")
-    history = None
-    if args.history:
-        from colloquy.sources.files import read_history
-        history = (read_history(spark, args.history, infer=False)
-                   .withColumn("history_id", F.xxhash64("dialogue")).select("history_id", "dialogue"))
+    index = _history_index(spark, args)
     stream = ScoringStream(models.load_model(args.model), source, out + "/results", out + "/rejects",
                            out + "/checkpoint", kafka_options=sink, encoded_path=out + "/encoded",
                            requests_path=out + "/requests" if args.requests else None,
-                           history=history, hist_key="history_id" if history is not None else None)
+                           history_index=index)
     stream.start(available_now=not args.continuous, processing_time="1 second" if args.continuous else None)
     try:
         stream.await_done()
@@ -119,20 +116,44 @@ def cmd_stream(args) -> int:
     return 0
 
 
+def _history_index(spark, args):
+    """The index named by ``--index``, else one made for this run from the CSV
+    named by ``--history`` (its rows keep ids of their own, equal rows too)."""
+    from colloquy.operators.history import HistoryIndex
+    from colloquy.session import scratch_path
+    from colloquy.sources.files import read_history, require_columns
+    if args.index:
+        index = HistoryIndex(spark, args.index)
+        if not index.batches:
+            raise SystemExit(f"no history index under {args.index}")
+        return index
+    if not args.history:
+        return None
+    index = HistoryIndex(spark, scratch_path(spark, "history-index"))
+    return index.append(index.numbered(require_columns(read_history(spark, args.history, infer=False))), "id")
+
+
+def cmd_index(args) -> int:
+    """index: a history CSV into a new index, or appended to an old one."""
+    from colloquy.operators.history import HistoryIndex
+    from colloquy.sources.files import read_history, require_columns
+
+    spark = _session(args)
+    index = HistoryIndex(spark, args.index)
+    index.append(index.numbered(require_columns(read_history(spark, args.history, infer=False))), "id").vectors()
+    print(f"{index.docs} cases in {index.batches} batches under {args.index}")
+    return 0
+
+
 def cmd_explain(args) -> int:
     """explain: one dialogue -> prediction and explanation requests."""
     from colloquy.operators import analysis, models
-    from colloquy.sources.files import read_history, single_text
+    from colloquy.sources.files import single_text
 
     spark = _session(args)
     model = models.load_model(args.model)
     one = single_text(spark, args.text).withColumn("case_id", F.lit(0).cast("long"))
-    history = None
-    if args.history:
-        history = (read_history(spark, args.history, infer=False)
-                   .withColumn("history_id", F.xxhash64("dialogue")).select("history_id", "dialogue"))
-    row = analysis.classify_and_explain(model, one, "case_id", history, "history_id" if history is not None else None,
-                                        k=args.k).first()
+    row = analysis.classify_and_explain(model, one, "case_id", k=args.k, index=_history_index(spark, args)).first()
     print(f"prediction: {row['prediction']}  confidence: {row['confidence']}")
     print("\n--- analysis request ---\n" + row["prompt"])
     if row["history_prompt"]:
@@ -170,12 +191,19 @@ def main(argv=None) -> int:
     st.add_argument("--continuous", action="store_true")
     st.add_argument("--requests", action="store_true", help="also write explanation requests per message")
     st.add_argument("--history", help="CSV with a 'dialogue' column for history requests (with --requests)")
+    st.add_argument("--index", help="history index in place of --history")
     st.set_defaults(fn=cmd_stream)
 
+    i = sub.add_parser("index", help="make a history index, or append to it")
+    i.add_argument("--history", required=True, help="CSV with a 'dialogue' column")
+    i.add_argument("--index", required=True)
+    i.set_defaults(fn=cmd_index)
+
     e = sub.add_parser("explain", help="classify one dialogue and build its explanation requests")
     e.add_argument("--model", required=True)
     e.add_argument("--text", required=True)
     e.add_argument("--history")
+    e.add_argument("--index", help="history index in place of --history")
     e.add_argument("--k", type=int, default=3)
     e.set_defaults(fn=cmd_explain)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from colloquy.functions.formats import SCAM_LABELS, UNKNOWN_LABEL, label_text, percent_text, preview
 from colloquy.operators.scoring import score
+from colloquy.session import scratch_path
 from colloquy.streaming.decode import accepted, decode_messages, encode_results, rejects
 
 
@@ -26,28 +27,29 @@ class ScoringStream:
     files).  ``kafka_options`` (see ``sources.kafka``) sends the encoded
     results to a topic as well (at-least-once).  ``requests_path`` adds the
     explanation-request table per batch (L01; with ``history`` /
-    ``hist_key`` -- a frame with a ``dialogue`` column -- also the history
-    requests, L02)."""
+    ``hist_key`` -- a frame with a ``dialogue`` column -- or a
+    ``history_index`` also the history requests, L02)."""
 
     def __init__(self, model, source: DataFrame, results_path: str, rejects_path: str, checkpoint: str,
                  kafka_options: dict | None = None, encoded_path: str | None = None,
                  requests_path: str | None = None, history: DataFrame | None = None,
-                 hist_key: str | None = None, k: int = 3):
+                 hist_key: str | None = None, k: int = 3, history_index=None):
         self.model, self.source = model, source
         self.results_path, self.rejects_path = results_path, rejects_path
         self.encoded_path, self.checkpoint = encoded_path, checkpoint
         self.kafka_options = kafka_options
         self.requests_path, self.history, self.hist_key, self.k = requests_path, history, hist_key, k
+        self.history_index = history_index
         self.query = None
-        self._prepared = None
 
-    def _prepared_history(self):
-        """The history's vectors: made by the first batch that needs them, kept for the run."""
-        if self._prepared is None:
-            from colloquy.operators import features, history
-            self._prepared = history.PreparedHistory(
-                features.text_features(self.history.select(self.hist_key, "dialogue")), self.hist_key)
-        return self._prepared
+    def _history_index(self):
+        """The history's index: as given, else made by the first batch that
+        needs it and kept for the run."""
+        if self.history_index is None:
+            from colloquy.operators.history import HistoryIndex
+            self.history_index = HistoryIndex.build(self.history, self.hist_key,
+                                                    scratch_path(self.history.sparkSession, "history-index"))
+        return self.history_index
 
     def _write_requests(self, scored: DataFrame, batch_id: int) -> None:
         """Per message (``msg_id`` = partition:offset): the analysis request
@@ -58,11 +60,10 @@ class ScoringStream:
         msgs = scored.select(F.concat_ws(":", "partition", "offset").alias("msg_id"), "key",
                              F.col("text").alias("dialogue"), "prediction", "confidence")
         out = explain.explanation_requests(msgs, "msg_id", keep=("key",))
-        if self.history is not None:
-            prepared = self._prepared_history()
-            sim = prepared.similar(features.text_features(msgs.select("msg_id", "dialogue")), "msg_id", self.k)
-            hp = explain.history_prompts(msgs, "msg_id", sim, self.history.select(
-                self.hist_key, F.col("dialogue").alias("text")), self.hist_key)
+        if self.history is not None or self.history_index is not None:
+            index = self._history_index()
+            sim = index.similar(features.text_features(msgs.select("msg_id", "dialogue")), "msg_id", self.k)
+            hp = explain.history_prompts(msgs, "msg_id", sim, index.cases().select("id", F.col("dialogue").alias("text")), "id")
             out = out.join(hp.withColumnRenamed("prompt", "history_prompt"), "msg_id", "left")
         out.write.mode("overwrite").parquet(f"{self.requests_path}/batch_id={batch_id}")
 

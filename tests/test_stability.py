@@ -80,17 +80,17 @@ def test_confusion_keeps_every_prediction(spark):
     assert (rows["0.0"].predicted_0, rows["0.0"].predicted_other) == (1, 2)
 
 
-def test_similarity_is_the_same_for_any_blocks(spark):
+def test_similarity_is_the_same_for_any_chunks(spark, monkeypatch):
     texts = [f"common alpha word{k % 5} term{k}" if k % 3 else "exact copy of one text" for k in range(60)]
     hist = text_features(spark.createDataFrame(list(enumerate(texts)), "hid long, dialogue string"))
     qry = text_features(spark.createDataFrame([(k, texts[k]) for k in range(0, 60, 7)], "qid long, dialogue string"))
     seen = []
-    for hb, qb in ((1, 1), (4, 2), (9, 3)):
-        rows = history.similar_cases_for(qry, "qid", hist, "hid", k=4, hist_blocks=hb, query_blocks=qb)
+    for chunk, terms, parts in ((2500, 10**6, 1), (7, 20, 4), (1, 5, 9)):
+        monkeypatch.setattr(history, "CHUNK_DOCS", chunk)
+        monkeypatch.setattr(history, "QUERY_TERMS", terms)
+        rows = history.similar_cases_for(qry.repartition(parts), "qid", hist.repartition(parts), "hid", k=4)
         seen.append(sorted(map(tuple, rows.collect())))
-    prepared = history.PreparedHistory(hist, "hid")
-    seen.append(sorted(map(tuple, prepared.similar(qry, "qid", 4).collect())))
-    assert seen[0] == seen[1] == seen[2] == seen[3]
+    assert seen[0] == seen[1] == seen[2]
 
 
 def test_history_prompt_reads_the_history_in_place(spark):
