@@ -37,7 +37,7 @@ def cmd_train(args) -> int:
     labelled = cleaning.load_and_clean(raw).withColumn("row_id", F.xxhash64("dialogue", "personality", "type"))
     names = [MODEL_NAMES[n.strip().upper()] for n in args.models.split(",")]
     run = run_training(labelled.select("row_id", "dialogue", "labels", "clean_text"), key="row_id",
-                       names=names, kind=args.features, model_path=args.model)
+                       names=names, kind=args.features, model_path=args.model, partitions=args.partitions)
     for r in run.split_counts.orderBy("dataset").collect():
         print(f"{r['dataset']}: {r['n']}")
     for r in metrics.report_lines(run.metrics).orderBy("Model", "Dataset", "Metric").collect():
@@ -172,6 +172,7 @@ def main(argv=None) -> int:
     t.add_argument("--model", required=True)
     t.add_argument("--models", default="DT,RF,GBT")
     t.add_argument("--features", choices=("count", "hash"), default="count")
+    t.add_argument("--partitions", type=int, default=8, help="partitions of the training rows (cores of a large run)")
     t.add_argument("--top-words", type=int, default=10)
     t.add_argument("--tables", help="folder for the metrics / confusion / word tables (CSV)")
     t.set_defaults(fn=cmd_train)

@@ -84,6 +84,24 @@ def _pred_query(name, kind="count"):
     return q
 
 
+def _walk_query(name):
+    def q(spark, sf):
+        from pyspark.ml import PipelineModel
+        from colloquy.operators import treewalk
+        model = trained(spark, sf, name)
+        held = cached_split(spark, sf).filter(F.col("dataset") != split.TRAIN)
+        vectors = PipelineModel(stages=model.stages[:-1]).transform(held).select("doc_id", "features")
+        walked = treewalk.confidence(vectors, "doc_id", model.stages[-1]).withColumnRenamed("confidence", "walked")
+        both = predictions(spark, sf, name).join(walked, "doc_id", "left")
+        w = F.col("walked")
+        return both.select(
+            "doc_id", F.coalesce(F.abs(w - F.col("confidence")) < 1e-9, F.lit(False)).alias("confidence_equals_walk"),
+            F.coalesce((F.abs(w - 0.5) < 1e-9) | ((w > 0.5) == (F.col("prediction") == 1.0)), F.lit(False)).alias("prediction_equals_walk"))
+    q.__name__ = f"walk_{name}"
+    q.__doc__ = f"{name}: every held-out document's prediction against a walk of the fitted trees in Spark SQL."
+    return q
+
+
 ALL_MODELS = (models.DECISION_TREE, models.RANDOM_FOREST, models.BOOSTED_TREES, models.LOGISTIC_REGRESSION)
 
 
@@ -156,7 +174,7 @@ def batch_b02(spark, sf):
     return scored.select(
         "conv_id", "dialogue",
         F.col("predicted_label").isin("Non-Scam (Safe)", "Potentially Scam").alias("label_is_known"),
-        F.coalesce(F.col("confidence").rlike(r"^[0-9]{1,3}\.[0-9]{2}%$"), F.lit(True)).alias("confidence_is_percent"))
+        F.coalesce(F.col("confidence").rlike(r"^[0-9]{1,3}\.[0-9]{2}%$"), F.lit(False)).alias("confidence_is_percent"))
 
 
 def _red_flags(spark, sf, terms_df):
@@ -167,26 +185,40 @@ def _red_flags(spark, sf, terms_df):
     return words.red_flag_terms(weighted, terms_df, "conv_id", 5)
 
 
-def red_flag_table(spark, sf):
-    """Per conversation, the 5 terms with the largest tf x idf x importance,
-    both weights those of the trained forest and its own IDF stage."""
+def _forest_terms(spark, sf):
+    """word, importance, idf of the terms that the forest uses."""
     model = trained(spark, sf, models.RANDOM_FOREST)
     imp, vocab, idf = words.importance_vector(model), words.feature_terms(model), words.idf_vector(model)
     rows = [(vocab[i], float(imp[i]), float(idf[i])) for i in range(len(vocab)) if imp[i] > 0]
-    return _red_flags(spark, sf, spark.createDataFrame(rows, "word string, importance double, idf double"))
+    return spark.createDataFrame(rows, "word string, importance double, idf double")
+
+
+def red_flag_table(spark, sf):
+    """Per conversation, the 5 terms with the largest tf x idf x importance,
+    both weights those of the trained forest and its own IDF stage."""
+    return _red_flags(spark, sf, _forest_terms(spark, sf))
 
 
 def red_flags_r01(spark, sf):
-    """R01 with the forest's weights: per conversation that the ranks run from
-    1 without gaps, at most 5, by falling score."""
+    """R01 with the forest's weights: per conversation that it has as many flags
+    as it has terms of the forest (5 at most), with ranks from 1 without gaps
+    by falling score; and that the forest has terms at all."""
     from pyspark.sql import Window
-    flags = red_flag_table(spark, sf)
+    terms_df = _forest_terms(spark, sf)
+    flags = _red_flags(spark, sf, terms_df)
     before = F.lag("score").over(Window.partitionBy("conv_id").orderBy("rank"))
     per = (flags.withColumn("_b", before).groupBy("conv_id")
            .agg(F.count(F.lit(1)).alias("n"), F.max("rank").alias("top"), F.bool_and(
                (F.col("score") > 0) & F.coalesce(F.col("_b") >= F.col("score"), F.lit(True))).alias("ordered")))
-    out = dialogues(spark, sf).select("conv_id").join(per, "conv_id", "left")
-    return out.select("conv_id", F.coalesce((F.col("n") <= 5) & (F.col("n") == F.col("top")) & F.col("ordered"), F.lit(True)).alias("ranks_hold"))
+    # the terms of each conversation by another route: its distinct words
+    own = features.text_features(dialogues(spark, sf).select("conv_id", "dialogue")).select(
+        "conv_id", F.explode(F.array_distinct("words")).alias("word"))
+    due = (own.join(F.broadcast(terms_df.filter("idf > 0").select("word")), "word")
+           .groupBy("conv_id").agg(F.least(F.lit(5), F.count(F.lit(1))).alias("due")))
+    out = dialogues(spark, sf).select("conv_id").join(per, "conv_id", "left").join(due, "conv_id", "left")
+    n, some = F.coalesce("n", F.lit(0)), terms_df.limit(1).count() > 0
+    return out.select("conv_id", ((n == F.coalesce("due", F.lit(0))) & (n == F.coalesce("top", F.lit(0)))
+                                  & F.coalesce("ordered", F.lit(True)) & F.lit(some)).alias("ranks_hold"))
 
 
 def rule_red_flags_r01(spark, sf):
@@ -222,7 +254,7 @@ def explained_batch_l01(spark, sf):
     cases = dialogues(spark, sf).select("conv_id", "dialogue")
     out = classify_and_explain(model, cases, "conv_id", hist, "doc_id").join(cases, "conv_id")
     return _checked(out.withColumn("prompt_holds_dialogue", F.contains("prompt", "dialogue"))
-                    .withColumn("history_holds_dialogue", F.coalesce(F.contains("history_prompt", "dialogue"), F.lit(True))),
+                    .withColumn("history_holds_dialogue", F.coalesce(F.contains("history_prompt", "dialogue"), F.lit(False))),
                     "conv_id", "prompt_holds_dialogue", "history_holds_dialogue")
 
 
@@ -239,6 +271,9 @@ EXACT = {
     "tree_m01": _pred_query(models.DECISION_TREE),
     "forest_m02": _pred_query(models.RANDOM_FOREST),
     "gbt_m03": _pred_query(models.BOOSTED_TREES),
+    "tree_walk_m01": _walk_query(models.DECISION_TREE),
+    "forest_walk_m02": _walk_query(models.RANDOM_FOREST),
+    "gbt_walk_m03": _walk_query(models.BOOSTED_TREES),
     "logreg_m04": _pred_query(models.LOGISTIC_REGRESSION),
     "logreg_hashed_m04": _pred_query(models.LOGISTIC_REGRESSION, kind="hash"),
     "model_metrics_e07": model_metrics_e07,
@@ -257,6 +292,9 @@ _HELD = "WITH " + LAB + f"""
 SELECT doc_id, {SPLIT.format(k='doc_id')} AS dataset, labels, true AS prediction_is_class,
        true AS confidence_is_probability, true AS prediction_is_likelier
 FROM lab_nonempty WHERE {SPLIT.format(k='doc_id')} <> 'Train'"""
+_WALK = "WITH " + LAB + f"""
+SELECT doc_id, true AS confidence_equals_walk, true AS prediction_equals_walk
+FROM lab_nonempty WHERE {SPLIT.format(k='doc_id')} <> 'Train'"""
 _TERMS = "WITH " + LAB + """
 SELECT least(10, count(DISTINCT term)) AS terms, true AS counts_add_up, true AS importance_is_share
 FROM (SELECT unnest(fw) AS term FROM lab_fw)"""
@@ -275,6 +313,9 @@ FROM u""",
     "tree_m01": _HELD,
     "forest_m02": _HELD,
     "gbt_m03": _HELD,
+    "tree_walk_m01": _WALK,
+    "forest_walk_m02": _WALK,
+    "gbt_walk_m03": _WALK,
     "logreg_m04": _HELD,
     "logreg_hashed_m04": _HELD,
     "word_stats_a04": _TERMS,
@@ -320,4 +361,7 @@ def release_memos(spark) -> None:
     _PREPARED.clear()
     _LABELLED.clear()
     _MEMO.clear()
+    from colloquy.plans import history, queries, streams
+    for memo in (history._K01_RUNS, history._INDEXES, queries._CSV_RUNS, streams._RUNS):
+        memo.clear()
     spark.catalog.clearCache()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.operators import metrics, models, scoring, split, words
+from colloquy.operators.features import DEFAULT_VOCAB_SIZE
 from colloquy.session import materialize
 
 
@@ -24,17 +25,24 @@ class TrainingRun:
 def run_training(labelled: DataFrame, key: str = "doc_id", names=models.REFERENCE_MODELS,
                  kind: str = "count", params: dict | None = None, select_metric: str = "F1",
                  select_dataset: str = split.VALIDATION, model_path: str | None = None,
-                 fitted: dict | None = None) -> TrainingRun:
+                 fitted: dict | None = None, partitions: int = models.TRAIN_PARTITIONS,
+                 vocab_size: int = DEFAULT_VOCAB_SIZE) -> TrainingRun:
     """``labelled``: key, dialogue, labels (double), clean_text -- already
     cleaned and non-empty (``cleaning.load_and_clean``).  Trains every
     model on the Train part, evaluates all of them on Validation and Test
     in one metrics pass, picks the best by ``select_metric`` on
     ``select_dataset`` and, with ``model_path``, saves it (replacing).
-    ``fitted``: models already trained on the same Train part."""
+    ``fitted``: models already trained on the same Train part.
+
+    ``partitions`` of the training vectors: set it to the cores of a large run.
+    The same setting gives the same models on any cluster; boosted trees and
+    the single tree are the same for any setting, the forest draws its samples
+    per partition."""
     parts = split.hash_split(labelled, key, out="dataset")
     train = parts.filter(F.col("dataset") == split.TRAIN)
     held = parts.filter(F.col("dataset") != split.TRAIN).select(key, "dialogue", "labels", "dataset")
-    fitted = fitted or models.fit_models(train, names, kind=kind, params=params, key=key)
+    fitted = fitted or models.fit_models(train, names, kind=kind, vocab_size=vocab_size, params=params, key=key,
+                                         partitions=partitions)
     union = scoring.score_all(fitted, held, [key, "dataset", "labels"])
     # three consumers (metrics, confusion, best pick) and four model
     # transforms behind them: checkpoint the small counted form once to the

@@ -28,7 +28,7 @@ def test_registry_consistent():
     qs = E.queries()
     assert set(E.oracle_sql()) <= set(qs)
     own = [n for n in qs if n != "pipeline" and not n.startswith("op")]
-    assert len(own) == 66
+    assert len(own) == 69
     assert set(own) <= set(E.oracle_sql())      # every query of the library proper has its SQL
 
 
