@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions.formats import round_half_up
+from colloquy.session import materialize
 
 METRIC_NAMES = ("Accuracy", "Precision", "Recall", "F1", "AUC")
 
@@ -68,23 +69,20 @@ def classification_metrics(pred: DataFrame, group_cols=(), label_col: str = "lab
                       (F.col("_wr") / n).alias("weighted_recall"), (F.col("_wf") / n).alias("f1"))
 
 
-# predictions per ordered range of the AUC's running count
-SCORES_PER_RANGE = 50_000
-
-
 def roc_auc(pred: DataFrame, group_cols=(), label_col: str = "labels", score_col: str = "score",
             buckets: int | None = None, weight_col: str | None = None) -> DataFrame:
     """Exact ROC AUC per group, ``(group..., auc)``; null when a group
     has no positives or no negatives.
 
     AUC = sum over distinct scores s of p_s * (negatives below s + n_s / 2),
-    divided by P * N.  The running count of negatives is computed without a
-    global (single-task) window: distinct scores are cut into ordered ranges
-    from approximate quantiles (``buckets``; by default one per
-    ``SCORES_PER_RANGE`` predictions, 2 to 10,000); range totals (one row a
-    range and group) give each range its offset, and the running
-    sum inside a range is a window partitioned by (group, range).  Only
-    integers are summed, so the result does not depend on evaluation order."""
+    divided by P * N.  The running count of negatives needs no single-task
+    window: the distinct scores, counted once, are range-partitioned by (group,
+    score) and written to the shared folder with the number of their range
+    (``buckets`` ranges; by default the session's shuffle partitions, joined
+    to what the data need).  A prefix sum over the ranges' totals, one row a
+    range and group, gives each range its offset; the running sum inside a
+    range is a window over its own rows.  Only integers are summed, so the
+    result does not depend on the ranges, and the input is evaluated once."""
     g = list(group_cols)
     if not g:  # a constant group key keeps every step an equi-join / partitioned window
         pred = pred.withColumn("_g0", F.lit(0))
@@ -95,16 +93,8 @@ def roc_auc(pred: DataFrame, group_cols=(), label_col: str = "labels", score_col
                  .groupBy(*g, "_s")
                  .agg(F.sum(F.when(F.col("_pos"), F.col("_wt")).otherwise(0)).alias("_p"),
                       F.sum(F.when(F.col("_pos"), 0).otherwise(F.col("_wt"))).alias("_n")))
-    if buckets is None:
-        rows = pred.select(F.count(F.lit(1))).first()[0]
-        buckets = min(10_000, max(2, -(-rows // SCORES_PER_RANGE)))
-    if buckets > 1:
-        qs = [i / buckets for i in range(1, buckets)]
-        bounds = per_score.groupBy(*g).agg(F.percentile_approx("_s", qs, 10000).alias("_b"))
-        keyed = per_score.join(bounds, g)
-        keyed = keyed.withColumn("_bk", F.size(F.filter("_b", lambda b: b < F.col("_s")))).drop("_b")
-    else:
-        keyed = per_score.withColumn("_bk", F.lit(0))
+    ranged = per_score.repartitionByRange(*([buckets] if buckets else []), *g, "_s")
+    keyed = materialize(ranged.withColumn("_bk", F.spark_partition_id()))
     tot = keyed.groupBy(*g, "_bk").agg(F.sum("_n").alias("_bn"))
     wb = Window.partitionBy(*g).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.withColumn("_off", F.coalesce(F.sum("_bn").over(wb), F.lit(0))).drop("_bn")
@@ -153,11 +143,11 @@ def metrics_table(pred: DataFrame, model_col: str = "model", dataset_col: str =
                   label_col: str = "labels", prediction_col: str = "prediction",
                   score_col: str = "score", digits: int = 6, weight_col: str | None = None) -> DataFrame:
     """Long table ``Model, Dataset, Metric, Score`` for all models and
-    datasets of a unioned prediction frame.  The predictions are read once
-    (``prediction_counts``); weighted metrics and AUC both derive from it."""
+    datasets of a unioned prediction frame.  The predictions are evaluated once
+    and settled as counts (``prediction_counts``); weighted metrics and AUC both derive from it."""
     g = [model_col, dataset_col]
     if weight_col is None:
-        counts, weight_col = prediction_counts(pred, g, label_col, prediction_col, score_col), "_count"
+        counts, weight_col = materialize(prediction_counts(pred, g, label_col, prediction_col, score_col)), "_count"
     else:  # already counted (e.g. a materialised ``prediction_counts``)
         counts = pred
     m = classification_metrics(counts, g, label_col, prediction_col, weight_col=weight_col)

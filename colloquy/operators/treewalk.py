@@ -43,11 +43,12 @@ def steps(vectors: DataFrame, key: str, nodes: DataFrame, depth: int, features_c
     held = (vectors.select(key, F.explode(F.arrays_zip(places.alias("i"), v["values"].alias("x"))).alias("e"))
             .select(key, F.col("e.i").alias("feature"), F.col("e.x").alias("x")).filter("x <> 0")
             .join(F.broadcast(asked), "feature", "left_semi"))
-    at = (vectors.select(key, F.explode(F.lit([r[0] for r in nodes.select("tree").distinct().collect()])).alias("tree"))
-          .withColumn("node", F.lit(0)))
+    roots = nodes.filter("node = 0").select("tree", "node", "feature", "threshold", "left", "right").collect()    # one a tree
+    here = vectors.select(key, F.explode(F.array(*[F.struct(*[F.lit(v).cast(nodes.schema[c].dataType).alias(c) for c, v in r.asDict().items()])
+                                                  for r in roots])).alias("r")).select(key, "r.*")
     table = F.broadcast(nodes.select("tree", "node", "feature", "threshold", "left", "right"))
-    for _ in range(depth):
-        here = at.join(table, ["tree", "node"])
+    for level in range(depth):
+        here = at.join(table, ["tree", "node"]) if level else here
         on = here.join(held, [key, "feature"], "left")
         at = on.select(key, "tree", F.when(F.col("feature").isNull(), F.col("node")).when(
             F.coalesce("x", F.lit(0.0)) <= F.col("threshold"), F.col("left")).otherwise(F.col("right")).alias("node"))

@@ -45,7 +45,7 @@ def run_training(labelled: DataFrame, key: str = "doc_id", names=models.REFERENC
                                          partitions=partitions)
     union = scoring.score_all(fitted, held, [key, "dataset", "labels"])
     # three consumers (metrics, confusion, best pick) and four model
-    # transforms behind them: checkpoint the small counted form once to the
+    # transforms behind them: write the small counted form once to the
     # shared folder (cuts the lineage; survives executor loss)
     counts = materialize(metrics.prediction_counts(union, ["model", "dataset"], score_col="confidence"))
     table = metrics.metrics_table(counts, score_col="confidence", weight_col="_count")
