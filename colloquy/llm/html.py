@@ -4,10 +4,12 @@ The pages of a host are merged into one tree: a node is an element path with
 its tags, classes and ids.  A node's importance mixes the entropy of its
 presentation styles (child sequences) over the pages with the entropy of its
 contents: text that returns on many pages weighs little, text of one page
-weighs much.  Branches of low importance are cut from each page.  Elements
-whose presentation says what they are (menus, forms, adverts, comments, ...)
-have no importance on any host, and where a page marks its main element, nodes
-outside it have little."""
+weighs much.  Branches of low importance are cut from each page.  Elements that markup
+itself calls menus, forms, asides and the like have no importance on any host.
+A class or id that sounds like one makes a branch only suspect: it is cut if it
+is a plain container of at most half of the page's text, inside the main element
+by its class alone.  Where a page marks a main element that holds a fair share
+of its text, nodes outside it have little importance."""
 
 from __future__ import annotations
 
@@ -24,6 +26,7 @@ from colloquy.llm.common import BROADCAST_IDS, map_arrow, settle
 LEAST_PAGES = 5         # a node is judged by its contents from so many pages on
 LOW = 0.35              # branches under this importance are cut
 CONTENT_SHARE = 0.9     # of the importance; the rest is the presentation's
+MAIN_SHARE = 0.25       # of a page's unsuspected text: what a main element must hold to be believed
 BROADCAST_NODES = 4_000_000     # unimportant nodes sent to all tasks, at most (32 MB)
 
 # Element names.
@@ -40,6 +43,10 @@ NOISE = frozenset("ad ads adv advert advertisement adverts banner sponsor sponso
                   "cookies consent notice notices gdpr alert popup modal newsletter subscribe subscription signup login "
                   "comment comments reply replies respond discussion share sharing social related recommended "
                   "pagination pager toolbar form search skip copyright legal".split())
+ADVERTS = frozenset("ad ads adv advert advertisement adverts sponsor sponsored promo".split())     # inline elements too
+# plain containers: what a name can make suspect, outside and inside the main element
+CONTAINERS = frozenset("div section ul ol dl table center ins figure".split())
+INNER_CONTAINERS = frozenset("div ul ol ins".split())
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 # an opening tag of the key closes an open element of the values
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -56,43 +63,47 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
-def _noisy(tag: str, attrs: str) -> bool:
-    if tag in SKIPPED:
-        return True
+def _names(attrs: str) -> tuple[frozenset, frozenset, bool]:
+    """Words of the classes, of the id, and whether the role is one of noise."""
+    words: dict[str, frozenset] = {}
+    role = False
     for name, a, b, c in _ATTR.findall(attrs) if attrs else ():
         value = (a or b or c).lower()
-        if name.lower() == "role" and value.strip() in NOISE_ROLES:
-            return True
-        if name.lower() != "role" and NOISE & set(_SPLIT.split(value)):
-            return True
-    return False
+        if name.lower() == "role":
+            role = value.strip() in NOISE_ROLES
+        else:
+            words[name.lower()] = frozenset(_SPLIT.split(value))
+    return words.get("class", frozenset()), words.get("id", frozenset()), role
 
 
 class _Page:
     """One pass over the tags of a page: visible blocks with their node paths."""
 
     def __init__(self, text: str):
-        self.blocks: list[tuple[str, list[str], bool, bool]] = []    # text, paths, in main, in a container
+        self.blocks: list[tuple] = []    # text, paths, in main, in a container, suspect paths
         self.styles: list[tuple[str, str]] = []                      # node path, child sequence
-        self.stack: list[list] = []      # tag, path, noisy, main, container, children
+        self.stack: list[list] = []      # tag, path, noisy, main, container, children, suspect
         self.buffer: list[str] = []
         self.noisy = self.main = self.container = 0
         self.has_main = False
         self._read(text)
+        self._judge()
 
     def _flush(self) -> None:
         if self.buffer:
             block = " ".join(entities.unescape("".join(self.buffer)).split())
             self.buffer = []
             if block:
-                self.blocks.append((block, [e[1] for e in self.stack if e[1]], self.main > 0, self.container > 0))
+                self.blocks.append((block, [e[1] for e in self.stack if e[1]], self.main > 0, self.container > 0,
+                                    [e[1] for e in self.stack if e[6]]))
 
     def _open(self, tag: str, attrs: str) -> None:
-        noisy = _noisy(tag, attrs)
+        classes, own_id, role = _names(attrs)
         main = tag in MAIN
-        # a main element is never noise by its name; body and html neither
-        if main or tag in ("html", "body"):
-            noisy = noisy and tag not in ("html", "body") and not main
+        # a main element is never noise by its role; body and html neither
+        noisy = (tag in SKIPPED or role or (tag in INLINE and not ADVERTS.isdisjoint(classes))) and not main and tag not in ("html", "body")
+        words, plain = (classes, INNER_CONTAINERS) if self.main else (classes | own_id, CONTAINERS)
+        suspect = tag in plain and not NOISE.isdisjoint(words)
         container = self.main > 0 and tag not in TEXTUAL and tag not in INLINE
         style = tag
         for name, a, b, c in _ATTR.findall(attrs) if attrs and tag not in INLINE else ():
@@ -102,14 +113,14 @@ class _Page:
             if not kids or kids[-1] != style:
                 kids.append(style)
         path = "" if tag in INLINE else (next((e[1] for e in reversed(self.stack) if e[1]), "") + ">" + style)
-        self.stack.append([tag, path, noisy, main, container, [] if path else None])
+        self.stack.append([tag, path, noisy, main, container, [] if path else None, suspect])
         self.noisy += noisy
         self.main += main
         self.has_main |= main and self.noisy == 0
         self.container += container
 
     def _close(self) -> None:
-        tag, path, noisy, main, container, kids = self.stack.pop()
+        tag, path, noisy, main, container, kids, _ = self.stack.pop()
         if path and not self.noisy and len(self.stack) > 1:
             self.styles.append((path, "|".join(kids)))
         self.noisy -= noisy
@@ -132,10 +143,10 @@ class _Page:
             if tag in INLINE:
                 if tag == "br" and not self.noisy:
                     self.buffer.append(" ")
-                elif tag not in VOID and _ATTR.search(m[3] or "") and not m[1]:
-                    self._open(tag, m[3])
-                elif m[1] and self.stack and self.stack[-1][0] == tag:
-                    self._close()
+                elif tag not in VOID and not m[1] and (_ATTR.search(m[3] or "") or (self.stack and not self.stack[-1][1])):
+                    self._open(tag, m[3] or "")              # those within an open one too, so that ends match
+                elif m[1]:
+                    self._close_inline(tag)
                 continue
             if tag in RAW:
                 # raw text ends at its own end tag and does not end a block
@@ -169,6 +180,28 @@ class _Page:
         while self.stack:
             self._close()
 
+    def _close_inline(self, tag: str) -> None:
+        """Ends the innermost open inline element of that name, if any."""
+        for k in range(len(self.stack) - 1, -1, -1):
+            if self.stack[k][1]:
+                return
+            if self.stack[k][0] == tag:
+                while len(self.stack) > k:
+                    self._close()
+                return
+
+    def _judge(self) -> None:
+        """Whether the main element is believed, and which blocks go by a name:
+        those in a suspect container of at most half of the text."""
+        size: Counter = Counter()
+        for text, paths, _, _, _ in self.blocks:
+            size.update({p: len(text) for p in set(paths)} | {"": len(text)})
+        named = [any(2 * size[p] <= size[""] for p in suspects) for *_, suspects in self.blocks]
+        total = sum(len(b[0]) for b, gone in zip(self.blocks, named) if not gone and not (b[4] and not b[2]))
+        inside = sum(len(b[0]) for b, gone in zip(self.blocks, named) if b[2] and not gone)
+        self.has_main = self.has_main and inside >= MAIN_SHARE * total and inside > 0
+        self.blocks = [b[:4] for b, gone in zip(self.blocks, named) if not gone]
+
     def _end_p(self) -> None:
         for k in range(len(self.stack) - 1, max(-1, len(self.stack) - 4), -1):
             if self.stack[k][0] == "p":
@@ -277,8 +310,10 @@ def extract(pages: DataFrame) -> DataFrame:
 
     Inside the main element only containers (no paragraphs, lists, tables,
     headings standing in it directly) can be cut for their contents; outside
-    it nothing stays; pages without one keep every important branch.  A node
-    that holds most of a page's text is never cut there."""
+    it nothing stays; pages without one (or with one of hardly any text) keep
+    every important branch.  A node that holds most of a page's text is never
+    cut there.  Null html is an empty page; equal rows, null and repeated
+    page_ids are rows of their own; other columns are not read."""
     low = settle(importance(node_features(pages)).filter(F.col("importance") < LOW).groupBy("host")
                  .agg(F.collect_set("path").alias("low")), "low")
     nodes = low.agg(F.sum(F.size("low") + 8)).first()[0] or 0

@@ -309,3 +309,26 @@ def test_quality_learns_and_ignores_held_out_labels(spark):
     second = {r.doc_id: r.score for r in quality.score(docs, quality.train(docs, flipped)).collect()}
     assert first == second
     assert all((s >= 0.5) == (k < 200) for k, s in first.items())
+
+
+def test_no_name_alone_loses_or_leaks_article_text(spark):
+    long = " ".join(f"word{i}" for i in range(60))
+    cases = {
+        1: ("<body><article><h1>T</h1><p>a b c d</p><section id='discussion'><p>e f</p></section><h2 id='social-impact'>g</h2>"
+            "<p class='form'>h</p></article></body>", "T|a b c d|e f|g|h"),
+        2: ("<body><article><p>x <span class='advert'>buy <span>now</span> cheap</span> y</p></article></body>", "x y"),
+        3: (f"<body><article><h2>teaser</h2></article><div class='content'><p>{long}</p></div></body>", "teaser|" + long),
+        4: (f"<body><main><p>intro</p></main><div><p>{long}</p></div></body>", "intro|" + long),
+        5: (f"<body><div class='page-with-sidebar'><p>{long}</p><div class='sidebar'><p>links</p></div></div></body>", long),
+        6: (f"<body><article><p>{long}</p><div class='comments'><p>first!</p></div><div class='share-buttons'>tweet</div></article>"
+            "<div class='ad'>unique advert</div></body>", long),
+        7: ("<body><div class='ad'>a long advert of many words here</div><article><p>hi</p></article></body>", "hi"),
+        8: (f"<body><p>a <b><i class='x'>b</b> c</i> d</p><div role='navigation'>menu</div><p>{long}</p></body>", "a b c d|" + long),
+        9: ("<div>" * 3000 + "deep" + "</div>" * 3000, "deep"),
+        10: ("<p>" + "very long " * 200_000 + "</p>", ("very long " * 200_000).strip()),
+    }
+    rows = [(i, f"http://h{i}.example/", h) for i, (h, _) in cases.items()] + [(None, None, cases[2][0]), (2, None, cases[2][0])]
+    got = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == 12
+    for r in got:
+        assert r.text == cases[r.page_id or 2][1].replace("|", "\n\n"), r.page_id
