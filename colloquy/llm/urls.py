@@ -9,6 +9,8 @@ labelled ones reaches the threshold; the smoothing leans on the parent."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,20 +51,39 @@ def shape(path):
 
 
 def template_verdicts(shapes: DataFrame) -> DataFrame:
-    """host, shape, verdict for counted shapes (host, shape, n, labelled, blocked).
-    One pass per path level; the depth is the longest shape's."""
-    depth = shapes.agg(F.max(F.size("shape"))).first()[0] or 0
-    total = shapes.groupBy("host").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "blocked")])
+    """host, shape, judged for counted shapes (host, shape, n, labelled, blocked).
+
+    One round per level at which some template still can split.  A template is
+    finished, and its shapes leave the rounds with its purity, when it holds
+    fewer than MIN_ROWS rows, one rest of a path, no labels, or one label for
+    all its rows: nothing below could differ.  Segments that all shapes of a
+    template share are passed at once, so a long path costs no rounds of its
+    own."""
+    counts = ("n", "labelled", "blocked")
+    total = shapes.groupBy("host").agg(*[F.sum(c).alias(c) for c in counts])
     smooth = lambda own: (F.col("blocked") + SMOOTH * own) / (F.col("labelled") + SMOOTH)
     # the host is the root; without labels its purity is 0: nothing speaks against it
-    nodes = total.select("host", F.lit("").alias("node"), smooth(F.lit(0.0)).alias("purity"))
-    cur = shapes.withColumn("node", F.lit("")).join(nodes, ["host", "node"])
-    for level in range(depth):
-        here = F.coalesce(F.get(F.col("shape"), level), F.lit("$"))
-        cur = cur.withColumn("_s", here)
-        kids = cur.groupBy("host", "node", "_s").agg(*[F.sum(c).alias(c) for c in ("n", "labelled", "blocked")])
-        sums = kids.groupBy("host", "node").agg(*[F.sum(c).alias("p_" + c) for c in ("n", "labelled", "blocked")])
-        both = kids.join(sums, ["host", "node"])
+    nodes = total.select("host", smooth(F.lit(0.0)).alias("purity"))
+    cur = settle(shapes.withColumn("node", F.lit("")).withColumn("tail", F.col("shape")).join(nodes, "host"), "templates")
+    done = []
+    while True:
+        sums = cur.groupBy("host", "node").agg(*[F.sum(c).alias("p_" + c) for c in counts],
+                                               F.min("tail").alias("_a"), F.max("tail").alias("_z"))
+        # the least and the greatest rest share what all rests share
+        differ = F.array_position(F.zip_with("_a", "_z", lambda x, y: x.eqNullSafe(y)), False)
+        one_label = (F.col("p_labelled") == F.col("p_n")) & F.col("p_blocked").isin(F.lit(0), F.col("p_labelled"))
+        over = (F.col("p_n") < MIN_ROWS) | (F.col("_a") == F.col("_z")) | (F.col("p_labelled") == 0) | one_label
+        state = settle(cur.join(sums.withColumn("_shared", (differ - 1).cast("int")).withColumn("_over", over).drop("_a", "_z"),
+                                ["host", "node"]), "template-state")
+        done.append(state.filter("_over").select("host", "shape", "purity"))
+        cur = state.filter("NOT _over")
+        if not cur.limit(1).count():
+            break
+        passed = F.concat("node", F.array_join(F.transform(F.slice("tail", 1, F.col("_shared")), lambda x: F.concat(F.lit("/"), x)), ""))
+        cur = (cur.withColumn("_s", F.coalesce(F.get(F.col("tail"), F.col("_shared")), F.lit("$"))).withColumn("_passed", passed)
+               .withColumn("tail", F.slice("tail", F.col("_shared") + 2, F.greatest(F.size("tail") - F.col("_shared"), F.lit(0)))))
+        both = cur.groupBy("host", "node", "_s").agg(*[F.sum(c).alias(c) for c in counts],
+                                                     *[F.first("p_" + c).alias("p_" + c) for c in counts])
         rest = F.col("p_labelled") - F.col("labelled")
         rate = F.try_divide("blocked", "labelled")
         other = F.try_divide(F.col("p_blocked") - F.col("blocked"), rest)
@@ -72,13 +93,16 @@ def template_verdicts(shapes: DataFrame) -> DataFrame:
         # siblings without labels and siblings with labels are not alike either
         mixed = (F.col("p_labelled") > 0) & (((F.col("labelled") == 0) & (rest > 0)) | ((F.col("labelled") > 0) & (rest == 0)))
         often = F.col("n") >= MIN_ROWS
-        named = both.select("host", "node", "_s", F.concat("node", F.lit("/"), F.when(
-            (F.col("_s") == "$") | (often & (differs | mixed)), F.col("_s")).otherwise("*")).alias("_next"))
-        cur = settle(cur.join(named, ["host", "node", "_s"]).withColumn("node", F.col("_next")).drop("_s", "_next"), "templates")
-        sums = cur.groupBy("host", "node").agg(F.first("purity").alias("up"), *[F.sum(c).alias(c) for c in ("labelled", "blocked")])
+        named = both.select("host", "node", "_s", F.when(
+            (F.col("_s") == "$") | (often & (differs | mixed)), F.col("_s")).otherwise("*").alias("_name"))
+        moved = (cur.join(named, ["host", "node", "_s"]).withColumn("node", F.concat("_passed", F.lit("/"), "_name"))
+                 .select("host", "shape", *counts, "node", "tail", "purity"))
+        moved = settle(moved, "templates")
+        sums = moved.groupBy("host", "node").agg(F.first("purity").alias("up"), *[F.sum(c).alias(c) for c in ("labelled", "blocked")])
         purity = sums.select("host", "node", smooth(DAMP * F.col("up")).alias("purity"))
-        cur = cur.drop("purity").join(purity, ["host", "node"])
-    return cur.select("host", "shape", F.when(F.col("purity") >= REJECT, "block").otherwise("allow").alias("judged"))
+        cur = moved.drop("purity").join(purity, ["host", "node"])
+    found = reduce(DataFrame.unionByName, done)
+    return found.select("host", "shape", F.when(F.col("purity") >= REJECT, "block").otherwise("allow").alias("judged"))
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:

@@ -332,3 +332,62 @@ def test_no_name_alone_loses_or_leaks_article_text(spark):
     assert len(got) == 12
     for r in got:
         assert r.text == cases[r.page_id or 2][1].replace("|", "\n\n"), r.page_id
+
+
+def _plain_templates(shapes):
+    """The template tree in plain Python: shapes as (host, segments, n, labelled, blocked)."""
+    out = {}
+
+    def walk(members, up, level, root=False):
+        n, lab, blk = (sum(m[k] for m in members) for k in (2, 3, 4))
+        purity = (blk + urls.SMOOTH * (0.0 if root else urls.DAMP * up)) / (lab + urls.SMOOTH)
+        tails = {tuple(m[1][level:]) for m in members}
+        if n < urls.MIN_ROWS or len(tails) == 1 or lab == 0 or (lab == n and blk in (0, lab)):
+            for m in members:
+                out[m[0], tuple(m[1])] = "block" if purity >= urls.REJECT else "allow"
+            return
+        while len({m[1][level] if len(m[1]) > level else None for m in members}) == 1:
+            level += 1
+        kids = {}
+        for m in members:
+            kids.setdefault(m[1][level] if len(m[1]) > level else "$", []).append(m)
+        merged = {}
+        for name, own in kids.items():
+            kn, kl, kb = (sum(m[k] for m in own) for k in (2, 3, 4))
+            rest = lab - kl
+            differs = False
+            if kl and rest:
+                pooled = blk / lab
+                error = (pooled * (1 - pooled) * (1 / kl + 1 / rest)) ** 0.5
+                differs = error > 0 and abs(kb / kl - (blk - kb) / rest) >= urls.Z * error
+            mixed = (kl == 0 and rest > 0) or (kl > 0 and rest == 0)
+            keep = name == "$" or (kn >= urls.MIN_ROWS and (differs or mixed))
+            merged.setdefault(name if keep else "*", []).extend(own)
+        for own in merged.values():
+            walk(own, purity, level + 1)
+
+    for host in {s[0] for s in shapes}:
+        walk([s for s in shapes if s[0] == host], 0.0, 0, True)
+    return out
+
+
+def test_url_templates_equal_a_plain_tree(spark):
+    rng = np.random.default_rng(11)
+    shapes = {}
+    for _ in range(400):
+        host, size = f"h{rng.integers(3)}", int(rng.integers(0, 6))
+        path = tuple(f"{'abc'[int(rng.integers(3))]}{int(rng.integers(2)) if rng.random() < 0.3 else ''}" for _ in range(size))
+        n = int(rng.integers(1, 6))
+        labelled = int(rng.integers(0, n + 1)) if rng.random() < 0.6 else 0
+        blocked = labelled if "b" in path[:2] else int(rng.integers(0, labelled + 1)) if rng.random() < 0.2 else 0
+        shapes[host, path] = (host, list(path), n, labelled, blocked)
+    # very long paths: alone, three alike, and two that part at the end
+    shapes["h0", ("x",) * 2000] = ("h0", ["x"] * 2000, 1, 0, 0)
+    shapes["h1", ("y",) * 2000] = ("h1", ["y"] * 2000, 5, 2, 2)
+    for last in ("p", "q"):
+        shapes["h2", ("z",) * 1500 + (last,)] = ("h2", ["z"] * 1500 + [last], 4, 4 if last == "p" else 0, 4 if last == "p" else 0)
+    rows = spark.createDataFrame(list(shapes.values()), "host string, shape array<string>, n long, labelled long, blocked long")
+    got = {(r.host, tuple(r.shape)): r.judged for r in urls.template_verdicts(rows).collect()}
+    expected = _plain_templates(list(shapes.values()))
+    assert got == expected and set(got.values()) == {"block", "allow"}
+    assert urls.template_verdicts(rows.limit(0)).count() == 0
