@@ -52,3 +52,25 @@ def test_cli_end_to_end(spark, tmp_path, capsys):
                  "--history", hist]) == 0
     out = capsys.readouterr().out
     assert "prediction:" in out and "**Dialogue**" in out
+
+
+def test_cli_history_index(spark, tmp_path, capsys):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+
+    from colloquy.operators import models
+    from colloquy.operators.features import hashing_stages
+    docs = read_table(spark, SF001, "documents")
+    hist, index, model = (str(tmp_path / n) for n in ("history", "index", "model"))
+    (docs.filter("doc_id < 40").select(F.col("text").alias("dialogue")).write.option("header", True)
+     .option("quoteAll", True).option("escape", '"').csv(hist))
+    train = spark.createDataFrame([("pay now", 1.0), ("see you", 0.0)], "clean_text string, labels double")
+    stages = [*hashing_stages(), LogisticRegression(featuresCol="raw_features", labelCol="labels")]
+    models.save_model(Pipeline(stages=stages).fit(train), model)
+    for _ in range(2):
+        assert main(["index", "--history", hist, "--index", index]) == 0
+    assert "80 cases in 2 batches" in capsys.readouterr().out
+    text = docs.filter("doc_id = 3").first()["text"]
+    assert main(["explain", "--model", model, "--text", text, "--index", index, "--k", "2"]) == 0
+    # the text is in the index twice, under ids of their own
+    assert capsys.readouterr().out.count("(similarity 1.000000)") == 2
