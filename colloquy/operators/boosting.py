@@ -42,7 +42,7 @@ LEAST_GAIN = 1e-9
 DIRECT_BYTES = 128 << 20   # sums of all partitions that may go straight to the driver; more are added up by range
 
 
-def _sparse(features: str):
+def sparse_parts(features: str):
     """(indices, values) of a vector column, dense vectors too."""
     v = F.unwrap_udt(features)
     dense = v["type"] == 1
@@ -163,7 +163,7 @@ class Block:
         return total, parts
 
 
-def _added(a, b):
+def added(a, b):
     """Sums of one range of two partitions."""
     where, at = np.unique(np.concatenate([a[1], b[1]]), return_inverse=True)
     both = np.concatenate([a[2], b[2]], axis=1)
@@ -213,28 +213,13 @@ class BoostedTrees(Estimator, HasFeaturesCol, HasLabelCol):
     def _fit(self, dataset: DataFrame) -> BoostedTreesModel:
         spark = dataset.sparkSession
         ensure_checkpoint_dir(spark)
-        i, x = _sparse(self.getFeaturesCol())
+        i, x = sparse_parts(self.getFeaturesCol())
         rows = dataset.select(F.col(self.getLabelCol()).cast("double").alias("y"), i.alias("i"), x.alias("x"))
         bins = Bins(bin_edges(rows))
-        n_features = dataset.select(F.max(F.coalesce(F.unwrap_udt(self.getFeaturesCol())["size"],
-                                                     F.size(F.unwrap_udt(self.getFeaturesCol())["values"])))).first()[0] or 0
+        n_features = vector_length(dataset, self.getFeaturesCol())
         depth = self.max_depth
 
-        def pack(batches):
-            for batch in batches:
-                lists, values = batch.column(1), batch.column(2)
-                at = lists.offsets.to_numpy()
-                row = np.repeat(np.arange(len(batch)), np.diff(at))
-                feature = lists.values.to_numpy()[at[0]:at[-1]]
-                own = values.offsets.to_numpy()
-                value = values.values.to_numpy()[own[0]:own[-1]]
-                held = np.flatnonzero(value != 0)
-                number = bins.of(feature[held], value[held])
-                order = np.argsort(number, kind="stable")
-                label = batch.column(0).to_numpy()
-                yield _block_batch(row[held][order].astype("<i4"), number[order].astype("<i4"), label)
-
-        packed = rows.mapInArrow(pack, "rows binary, bins binary, label binary").rdd.map(
+        packed = rows.mapInArrow(pack(bins), PACKED).rdd.map(
             lambda r: Block(np.frombuffer(r[0], "<i4"), np.frombuffer(r[1], "<i4"), np.frombuffer(r[2]),
                             np.zeros(len(r[2]) // 8)))
         blocks = packed.persist(StorageLevel.MEMORY_AND_DISK)
@@ -265,7 +250,7 @@ class BoostedTrees(Estimator, HasFeaturesCol, HasLabelCol):
                 blocks.unpersist()
                 blocks = newer
         blocks.unpersist()
-        model = BoostedTreesModel(trees=json.dumps(trees), numFeatures=int(n_features))
+        model = BoostedTreesModel(trees=json.dumps(trees), numFeatures=n_features)
         return model._set(featuresCol=self.getFeaturesCol())
 
     def _level(self, blocks, trees, tree, active, cuts, firsts, depth) -> list[tuple]:
@@ -277,7 +262,7 @@ class BoostedTrees(Estimator, HasFeaturesCol, HasLabelCol):
             for block in part:
                 total, own = block.sums(trees, tree, active, depth, cuts)
                 own = [(total, *o) for o in own]
-                held = own if held is None else [_added(x, y) for x, y in zip(held, own)]
+                held = own if held is None else [added(x, y) for x, y in zip(held, own)]
             return enumerate(held or [])
 
         def splits(kv):
@@ -292,7 +277,7 @@ class BoostedTrees(Estimator, HasFeaturesCol, HasLabelCol):
             for k, part in parts.collect():                  # at most DIRECT_BYTES
                 by_range.setdefault(k, []).append(part)
             return [c for kv in sorted(by_range.items()) for c in splits(kv)]
-        return parts.reduceByKey(_added, len(firsts)).mapValues(lambda p: [p]).flatMap(splits).collect()
+        return parts.reduceByKey(added, len(firsts)).mapValues(lambda p: [p]).flatMap(splits).collect()
 
     def _grow(self, tree: list, active: list[int], found: list[tuple], bins: Bins) -> list[int]:
         """Splits the nodes that gain; returns the new nodes."""
@@ -312,13 +297,39 @@ class BoostedTrees(Estimator, HasFeaturesCol, HasLabelCol):
         return new
 
 
-def _block_batch(rows, number, label):
-    return pa.RecordBatch.from_pydict({"rows": [rows.tobytes()], "bins": [number.tobytes()], "label": [label.tobytes()]},
-                                      schema=pa.schema([("rows", pa.binary()), ("bins", pa.binary()), ("label", pa.binary())]))
+PACKED = "rows binary, bins binary, label binary, ids binary"
+
+
+def pack(bins: Bins):
+    """Arrow map of (label, indices, values and, if there, a 64-bit id) to packed
+    entries (row, bin) of each batch in order of the bins."""
+    def run(batches):
+        for batch in batches:
+            lists, values = batch.column(1), batch.column(2)
+            at = lists.offsets.to_numpy()
+            row = np.repeat(np.arange(len(batch)), np.diff(at))
+            feature = lists.values.to_numpy()[at[0]:at[-1]]
+            own = values.offsets.to_numpy()
+            value = values.values.to_numpy()[own[0]:own[-1]]
+            held = np.flatnonzero(value != 0)
+            number = bins.of(feature[held], value[held])
+            order = np.argsort(number, kind="stable")
+            ids = batch.column(3).to_numpy() if batch.num_columns > 3 else np.empty(0, np.int64)
+            cells = (row[held][order].astype("<i4"), number[order].astype("<i4"), batch.column(0).to_numpy(), ids)
+            yield pa.RecordBatch.from_pydict({n: [c.tobytes()] for n, c in zip(("rows", "bins", "label", "ids"), cells)},
+                                             schema=pa.schema([(n, pa.binary()) for n in ("rows", "bins", "label", "ids")]))
+    return run
+
+
+def vector_length(rows: DataFrame, features: str) -> int:
+    """Length of the vectors of a column (0: no rows)."""
+    v = F.unwrap_udt(features)
+    return int(rows.select(F.max(F.coalesce(v["size"], F.size(v["values"])))).first()[0] or 0)
 
 
-def _margins(trees: list, indices: list, values: list) -> np.ndarray:
-    """Sum of the leaf values of every row of sparse vectors."""
+def leaf_sums(trees: list, indices: list, values: list, field: str = "value") -> np.ndarray:
+    """Sum over the trees of a ``field`` of the leaf that each row of sparse
+    vectors reaches."""
     n = len(indices)
     out = np.zeros(n)
     row = np.repeat(np.arange(n), [len(i) for i in indices])
@@ -332,7 +343,7 @@ def _margins(trees: list, indices: list, values: list) -> np.ndarray:
         return row[a + np.searchsorted(value[a:b], node["threshold"], "right"):b]
 
     for tree in trees:
-        out += np.array([t.get("value", 0.0) for t in tree])[walk(tree, n, above, len(tree))]
+        out += np.array([t.get(field, 0.0) for t in tree])[walk(tree, n, above, len(tree))]
     return out
 
 
@@ -375,10 +386,10 @@ class BoostedTreesModel(Model, HasFeaturesCol, HasPredictionCol, HasProbabilityC
 
         @F.pandas_udf("double")
         def margin(i: pd.Series, x: pd.Series) -> pd.Series:
-            return pd.Series(_margins(trees, i.tolist(), x.tolist()))
+            return pd.Series(leaf_sums(trees, i.tolist(), x.tolist()))
 
         m, p = F.col("_margin"), F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("_margin")))
-        return (dataset.withColumn("_margin", margin(*_sparse(self.getFeaturesCol())))
+        return (dataset.withColumn("_margin", margin(*sparse_parts(self.getFeaturesCol())))
                 .withColumn(self.getRawPredictionCol(), array_to_vector(F.array(-m, m)))
                 .withColumn(self.getProbabilityCol(), array_to_vector(F.array(F.lit(1.0) - p, p)))
                 .withColumn(self.getPredictionCol(), F.when(p > 0.5, 1.0).otherwise(0.0)).drop("_margin"))

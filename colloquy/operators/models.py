@@ -3,21 +3,21 @@
 Features are fitted once and the transformed training set is cached; every
 classifier then trains on the same cached vectors and is glued behind the
 fitted feature stages into one ``PipelineModel`` (the reference refits the
-features for each model).  Training itself is distributed MLlib.
+features for each model).  Tree models are this library's own (``forest``,
+``boosting``: sparse histograms, the same trees on any layout), logistic
+regression is MLlib's.
 """
 
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from colloquy.operators.boosting import BoostedTrees
 from colloquy.operators.features import DEFAULT_NUM_FEATURES, DEFAULT_VOCAB_SIZE, fit_feature_stages
+from colloquy.operators.forest import ROW_KEY, GrownForest
 from colloquy.session import ensure_checkpoint_dir, persist
 
 # --- fixed values -----------------------------------------------------------
@@ -35,14 +35,14 @@ DEFAULT_PARAMS = {
     LOGISTIC_REGRESSION: {},
 }
 REFERENCE_MODELS = (DECISION_TREE, RANDOM_FOREST, BOOSTED_TREES)
-# Partitions of the training vectors: a setting of the run, never derived from
-# the cluster, because tree learners draw their samples per partition.
+# Partitions of the training vectors where a run names none; the models do not
+# depend on them.
 TRAIN_PARTITIONS = 8
 # -----------------------------------------------------------------------------
 
 _CLASSES = {
-    DECISION_TREE: DecisionTreeClassifier,
-    RANDOM_FOREST: RandomForestClassifier,
+    DECISION_TREE: GrownForest,
+    RANDOM_FOREST: GrownForest,
     BOOSTED_TREES: BoostedTrees,
     LOGISTIC_REGRESSION: LogisticRegression,
 }
@@ -50,18 +50,12 @@ _CLASSES = {
 
 def classifier(name: str, label_col: str = "labels", features_col: str = "features", **overrides):
     """M01-M04 estimator with the reference settings (``overrides`` win).
-    M03 is this library's own second-order boosting on sparse histograms
-    (``boosting``): same depth, rounds and defaults, not numerically the same
-    model."""
+    M01-M03 grow on sparse histograms (``forest``, ``boosting``): same depth,
+    trees, rounds and defaults, not numerically the same models."""
     if name not in _CLASSES:
         raise ValueError(f"unknown classifier {name!r}; choose from {sorted(_CLASSES)}")
     params = dict(DEFAULT_PARAMS[name])
     params.update(overrides)
-    if name in (RANDOM_FOREST, DECISION_TREE):
-        # node ids are kept beside the rows and checkpointed to the shared
-        # folder
-        params.setdefault("cacheNodeIds", True)
-        params.setdefault("checkpointInterval", 10)
     return _CLASSES[name](featuresCol=features_col, labelCol=label_col, **params)
 
 
@@ -96,16 +90,18 @@ def prepare_training(train: DataFrame, kind: str = "count", vocab_size: int = DE
     stages, and cache the vectors.
 
     Rows are dealt by a hash of ``key`` (the text where no key is named) over
-    ``partitions`` partitions and sorted in them, so that the same input gives
-    the same partitions, samples and trees on any cluster.  Set ``partitions``
-    to the cores of a large run; copies of one text need a key to spread."""
-    ensure_checkpoint_dir(train.sparkSession)  # tree models checkpoint node ids there
+    ``partitions`` partitions and sorted in them; the forest draws its samples
+    by the same hash, so that the same input gives the same trees on any
+    cluster and with any ``partitions``.  Set them to the cores of a large run;
+    copies of one text need a key to spread and to be drawn one by one."""
+    ensure_checkpoint_dir(train.sparkSession)  # boosting checkpoints its margins there
     order = [key] if key else []
+    named = F.xxhash64(F.col(key)) if key else F.xxhash64(F.col(text_col), F.col(label_col))
     dealt = (train.select(*order, label_col, text_col).repartition(partitions, *(order or [text_col]))
              .sortWithinPartitions(*order, text_col, label_col))
-    base = persist(dealt.select(label_col, text_col))
+    base = persist(dealt.select(named.alias(ROW_KEY), label_col, text_col))
     feat = fit_features(base, kind, vocab_size, num_features, text_col)
-    vectors = persist(feat.transform(base).select(label_col, "features"))
+    vectors = persist(feat.transform(base).select(ROW_KEY, label_col, "features"))
     return PreparedTraining(base, feat, vectors, label_col)
 
 

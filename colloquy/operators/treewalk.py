@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from colloquy.operators.boosting import BoostedTreesModel
 from colloquy.session import scratch_path
 
 
@@ -59,6 +60,6 @@ def confidence(vectors: DataFrame, key: str, stage, depth: int = 5) -> DataFrame
     """``(key, confidence)``: P(class 1) of every row by the walk."""
     nodes = node_table(vectors.sparkSession, stage)
     votes = steps(vectors, key, nodes, depth).join(F.broadcast(nodes.select("tree", "node", "vote")), ["tree", "node"])
-    boosted = hasattr(stage, "node_table")
+    boosted = isinstance(stage, BoostedTreesModel)
     out = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.sum("vote"))) if boosted else F.avg("vote")
     return votes.groupBy(key).agg(out.alias("confidence"))
