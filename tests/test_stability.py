@@ -21,7 +21,7 @@ def labelled(spark):
 def test_vocabulary_and_forest_do_not_depend_on_the_layout(labelled):
     seen = []
     for n in (1, 7):
-        prep = models.prepare_training(labelled.repartition(n), vocab_size=20, key="doc_id", partitions=3)
+        prep = models.prepare_training(labelled.repartition(n), vocab_size=20, key="doc_id", partitions=3 * n)
         model = prep.fit(models.RANDOM_FOREST, numTrees=8)
         prep.release()
         rows = scoring.score(model, labelled.select("doc_id", "dialogue")).select("doc_id", "prediction", "confidence")
