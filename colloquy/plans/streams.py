@@ -15,7 +15,8 @@ from colloquy.plans.queries import r6
 from colloquy.session import scratch_path
 from colloquy.sources import fixtures
 from colloquy.sources.tables import read_table
-from colloquy.streaming import ScoringStream, accepted, decode_messages, latest_feed, processed_count, rejects
+from colloquy.streaming import (Control, ScoringStream, accepted, decode_messages, file_topic, latest_feed, once,
+                                processed_count, read_feed, rejects)
 
 _RUNS: dict = {}
 # The input files of a stream run hold so many messages; a micro-batch reads so many files.
@@ -109,7 +110,86 @@ def stream_encode_t03(spark, sf):
     return _checked(out.select("key", v.alias("v")).select("key", "v.*"), "key", F.col("original_text").alias("text"))
 
 
+class _FailsOnce:
+    """A topic whose sender is lost once, after a batch has been sent."""
+
+    def __init__(self, send, batch: int):
+        self.send, self.left = send, batch
+
+    def __call__(self, rows):
+        self.send(rows)
+        self.left -= 1
+        if self.left == 0:
+            raise ConnectionError("the sender was lost after sending")
+
+
+def run_interrupted(spark, sf):
+    """The messages through the rule stand-in with a feed, a topic and a control
+    table: the first run's sender fails after its second batch was sent, the
+    second run is asked to stop before batch 3, the third goes on to the end.
+    Returns the output folder and the log of the runs."""
+    from pyspark.errors import StreamingQueryException
+    key = (spark.sparkContext.applicationId, sf, "interrupted")
+    if key in _RUNS:
+        return _RUNS[key]
+    base = scratch_path(spark, "interrupted")
+    msgs = messages(spark, sf)
+    # four batches to stop between at any size: as many files as the cluster shuffles into, a quarter of them a batch
+    files = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    msgs.repartition(files).write.parquet(base + "/in")
+    control = Control(spark, base + "/control")
+    topic = _FailsOnce(file_topic(base + "/topic"), 2)
+
+    def run():
+        source = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", -(-files // 4)).parquet(base + "/in")
+        ScoringStream(fixtures.RuleModel(), source, base + "/results", base + "/rejects", base + "/checkpoint", topic=topic,
+                      feed_path=base + "/feed", control=control).start(available_now=True).await_done()
+
+    try:
+        run()
+    except StreamingQueryException as e:
+        if "the sender was lost" not in str(e):
+            raise
+    control.request_stop(after_batch=2)
+    run()
+    run()
+    _RUNS[key] = base, control
+    return _RUNS[key]
+
+
+def running_feed_t06(spark, sf):
+    """T06 as running state: the feed and the total that the stream kept over a
+    failure and a stop."""
+    base, _ = run_interrupted(spark, sf)
+    return read_feed(spark, base + "/feed").drop("feed")
+
+
+def topic_once_k02(spark, sf):
+    """The topic holds a batch twice; read as a stream, each message once."""
+    base, _ = run_interrupted(spark, sf)
+    sent = spark.read.parquet(base + "/topic")
+    out = scratch_path(spark, "topic-once")
+    stream = spark.readStream.schema(sent.schema).option("maxFilesPerTrigger", 8).parquet(base + "/topic")
+    (once(stream).select("key", "value", "source").writeStream.format("parquet").option("checkpointLocation", out + "/checkpoint")
+     .trigger(availableNow=True).start(out + "/read").awaitTermination())
+    return spark.read.parquet(out + "/read")
+
+
+def controlled_stop_t07(spark, sf):
+    """Every message with the number of its results after a failed, a
+    stopped and a finished run, and what the log says of the stop."""
+    base, control = run_interrupted(spark, sf)
+    stops = control.log().filter("event = 'stopped'").agg(F.max("batch_id").alias("b"), F.count(F.lit(1)).alias("n"))
+    at, n = stops.select("b").scalar(), stops.select("n").scalar()
+    return (spark.read.parquet(base + "/results").groupBy("key", "offset").agg(F.count(F.lit(1)).alias("copies"))
+            .select("key", "offset", F.col("copies").cast("bigint").alias("copies"), at.alias("stopped_before_batch"),
+                    n.cast("bigint").alias("stops")))
+
+
 EXACT = {
+    "running_feed_t06": running_feed_t06,
+    "topic_once_k02": topic_once_k02,
+    "controlled_stop_t07": controlled_stop_t07,
     "decode_t01": decode_t01,
     "rejects_k05": rejects_k05,
     "processed_t05": processed_t05,
@@ -152,7 +232,26 @@ dec AS (
 ok AS (SELECT * FROM dec WHERE reject_reason IS NULL)
 """
 
+_RULE = _MSGS + """,
+s AS (SELECT key, "offset", partition, text, length(regexp_replace(lower(text), '[^a-zA-Z ]', '', 'g')) AS n FROM ok),
+p AS (SELECT key, "offset", partition, text, n / (n + CAST(100.0 AS DOUBLE)) AS c FROM s)
+"""
+
 SQL = {
+    "running_feed_t06": _RULE + """,
+u AS (SELECT *, CAST(floor(c * 100.0 * 10.0 + 0.5) AS BIGINT) AS u1 FROM p ORDER BY "offset" DESC, partition DESC LIMIT 5)
+SELECT "offset", key, CASE WHEN c >= 0.5 THEN 'Potentially Scam' ELSE 'Non-Scam (Safe)' END AS label,
+       CASE WHEN c = 0 THEN 'N/A' ELSE CAST(u1 // 10 AS VARCHAR) || '.' || CAST(u1 % 10 AS VARCHAR) || '%' END AS confidence_text,
+       substring(text, 1, 100) || '...' AS preview, (SELECT CAST(count(*) AS BIGINT) FROM ok) AS processed
+FROM u""",
+    "topic_once_k02": _RULE + """
+SELECT key, CAST(to_json({'prediction': CASE WHEN c >= 0.5 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END,
+                         'confidence': c, 'analysis': CAST(NULL AS VARCHAR),
+                         'historical_insight': CAST(NULL AS VARCHAR), 'original_text': text}) AS VARCHAR) AS value,
+       partition || ':' || "offset" AS source
+FROM p""",
+    "controlled_stop_t07": _MSGS + """ SELECT key, "offset", CAST(1 AS BIGINT) AS copies,
+        CAST(3 AS BIGINT) AS stopped_before_batch, CAST(1 AS BIGINT) AS stops FROM ok""",
     "stream_rule_score_t02": _MSGS + """,
 s AS (SELECT key, "offset", length(regexp_replace(lower(text), '[^a-zA-Z ]', '', 'g')) AS n FROM ok),
 p AS (SELECT key, "offset", n / (n + CAST(100.0 AS DOUBLE)) AS c FROM s)

@@ -44,10 +44,11 @@ def rejects(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col("reject_reason").isNotNull())
 
 
-def encode_results(scored: DataFrame, key_col: str = "key", text_col: str = "text") -> DataFrame:
+def encode_results(scored: DataFrame, key_col: str = "key", text_col: str = "text", keep=()) -> DataFrame:
     """``key`` passed through; ``value`` = JSON of prediction,
     confidence, analysis, historical_insight (null here: no LLM call) and
-    original_text.  Null fields are written as JSON null, not dropped."""
+    original_text.  Null fields are written as JSON null, not dropped.
+    ``keep``: further columns."""
     body = F.struct(
         F.col("prediction").alias("prediction"),
         F.col("confidence").alias("confidence"),
@@ -55,4 +56,4 @@ def encode_results(scored: DataFrame, key_col: str = "key", text_col: str = "tex
         F.lit(None).cast("string").alias("historical_insight"),
         F.col(text_col).alias("original_text"),
     )
-    return scored.select(F.col(key_col).alias("key"), F.to_json(body, {"ignoreNullFields": "false"}).alias("value"))
+    return scored.select(F.col(key_col).alias("key"), F.to_json(body, {"ignoreNullFields": "false"}).alias("value"), *keep)

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions.formats import SCAM_LABELS, UNKNOWN_LABEL, label_text, percent_text, preview
 from colloquy.operators.scoring import score
 from colloquy.session import scratch_path
+from colloquy.streaming.control import Control, RunLog, StopRequested
 from colloquy.streaming.decode import accepted, decode_messages, encode_results, rejects
+from colloquy.streaming.feed import write_feed
+from colloquy.streaming.outbox import outgoing
 
 
 def score_messages(model, messages: DataFrame) -> DataFrame:
@@ -28,19 +32,28 @@ class ScoringStream:
     results to a topic as well (at-least-once).  ``requests_path`` adds the
     explanation-request table per batch (L01; with ``history`` /
     ``hist_key`` -- a frame with a ``dialogue`` column -- or a
-    ``history_index`` also the history requests, L02)."""
+    ``history_index`` also the history requests, L02).
+
+    ``topic`` sends the results with their source in a header, so that readers
+    drop what a repeated batch sends twice (``outbox.once``).  ``feed_path``
+    keeps the latest results and the running total (``feed``).  ``control`` is
+    looked at before every batch; a requested stop ends the run between two
+    batches and is logged (``control``)."""
 
     def __init__(self, model, source: DataFrame, results_path: str, rejects_path: str, checkpoint: str,
                  kafka_options: dict | None = None, encoded_path: str | None = None,
                  requests_path: str | None = None, history: DataFrame | None = None,
-                 hist_key: str | None = None, k: int = 3, history_index=None):
+                 hist_key: str | None = None, k: int = 3, history_index=None, topic=None,
+                 feed_path: str | None = None, control: Control | None = None):
         self.model, self.source = model, source
         self.results_path, self.rejects_path = results_path, rejects_path
         self.encoded_path, self.checkpoint = encoded_path, checkpoint
         self.kafka_options = kafka_options
         self.requests_path, self.history, self.hist_key, self.k = requests_path, history, hist_key, k
         self.history_index = history_index
-        self.query = None
+        self.topic, self.feed_path, self.control = topic, feed_path, control
+        self.query, self.run_log = None, None
+        self.stopped_by: list[tuple[str, int]] = []      # (request, batch that met it) of the last run
 
     def _history_index(self):
         """The history's index: as given, else made by the first batch that
@@ -68,6 +81,10 @@ class ScoringStream:
         out.write.mode("overwrite").parquet(f"{self.requests_path}/batch_id={batch_id}")
 
     def _write_batch(self, batch: DataFrame, batch_id: int) -> None:
+        if self.control is not None:
+            self.stopped_by = [(r, batch_id) for r in self.control.due(batch_id)]
+            if self.stopped_by:
+                raise StopRequested(f"stop requested before batch {batch_id}")
         decoded = decode_messages(batch).persist()
         try:
             scored = score(self.model, accepted(decoded), text_col="text").persist()
@@ -80,6 +97,10 @@ class ScoringStream:
                     enc.write.format("kafka").options(**self.kafka_options).save()
                 if self.requests_path:
                     self._write_requests(scored, batch_id)
+                if self.feed_path:
+                    write_feed(scored, batch_id, self.feed_path)
+                if self.topic:
+                    self.topic(outgoing(scored, batch_id))
             finally:
                 scored.unpersist()
             rejects(decoded).write.mode("overwrite").parquet(f"{self.rejects_path}/batch_id={batch_id}")
@@ -92,7 +113,13 @@ class ScoringStream:
             w = w.trigger(processingTime=processing_time)
         elif available_now:
             w = w.trigger(availableNow=True)
+        self.stopped_by = []
+        if self.control is not None:
+            self.run_log = RunLog()
+            self.source.sparkSession.streams.addListener(self.run_log)
         self.query = w.start()
+        if self.run_log is not None:
+            self.run_log.follow(str(self.query.runId))
         return self
 
     @property
@@ -100,9 +127,33 @@ class ScoringStream:
         return self.query is not None and self.query.isActive
 
     def await_done(self, timeout: float | None = None) -> bool:
+        """Waits for the end of the run (False: still running after ``timeout``);
+        a stop that was asked for is a normal end, any other failure is raised."""
         if self.query is None:
             return True
-        return self.query.awaitTermination(timeout) if timeout else (self.query.awaitTermination() or True)
+        failed = True
+        try:
+            done = self.query.awaitTermination(timeout) if timeout else (self.query.awaitTermination() or True)
+            failed = False
+        except StreamingQueryException:
+            if not self.stopped_by:
+                raise
+            done, failed = True, False
+        finally:
+            if failed or done:
+                self._close_log(failed)
+        return done
+
+    def _close_log(self, failed: bool) -> None:
+        """Writes what the run did once its last event has come."""
+        log, self.run_log = self.run_log, None
+        if log is None:
+            return
+        log.ended.wait(30)
+        self.source.sparkSession.streams.removeListener(log)
+        rows = [(log.run, "batch", b, n, None) for b, n in log.batches]
+        rows += [(log.run, "stopped", b, None, r) for r, b in self.stopped_by]
+        self.control.write_log(rows + [(log.run, "failed" if failed else "ended", None, None, None)] * (not self.stopped_by))
 
     def stop(self) -> None:
         if self.query is not None and self.query.isActive:
