@@ -9,7 +9,7 @@ from colloquy.operators.analysis import predict_text
 from colloquy.plans.modelling import trained
 from colloquy.plans.oracle import CLEAN, D01, LAB, R6
 from colloquy.plans.queries import dialogues, labelled_clean, r6
-from colloquy.plans.streams import _MSGS, FILE_MESSAGES, messages
+from colloquy.plans.streams import _MSGS, messages, read_input, write_input
 from colloquy.session import scratch_path
 from colloquy.sources import files, fixtures
 from colloquy.sources.tables import read_table
@@ -42,13 +42,13 @@ def restart_t04(spark, sf):
     msgs = messages(spark, sf)
 
     def run():
-        source = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", 8).parquet(base + "/in")
+        source = read_input(spark, msgs.schema, base + "/in")
         ScoringStream(fixtures.RuleModel(), source, base + "/results", base + "/rejects",
                       base + "/checkpoint").start(available_now=True).await_done()
 
     half = F.pmod(F.xxhash64("key", "offset"), F.lit(2))
     for part in (0, 1):
-        msgs.filter(half == part).write.mode("append").option("maxRecordsPerFile", FILE_MESSAGES).parquet(base + "/in")
+        write_input(msgs.filter(half == part), base + "/in", append=True)
         run()
     run()
     return spark.read.parquet(base + "/results").groupBy("key", "offset").agg(F.count(F.lit(1)).alias("copies"))

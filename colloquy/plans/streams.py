@@ -19,8 +19,9 @@ from colloquy.streaming import (Control, ScoringStream, accepted, decode_message
                                 processed_count, read_feed, rejects)
 
 _RUNS: dict = {}
-# The input files of a stream run hold so many messages; a micro-batch reads so many files.
-FILE_MESSAGES, BATCH_FILES = 200, 4
+# A stream run takes its input in so many micro-batches at any size (each costs
+# planning, a listing of the input and a commit), from so many files at least.
+BATCHES, LEAST_FILES = 4, 8
 
 
 def messages(spark, sf):
@@ -59,16 +60,29 @@ def feed_t06(spark, sf):
     return latest_feed(scored, 5)
 
 
+def write_input(msgs, path: str, append: bool = False) -> None:
+    """The messages as files for a stream: as many as the cluster shuffles into,
+    so that files grow with the messages and their number does not."""
+    files = max(LEAST_FILES, int(msgs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    msgs.repartition(files).write.mode("append" if append else "errorifexists").parquet(path)
+
+
+def read_input(spark, schema, path: str):
+    """A stream over such files that takes a run's share of them a batch."""
+    files = max(LEAST_FILES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", -(-files // BATCHES)).parquet(path)
+
+
 def run_stream(spark, sf, rule: bool = False):
     """Write the messages as files, stream them through the forest model (or
-    the rule stand-in) a few files per micro-batch, return the output folder."""
+    the rule stand-in) a share of the files per micro-batch, return the output folder."""
     key = (spark.sparkContext.applicationId, sf, rule)
     if key in _RUNS:
         return _RUNS[key]    # one run a session feeds several queries; release_memos() drops it
     base = scratch_path(spark, "stream")
     msgs = messages(spark, sf)
-    msgs.write.option("maxRecordsPerFile", FILE_MESSAGES).parquet(base + "/in")
-    src = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", BATCH_FILES).parquet(base + "/in")
+    write_input(msgs, base + "/in")
+    src = read_input(spark, msgs.schema, base + "/in")
     model = fixtures.RuleModel() if rule else trained(spark, sf, models.RANDOM_FOREST)
     stream = ScoringStream(model, src, base + "/results", base + "/rejects", base + "/checkpoint",
                            encoded_path=base + "/encoded").start(available_now=True)
@@ -134,14 +148,12 @@ def run_interrupted(spark, sf):
         return _RUNS[key]
     base = scratch_path(spark, "interrupted")
     msgs = messages(spark, sf)
-    # four batches to stop between at any size: as many files as the cluster shuffles into, a quarter of them a batch
-    files = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    msgs.repartition(files).write.parquet(base + "/in")
+    write_input(msgs, base + "/in")                       # batches to stop between at any size
     control = Control(spark, base + "/control")
     topic = _FailsOnce(file_topic(base + "/topic"), 2)
 
     def run():
-        source = spark.readStream.schema(msgs.schema).option("maxFilesPerTrigger", -(-files // 4)).parquet(base + "/in")
+        source = read_input(spark, msgs.schema, base + "/in")
         ScoringStream(fixtures.RuleModel(), source, base + "/results", base + "/rejects", base + "/checkpoint", topic=topic,
                       feed_path=base + "/feed", control=control).start(available_now=True).await_done()
 

@@ -130,3 +130,16 @@ def test_other_failures_are_raised_and_logged(spark, tmp_path):
     with pytest.raises(StreamingQueryException):
         _stream(spark, base, schema, control=control, topic=broken).start().await_done()
     assert [r.event for r in control.log().collect()] == ["failed"]
+
+
+def test_more_messages_make_no_more_batches(spark, tmp_path):
+    from colloquy.plans import extra, streams
+    turns = spark.range(4_200).select((F.col("id") / 5).cast("long").alias("conv_id"), (F.col("id") % 5).cast("int").alias("turn"),
+                                      F.lit("caller").alias("role"), F.concat(F.lit("call me back "), "id").alias("text"))
+    turns.coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
+    due = streams.processed_t05(spark, str(tmp_path)).first().processed
+    base = streams.run_stream(spark, str(tmp_path), rule=True)
+    got = spark.read.parquet(base + "/results")
+    assert got.count() == due == got.select("key", "offset").distinct().count()
+    assert got.select("batch_id").distinct().count() == streams.BATCHES
+    assert {tuple(r) for r in extra.restart_t04(spark, str(tmp_path)).groupBy("copies").count().collect()} == {(1, due)}
