@@ -4,10 +4,11 @@ Second-order boosting of the logistic loss on histograms.  Rows are packed once
 into blocks of (row, bin) entries of their non-zero values only; a bin belongs
 to one value range of one feature, so a vocabulary of 20,000 terms costs
 nothing where a row does not hold them.  A tree level is one job over the cached
-blocks: gradient sums per (node, bin) in the tasks, added up per range of
-features, the best split of each range found where it was added up.  Zeros are
-what is left of the node's sum.  Only one candidate per node and range reaches
-the driver.
+blocks: gradient sums per (node, bin) in the tasks, one array for all blocks of a
+partition, added up per range of features, the best split of each range found
+where it was added up.  Zeros are what is left of the node's sum.  Only one
+candidate per node and range reaches the driver (and the sums themselves where
+they are tiny).
 
 Gradients are whole multiples of 2^-20, so sums are exact and the trees do not
 depend on partitions or the order of rows.
@@ -39,7 +40,8 @@ MAX_BINS = 16              # value ranges of a feature beside zero
 RANGE_BINS = 8_192         # bins whose splits one reducer looks at
 REFRESH = 10               # trees after which the rows' margins are stored again
 LEAST_GAIN = 1e-9
-DIRECT_BYTES = 128 << 20   # sums of all partitions that may go straight to the driver; more are added up by range
+DIRECT_BYTES = 256 << 10   # a level's sums that may go straight to the driver (a fit has 500 levels); more are added up by range
+BLOCK_ROWS = 4_096         # rows of a block
 
 
 def sparse_parts(features: str):
@@ -139,28 +141,25 @@ class Block:
             out += np.array([t.get("value", 0.0) for t in tree])[walk(tree, len(out), self.above, depth)]
         return out
 
-    def sums(self, trees: list, tree: list, active: list[int], depth: int, cuts: np.ndarray):
-        """Node totals, and for each range of bins the gradient sums per
-        (bin, active node): where there are any, and the sums."""
-        n, size = len(self.label), len(active)
+    def add_sums(self, total: np.ndarray, sums: np.ndarray, trees: list, tree: list, active: list[int], depth: int) -> None:
+        """Adds the gradients and weights of the open nodes to ``total`` (2, node)
+        and those of every (bin, node) to ``sums`` (2, bins x nodes)."""
+        size = len(active)
         p = 1 / (1 + np.exp(-self.margins(trees, depth)))
         g, h = np.rint((p - self.label) * SCALE), np.rint(np.maximum(p * (1 - p), 1e-6) * SCALE)
         slot = np.full(len(tree), -1)
         slot[active] = np.arange(size)
-        own = slot[walk(tree, n, self.above, depth)]
+        own = slot[walk(tree, len(self.label), self.above, depth)]
         live = own >= 0
-        total = np.stack([np.bincount(own[live], x[live], size) for x in (g, h)])
-        row, own = self.rows, own[self.rows]
-        key, at = self.bins * size + own, np.searchsorted(self.bins, cuts)
-        gr, hr = np.where(own >= 0, g[row], 0), np.where(own >= 0, h[row], 0)
-        key = np.maximum(key, np.repeat(cuts[:-1] * size, np.diff(at)))     # entries of other nodes add zero
-        parts = []
-        for k, (a, b) in enumerate(zip(at.tolist(), at[1:].tolist())):
-            low, cells = int(cuts[k]) * size, int(cuts[k + 1] - cuts[k]) * size
-            sums = np.stack([np.bincount(key[a:b] - low, x[a:b], cells) for x in (gr, hr)])
-            where = np.flatnonzero(sums[1]).astype("<i4")
-            parts.append((where, sums[:, where]))
-        return total, parts
+        total += np.stack([np.bincount(own[live], x[live], size) for x in (g, h)])
+        row, bins = self.rows, self.bins
+        if not live.all():
+            held = live[row]
+            row, bins = row[held], bins[held]
+        key = bins * np.int64(size)
+        key += own[row]
+        for out, x in zip(sums, (g, h)):
+            out += np.bincount(key, x[row], len(out))
 
 
 def added(a, b):
@@ -258,12 +257,15 @@ class BoostedTrees(Estimator, HasFeaturesCol, HasLabelCol):
         reg, least, size = self.reg, self.least_weight, len(active)
 
         def sums(part):
-            held = None
+            total, cells = np.zeros((2, size)), None
             for block in part:
-                total, own = block.sums(trees, tree, active, depth, cuts)
-                own = [(total, *o) for o in own]
-                held = own if held is None else [added(x, y) for x, y in zip(held, own)]
-            return enumerate(held or [])
+                if cells is None:
+                    cells = np.zeros((2, int(cuts[-1]) * size))      # by the bins, not by the rows
+                block.add_sums(total, cells, trees, tree, active, depth)
+            for k, (a, b) in enumerate(zip(cuts.tolist(), cuts[1:].tolist()) if cells is not None else ()):
+                own = cells[:, a * size:b * size]
+                where = np.flatnonzero(own[1]).astype("<i4")
+                yield k, (total, where, own[:, where])
 
         def splits(kv):
             k, own = kv
@@ -302,9 +304,9 @@ PACKED = "rows binary, bins binary, label binary, ids binary"
 
 def pack(bins: Bins):
     """Arrow map of (label, indices, values and, if there, a 64-bit id) to packed
-    entries (row, bin) of each batch in order of the bins."""
+    entries (row, bin) of up to BLOCK_ROWS rows in order of the bins."""
     def run(batches):
-        for batch in batches:
+        for batch in (whole.slice(a, BLOCK_ROWS) for whole in batches for a in range(0, len(whole), BLOCK_ROWS)):
             lists, values = batch.column(1), batch.column(2)
             at = lists.offsets.to_numpy()
             row = np.repeat(np.arange(len(batch)), np.diff(at))

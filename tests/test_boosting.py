@@ -102,3 +102,20 @@ def test_awkward_inputs(spark, rows):
     assert {r.prediction for r in _fit(empty).transform(empty).collect()} == {0.0}
     with pytest.raises(ValueError):
         _fit(spark.createDataFrame([(1.0, Vectors.dense([-1.0]))], ["labels", "features"]))
+
+
+def test_sums_stay_off_the_driver_and_blocks_are_bounded(spark, monkeypatch):
+    import pickle
+    import pyarrow as pa
+    from pyspark.rdd import RDD
+    rows = [(float(i % 2), Vectors.sparse(3_000, {(i * 37 + k) % 3_000: 1.0 + k % 2 for k in range(120)})) for i in range(200)]
+    df = spark.createDataFrame(rows, ["label", "features"]).repartition(8)
+    sent = []
+    monkeypatch.setattr(RDD, "collect", lambda self, f=RDD.collect: (sent.append(f(self)), sent[-1])[1])
+    boosting.BoostedTrees(maxIter=2, maxDepth=3).fit(df)
+    assert sent and max(len(pickle.dumps(x)) for x in sent) < 8_000        # candidates, not sums of 3,000 features
+    lists = pa.array([[0, 1]] * 10_000, pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([pa.array([1.0] * 10_000), lists, lists.cast(pa.list_(pa.float64()))], names=["y", "i", "x"])
+    blocks = list(boosting.pack(boosting.Bins({0: np.empty(0), 1: np.empty(0)}))([batch]))
+    sizes = [len(b.column(2)[0].as_py()) // 8 for b in blocks]
+    assert sum(sizes) == 10_000 and max(sizes) <= boosting.BLOCK_ROWS
