@@ -81,20 +81,20 @@ class _Open:
         return first, np.concatenate([[0], np.cumsum(bins.first[places + 1] - first)]).astype(np.int64)
 
 
-def _node_sums(block: Block, weight: np.ndarray, own: np.ndarray, first: np.ndarray, local: np.ndarray):
-    """(totals, cells with rows, sums of class-1 rows and rows) of one node."""
-    w = np.where(own, weight, 0) * SCALE
-    total = np.array([[(w * block.label).sum()], [w.sum()]])
+def _add_node_sums(sums: np.ndarray, block: Block, weight: np.ndarray, positive: np.ndarray, node: np.ndarray, own: int,
+                   first: np.ndarray, local: np.ndarray) -> None:
+    """Adds the class-1 rows and the rows of node ``own`` per cell to ``sums``
+    (2, cells); only entries of the node's features are read."""
     lo = np.searchsorted(block.bins, first)
     n = np.searchsorted(block.bins, first + np.diff(local)) - lo
     # the entries of all features of the node, one run after another
     at = np.arange(n.sum()) + np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) if len(n) else np.empty(0, np.int64)
     row = block.rows[at]
-    held = w[row] > 0
-    row, at = row[held], at[held]
-    cell = block.bins[at] + np.repeat(local[:-1] - first, n)[held]
-    where, back = np.unique(cell, return_inverse=True)
-    return total, where, np.stack([np.bincount(back, w[row] * x, len(where)) for x in (block.label[row], np.ones(len(row)))])
+    held = node[row] == own
+    row = row[held]
+    cell = block.bins[at[held]] + np.repeat(local[:-1] - first, n)[held]
+    for out, x in zip(sums, (positive, weight)):
+        out += np.bincount(cell, x[row], len(out))
 
 
 class GrownForest(Estimator, HasFeaturesCol, HasLabelCol):
@@ -154,22 +154,30 @@ class GrownForest(Estimator, HasFeaturesCol, HasLabelCol):
         depth, seed, least, weights = self.max_depth, self.seed, float(self.least), self._weights
 
         def sums(part):
-            bins, plan, held = shared.value, None, {}
+            bins, plan, total, held = shared.value, None, {}, {}
             for block, ids in part:
                 if plan is None:
                     plan = [_Open(bins, t, i, take, n_features, seed) for t, i in active]
-                tree, weight, node = None, None, None
+                tree = None
                 for slot, own in enumerate(plan):
-                    if own.tree != tree:
-                        tree, weight = own.tree, weights(ids, own.tree)
+                    if own.tree != tree:                     # once a tree; its nodes read their own entries only
+                        tree = own.tree
                         node = walk(trees[tree], len(ids), block.above, depth)
-                    here = node == own.node
-                    if not (weight[here] > 0).any():
+                        weight = weights(ids, tree) * SCALE
+                        positive = weight * block.label
+                        found = [np.bincount(node, x, len(trees[tree])) for x in (positive, weight)]
+                    if not found[1][own.node]:
                         continue
+                    total[slot] = total.get(slot, 0.0) + np.array([[x[own.node]] for x in found])
                     for k, places in enumerate(own.ranges):
-                        got = _node_sums(block, weight, here, *own.cells(bins, places))
-                        held[slot, k] = added(held[slot, k], got) if (slot, k) in held else got
-            return iter(held.items())
+                        first, local = _Open.cells(bins, places)
+                        if (slot, k) not in held:
+                            held[slot, k] = np.zeros((2, int(local[-1])))    # by the bins, not by the rows
+                        _add_node_sums(held[slot, k], block, weight, positive, node, own.node, first, local)
+            while held:
+                (slot, k), own = held.popitem()
+                where = np.flatnonzero(own[1])
+                yield (slot, k), (total[slot], where, own[:, where])
 
         def split(kv):
             (slot, k), got = kv
