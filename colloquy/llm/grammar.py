@@ -157,8 +157,8 @@ def write_token_files(docs: DataFrame, out: str, path: str, end_id: int, block_i
             return to_batch({k: [v] for k, v in row.items()}, schema)
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                part = np.append(enc.encode(text), enc.dtype.type(end_id))
+            for doc, own in zip(batch.column(0).to_pylist(), enc.encode_column(batch.column(1))):
+                part = np.append(own, enc.dtype.type(end_id))
                 if held and held + len(part) > block_ids:
                     yield emit()
                     number, held, ids, parts = number + 1, 0, [], []

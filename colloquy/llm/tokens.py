@@ -7,11 +7,14 @@ a bounded cache; other files get the whole text."""
 
 from __future__ import annotations
 
+import itertools
 import json
-import struct
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -20,11 +23,13 @@ from colloquy.llm.common import map_arrow
 WORD_BPE = "word_bpe_49k.json"
 CACHE_WORDS = 1_000_000
 LONG_WORD = 64
+CHUNK_BYTES = 8_000_000       # texts whose words are looked up together, one text at least
 
 # Characters on which NFC and per-character lower-casing are plain: ASCII
 # letters and marks (without "<", which may begin an added token), Latin
 # letters up to U+024F without U+0130.
 _PLAIN = regex.compile("[!-;=-~À-ÖØ-öø-įı-ɏ]+")
+_PLAIN_WORDS = regex.compile("[ !-;=-~À-ÖØ-öø-įı-ɏ]*")
 _MARKS = frozenset(b"!\"#$%&'()*+,-./:;=>?@[]^_`{|}~")
 
 
@@ -48,10 +53,10 @@ class TextEncoder(dict):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        self.code = "H" if self.tokenizer.get_vocab_size() <= 65536 else "I"
-        self.dtype = np.dtype("<u2" if self.code == "H" else "<u4")
+        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
         norm = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])]
         pre = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
         self.by_word = (norm == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in pre] == ["Split", "ByteLevel"]
@@ -60,7 +65,7 @@ class TextEncoder(dict):
         self.split = regex.compile(pre[0]["pattern"]["Regex"]) if self.by_word else None
         self.by_word = self.by_word and all(x["content"].startswith("<") for x in spec["added_tokens"])
         self.letters = _byte_letters()
-        self.pieces: dict[bytes, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _pack(self, ids) -> bytes:
         return np.asarray(ids, dtype=self.dtype).tobytes()
@@ -72,13 +77,13 @@ class TextEncoder(dict):
         if len(word) > LONG_WORD:
             return self._library(word.decode("utf-8"))
         if word.isalpha():                                   # ASCII letters: one piece
-            out = self._piece(word.lower())
+            out = self._piece(word.lower().decode())
         elif word[-1] in _MARKS and word[:-1].isalpha():     # ... and one mark
-            out = self._piece(word[:-1].lower()) + self._piece(word[-1:])
+            out = self._piece(word[:-1].lower().decode()) + self._piece(chr(word[-1]))
         else:
             text = word.decode("utf-8")
             if _PLAIN.fullmatch(text):
-                out = b"".join([self._piece(x.encode()) for x in self.split.findall(text.lower())])
+                out = b"".join(map(self._piece, self.split.findall(text.lower())))
             else:
                 out = self._library(text)
         if len(self) >= CACHE_WORDS:
@@ -86,17 +91,94 @@ class TextEncoder(dict):
         self[word] = out
         return out
 
-    def _piece(self, piece: bytes) -> bytes:
+    def _piece(self, piece: str) -> bytes:
         out = self.pieces.get(piece)
         if out is None:
-            spelled = piece.decode() if piece.isalpha() else "".join(map(self.letters.__getitem__, piece))
-            ids = [t.id for t in self.tokenizer.model.tokenize(spelled)]
-            out = struct.pack(f"<{len(ids)}{self.code}", *ids)
             if len(self.pieces) >= CACHE_WORDS:
                 self.pieces.clear()
-            self.pieces[piece] = out
+            out = self.pieces[piece] = self._model(piece)
         return out
 
+    def _spell(self, piece: str) -> str:
+        """A piece of a plain word in the byte-level alphabet (ASCII stands for itself)."""
+        return piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
+
+    def _model(self, piece: str) -> bytes:
+        return self._pack([t.id for t in self.model.tokenize(self._spell(piece))])
+
+    def _learn_pieces(self, pieces: set[str]) -> None:
+        if len(self.pieces) >= CACHE_WORDS:
+            self.pieces.clear()
+        new = pieces.difference(self.pieces)
+        tokenize, ids, ends = self.model.tokenize, [], []
+        for piece in map(self._spell, new):
+            ids += [t.id for t in tokenize(piece)]
+            ends.append(len(ids) * self.dtype.itemsize)
+        packed = self._pack(ids)
+        self.pieces.update(zip(new, [packed[a:b] for a, b in zip([0, *ends], ends)]))
+
+    def _plain_words(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of plain words: letters are one piece, letters and a mark
+        two, the rest is split by the pattern; new pieces are learned together."""
+        heads, tails, rest = [], [], {}
+        for k, word in enumerate(b" ".join(words).decode("utf-8").lower().split(" ")):
+            tail = ""
+            if not word.isalpha():
+                word, tail = word[:-1], word[-1:]
+                if not word.isalpha() or not tail.isascii() or tail.isalnum():
+                    rest[k] = self.split.findall(word + tail)
+                    word = tail = ""
+            heads.append(word)
+            tails.append(tail)
+        self._learn_pieces({"", *heads, *tails, *itertools.chain.from_iterable(rest.values())})
+        out = [self.pieces[a] + self.pieces[b] if b else self.pieces[a] for a, b in zip(heads, tails)]
+        for k, pieces in rest.items():
+            out[k] = b"".join(map(self.pieces.__getitem__, pieces))
+        return out
+
+    def _words(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of distinct words; those not in the cache are learned together."""
+        found = list(map(self.get, words))
+        new = [w for w, packed in zip(words, found) if packed is None and len(w) <= LONG_WORD]
+        if not new and None not in found:
+            return found
+        if not _PLAIN_WORDS.fullmatch(b" ".join(new).decode("utf-8")):
+            new = [w for w in new if _PLAIN_WORDS.fullmatch(w.decode("utf-8"))]
+        learned = dict(zip(new, self._plain_words(new)))
+        found = [learned.get(w) if packed is None else packed for w, packed in zip(words, found)]
+        if len(self) + len(learned) > CACHE_WORDS:
+            self.clear()
+        self.update(learned)
+        return [self[w] if packed is None else packed for w, packed in zip(words, found)]
+
+    def _chunk(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        words = pc.ascii_split_whitespace(texts)             # may hold empty words, which have no ids
+        coded = words.flatten().dictionary_encode()
+        packed = self._words(coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist())
+        table = np.frombuffer(b"".join(packed), self.dtype)
+        length = np.fromiter(map(len, packed), np.int64, len(packed)) // self.dtype.itemsize
+        at, word = np.cumsum(length) - length, coded.indices.to_numpy()
+        n = length[word]
+        ends = np.cumsum(n)
+        ids = table[np.repeat(at[word] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        last = np.cumsum(pc.list_value_length(words).fill_null(0).to_numpy())
+        bounds = np.concatenate(([0], ends))[last].tolist()
+        return (ids[a:b] for a, b in zip([0, *bounds], bounds))
+
+    def encode_column(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of every text of a string column (null: none), as ``encode`` gives
+        them: the words of a chunk are told apart by Arrow, each distinct one is
+        looked up once, and the ids are laid out by numpy."""
+        if not self.by_word:
+            yield from map(self.encode, texts.to_pylist())
+            return
+        size = pc.binary_length(texts).fill_null(0).to_numpy().astype(np.int64)
+        chunk = (np.cumsum(size) - size) // CHUNK_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), len(texts)]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield from self._chunk(texts.slice(a, b - a))
+
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of one text (null: none)."""
         if not text:

@@ -167,6 +167,31 @@ def test_encoder_equals_the_library():
     assert whole.encode(" a  b\n").tolist() == library.encode(" a  b\n", add_special_tokens=False).ids
 
 
+def test_encoding_a_column_equals_the_library_and_learns_words_together(monkeypatch):
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    path = tokens.tokenizer_path(tokens.WORD_BPE)
+    library, rng = Tokenizer.from_file(path), random.Random(5)
+    texts = [None, "", " ", "a<|endoftext|>b <|x", " it's we'll don' 'S ’s ", "ÀÉÎ ŉ ǅ İ ẞ ΣΑΣ é ́a é,", "a\xa0b\x1cd\x85e\tf\r\ng\x0bh",
+             "漢字 🙂👍🏽", "x" * 300 + " " + "é" * 100, "1234 ²³¼ x1 _a a_ 'a", None, "the The the, THE."]
+    texts += ["".join(rng.choices("abé'!.1 \n<|ßİΣ́", k=40)) for _ in range(300)]
+    expected = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for chunk, cache in ((8_000_000, 1_000_000), (64, 8), (1, 1)):
+        monkeypatch.setattr(tokens, "CHUNK_BYTES", chunk)
+        monkeypatch.setattr(tokens, "CACHE_WORDS", cache)
+        own = tokens.TextEncoder(path)
+        for column in (pa.array(texts), pa.array(["x", *texts])[1:], pa.array(texts, pa.large_string())):
+            assert [ids.tolist() for ids in own.encode_column(column)] == expected
+    assert list(own.encode_column(pa.array([], pa.string()))) == []
+
+    monkeypatch.undo()
+    single = []
+    monkeypatch.setattr(tokens.TextEncoder, "__missing__", lambda self, word: single.append(word) or self._library(word.decode()))
+    own = tokens.TextEncoder(path)
+    assert len(list(own.encode_column(pa.array(["Word, word é1 it's"] * 50 + ["<x"])))) == 51
+    assert single == [b"<x"]              # plain words never go one by one
+
+
 def _plain_base(text):
     """The base rules with plain patterns, tried at every place."""
     out = []
