@@ -31,6 +31,16 @@ def test_edge_rows(spark):
         assert list(rows[i]["w2"]) == words, i
 
 
+def test_cleaning_deletes_runs_and_equals_the_pattern_of_single_characters(spark):
+    every = [chr(c) for c in range(1, 0x11000) if not 0xD800 <= c < 0xE000]
+    texts = [f"Ab{c}{c}Z {c}" for c in every] + ["", " \n\t ", "ÀB--c!!\r\nD  e", "🙂x🙂🙂Y", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    single = F.regexp_replace(F.lower("t"), "[^a-zA-Z ]", "")
+    assert df.filter(~clean_text("t").eqNullSafe(single)).count() == 0
+    plan = df.select(clean_text("t").alias("c"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "[^a-z ]+" in plan
+
+
 def test_null_text(spark):
     df = spark.createDataFrame([(None,)], "dialogue string")
     r = cleaning.with_clean_text(df).withColumn("w", tokenize("clean_text")).collect()[0]
