@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -24,13 +25,15 @@ WORD_BPE = "word_bpe_49k.json"
 CACHE_WORDS = 1_000_000
 LONG_WORD = 64
 CHUNK_BYTES = 8_000_000       # texts whose words are looked up together, one text at least
+RUN_PIECES = 64               # new pieces that the library gets as one string
 
 # Characters on which NFC and per-character lower-casing are plain: ASCII
 # letters and marks (without "<", which may begin an added token), Latin
 # letters up to U+024F without U+0130.
 _PLAIN = regex.compile("[!-;=-~À-ÖØ-öø-įı-ɏ]+")
-_PLAIN_WORDS = regex.compile("[ !-;=-~À-ÖØ-öø-įı-ɏ]*")
-_MARKS = frozenset(b"!\"#$%&'()*+,-./:;=>?@[]^_`{|}~")
+_PLAIN_RE2 = "^[!-;=-~À-ÖØ-öø-įı-ɏ]*$"
+_MARK_CHARS = "!\"#$%&'()*+,-./:;=>?@[]^_`{|}~"
+_MARKS = frozenset(_MARK_CHARS.encode())
 
 
 def tokenizer_path(name: str) -> str:
@@ -46,14 +49,26 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(other)) for b in range(256)]
 
 
+def _runs(at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The places ``at[k]``, ``at[k] + 1``, ... (``n[k]`` of them) for every k."""
+    ends = np.cumsum(n)
+    return np.repeat(at - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)
+
+
 class TextEncoder(dict):
     """word (UTF-8 bytes) -> packed ids; misses are encoded by the library."""
 
     def __init__(self, path: str):
         super().__init__()
-        from tokenizers import Tokenizer
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")     # the tasks are what runs side by side
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.bare = Tokenizer(self.model)                    # the model alone, for pieces joined by spaces
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.token_chars = np.zeros(self.tokenizer.get_vocab_size(), np.int64)
+        for token, k in self.tokenizer.get_vocab().items():
+            self.token_chars[k] = len(token.removesuffix(getattr(self.model, "end_of_word_suffix", None) or ""))
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
@@ -65,6 +80,7 @@ class TextEncoder(dict):
         self.split = regex.compile(pre[0]["pattern"]["Regex"]) if self.by_word else None
         self.by_word = self.by_word and all(x["content"].startswith("<") for x in spec["added_tokens"])
         self.letters = _byte_letters()
+        self.spelling = dict(enumerate(self.letters[128:], 128))
         self.pieces: dict[str, bytes] = {}
 
     def _pack(self, ids) -> bytes:
@@ -103,72 +119,95 @@ class TextEncoder(dict):
         """A piece of a plain word in the byte-level alphabet (ASCII stands for itself)."""
         return piece if piece.isascii() else "".join(map(self.letters.__getitem__, piece.encode()))
 
+    def _spell_all(self, pieces: list[str]) -> list[str]:
+        joined = " ".join(pieces)
+        return pieces if joined.isascii() else joined.encode().decode("latin-1").translate(self.spelling).split(" ")
+
     def _model(self, piece: str) -> bytes:
         return self._pack([t.id for t in self.model.tokenize(self._spell(piece))])
 
-    def _learn_pieces(self, pieces: set[str]) -> None:
-        if len(self.pieces) >= CACHE_WORDS:
+    def _learn_pieces(self, new: list[str]) -> list[bytes]:
+        """Packed ids of distinct pieces that are not in the cache, learned
+        together: the library's model gets them in white-space-joined runs, and
+        the lengths of the tokens tell where each piece's ids end."""
+        if len(self.pieces) + len(new) > CACHE_WORDS:
             self.pieces.clear()
-        new = pieces.difference(self.pieces)
-        tokenize, ids, ends = self.model.tokenize, [], []
-        for piece in map(self._spell, new):
-            ids += [t.id for t in tokenize(piece)]
-            ends.append(len(ids) * self.dtype.itemsize)
-        packed = self._pack(ids)
-        self.pieces.update(zip(new, [packed[a:b] for a, b in zip([0, *ends], ends)]))
-
-    def _plain_words(self, words: list[bytes]) -> list[bytes]:
-        """Packed ids of plain words: letters are one piece, letters and a mark
-        two, the rest is split by the pattern; new pieces are learned together."""
-        heads, tails, rest = [], [], {}
-        for k, word in enumerate(b" ".join(words).decode("utf-8").lower().split(" ")):
-            tail = ""
-            if not word.isalpha():
-                word, tail = word[:-1], word[-1:]
-                if not word.isalpha() or not tail.isascii() or tail.isalnum():
-                    rest[k] = self.split.findall(word + tail)
-                    word = tail = ""
-            heads.append(word)
-            tails.append(tail)
-        self._learn_pieces({"", *heads, *tails, *itertools.chain.from_iterable(rest.values())})
-        out = [self.pieces[a] + self.pieces[b] if b else self.pieces[a] for a, b in zip(heads, tails)]
-        for k, pieces in rest.items():
-            out[k] = b"".join(map(self.pieces.__getitem__, pieces))
-        return out
-
-    def _words(self, words: list[bytes]) -> list[bytes]:
-        """Packed ids of distinct words; those not in the cache are learned together."""
-        found = list(map(self.get, words))
-        new = [w for w, packed in zip(words, found) if packed is None and len(w) <= LONG_WORD]
-        if not new and None not in found:
-            return found
-        if not _PLAIN_WORDS.fullmatch(b" ".join(new).decode("utf-8")):
-            new = [w for w in new if _PLAIN_WORDS.fullmatch(w.decode("utf-8"))]
-        learned = dict(zip(new, self._plain_words(new)))
-        found = [learned.get(w) if packed is None else packed for w, packed in zip(words, found)]
-        if len(self) + len(learned) > CACHE_WORDS:
-            self.clear()
-        self.update(learned)
-        return [self[w] if packed is None else packed for w, packed in zip(words, found)]
+        spelled = self._spell_all(new)
+        runs = [" ".join(spelled[a:a + RUN_PIECES]) for a in range(0, len(spelled), RUN_PIECES)]
+        ids = list(itertools.chain.from_iterable(
+            e.ids for e in self.bare.encode_batch_fast(runs, add_special_tokens=False)))
+        ids = np.array(ids, self.dtype)
+        spelt = np.concatenate(([0], np.cumsum(self.token_chars[ids])))
+        wanted = np.cumsum(np.fromiter(map(len, spelled), np.int64, len(spelled)))
+        ends = np.searchsorted(spelt, wanted)
+        if spelt[-1] != wanted[-1] or (spelt[ends] != wanted).any():
+            packed = list(map(self._model, new))             # tokens that do not spell their piece
+        else:
+            raw, ends = ids.tobytes(), (ends * self.dtype.itemsize).tolist()
+            packed = [raw[a:b] for a, b in zip([0, *ends], ends)]
+        self.pieces.update(zip(new[:CACHE_WORDS], packed))
+        return packed
+
+    def _packed_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Packed ids of distinct pieces of plain words."""
+        found = list(map(self.pieces.get, pieces))
+        new = [p for p, packed in zip(pieces, found) if packed is None]
+        if new:
+            learned = iter(self._learn_pieces(new))
+            found = [next(learned) if packed is None else packed for packed in found]
+        return found
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words one after another, and how many each has.
+        Plain words are cut into pieces: letters are one, letters and a mark
+        two, the rest is split by the pattern; each distinct piece is looked up
+        once.  Other words are looked up themselves."""
+        plain = pc.and_(pc.match_substring_regex(words, _PLAIN_RE2), pc.less_equal(pc.binary_length(words), LONG_WORD))
+        lower = pc.utf8_lower(words)
+        head = pc.utf8_rtrim(lower, characters=_MARK_CHARS)
+        cut = pc.subtract(pc.binary_length(lower), pc.binary_length(head))
+        short = pc.or_(pc.utf8_is_alpha(head), pc.equal(pc.binary_length(lower), 0))
+        simple = pc.and_(pc.and_(plain, short), pc.less_equal(cut, 1))
+        tail = pc.if_else(pc.equal(cut, 1), pc.utf8_slice_codeunits(lower, -1), "")
+        plain, simple = (m.to_numpy(zero_copy_only=False) for m in (plain, simple))
+        rest, other = np.flatnonzero(plain & ~simple), np.flatnonzero(~plain)
+        simple = np.flatnonzero(simple)
+        split = [self.split.findall(w) or [""] for w in lower.take(pa.array(rest)).to_pylist()]
+        pieces = pa.concat_arrays([head.take(pa.array(simple)), tail.take(pa.array(simple)).cast(head.type),
+                                   pa.array(list(itertools.chain.from_iterable(split)), head.type)]).dictionary_encode()
+        packed = self._packed_pieces(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        index, known = pieces.indices.to_numpy(), len(packed)
+        packed += [self[w] for w in words.take(pa.array(other)).cast(pa.binary()).to_pylist()]
+
+        count = np.ones(len(words), np.int64)                # pieces of a word
+        count[simple] = 2
+        count[rest] = np.fromiter(map(len, split), np.int64, len(split))
+        at = np.cumsum(count) - count
+        piece = np.empty(int(count.sum()), np.int64)
+        piece[at[simple]], piece[at[simple] + 1] = index[:len(simple)], index[len(simple):2 * len(simple)]
+        piece[_runs(at[rest], count[rest])] = index[2 * len(simple):]
+        piece[at[other]] = known + np.arange(len(other))
+        table = np.frombuffer(b"".join(packed), self.dtype)
+        length = np.fromiter(map(len, packed), np.int64, len(packed)) // self.dtype.itemsize
+        n = length[piece]
+        before = np.concatenate(([0], np.cumsum(n)))
+        return table[_runs((np.cumsum(length) - length)[piece], n)], before[at + count] - before[at]
 
     def _chunk(self, texts: pa.Array) -> Iterator[np.ndarray]:
         words = pc.ascii_split_whitespace(texts)             # may hold empty words, which have no ids
         coded = words.flatten().dictionary_encode()
-        packed = self._words(coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist())
-        table = np.frombuffer(b"".join(packed), self.dtype)
-        length = np.fromiter(map(len, packed), np.int64, len(packed)) // self.dtype.itemsize
-        at, word = np.cumsum(length) - length, coded.indices.to_numpy()
+        table, length = self._words(coded.dictionary)
+        word = coded.indices.to_numpy()
         n = length[word]
-        ends = np.cumsum(n)
-        ids = table[np.repeat(at[word] - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
+        ids = table[_runs((np.cumsum(length) - length)[word], n)]
         last = np.cumsum(pc.list_value_length(words).fill_null(0).to_numpy())
-        bounds = np.concatenate(([0], ends))[last].tolist()
+        bounds = np.concatenate(([0], np.cumsum(n)))[last].tolist()
         return (ids[a:b] for a, b in zip([0, *bounds], bounds))
 
     def encode_column(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of every text of a string column (null: none), as ``encode`` gives
-        them: the words of a chunk are told apart by Arrow, each distinct one is
-        looked up once, and the ids are laid out by numpy."""
+        them: the words of a chunk and their pieces are told apart by Arrow, each
+        distinct piece is looked up once, and the ids are laid out by numpy."""
         if not self.by_word:
             yield from map(self.encode, texts.to_pylist())
             return

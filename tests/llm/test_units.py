@@ -192,6 +192,25 @@ def test_encoding_a_column_equals_the_library_and_learns_words_together(monkeypa
     assert single == [b"<x"]              # plain words never go one by one
 
 
+def test_encoding_a_column_gives_the_model_joined_pieces_and_keeps_no_plain_words():
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    path, rng = tokens.tokenizer_path(tokens.WORD_BPE), random.Random(6)
+    words = ["".join(rng.choices("abehinostéßüöŉǆ", k=rng.randint(1, 12))) for _ in range(700)]
+    words += [chr(c) for c in range(33, 0x250) if chr(c).isprintable() and not chr(c).isspace()]
+    texts = [" ".join(w.capitalize() + rng.choice(["", ",", ".", "!?", "'s", "-x1", "\\"]) for w in rng.choices(words, k=60))
+             for _ in range(80)] + [" ".join(words), None, ""]
+    library, own = Tokenizer.from_file(path), tokens.TextEncoder(path)
+    own.model = None                      # no piece goes to the model alone
+    assert ([ids.tolist() for ids in own.encode_column(pa.array(texts))]
+            == [library.encode(t or "", add_special_tokens=False).ids for t in texts])
+    assert own.pieces and not [w for w in own if tokens._PLAIN.fullmatch(w.decode())]
+    suffixless = tokens.TextEncoder(path)
+    suffixless.token_chars = suffixless.token_chars + 1      # lengths that tell nothing: piece by piece
+    assert [ids.tolist() for ids in suffixless.encode_column(pa.array(texts[:9]))] == [
+        library.encode(t, add_special_tokens=False).ids for t in texts[:9]]
+
+
 def _plain_base(text):
     """The base rules with plain patterns, tried at every place."""
     out = []
