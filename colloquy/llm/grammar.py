@@ -49,7 +49,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, terminals: int, rounds: int = RO
         pair <<= wide(width)
         pair |= seq[1:]
         inner = ends[ends < len(pair)]
-        none = np.iinfo(wide).max            # no pair: ids stay below the symbol space
+        none = wide(np.iinfo(wide).max)      # no pair: ids stay below the symbol space
         pair[inner] = none
         pair.sort()
         pair = pair[:np.searchsorted(pair, none)]
@@ -71,17 +71,20 @@ def compress(ids: np.ndarray, ends: np.ndarray, terminals: int, rounds: int = RO
         row[lefts], col[rights] = np.arange(1, len(lefts) + 1) * (len(rights) + 1), np.arange(1, len(rights) + 1)
         grid = np.zeros((len(lefts) + 1) * (len(rights) + 1), np.int32)
         grid[row[left] + col[right]] = np.arange(1, k + 1)
-        cell = row[seq[:-1]]
-        cell += col[seq[1:]]
+        place = seq.astype(np.intp)
+        cell = row[place[:-1]]
+        cell += col[place[1:]]
+        cell[inner] = 0                      # no rule there
         rule = grid[cell]
-        rule[inner] = 0
-        at = np.flatnonzero(rule)
+        at = np.flatnonzero(rule != 0)
         # of a run of overlapping pairs take every second one
         head = np.concatenate(([True], np.diff(at) > 1))
         first = np.maximum.accumulate(np.where(head, np.arange(len(at)), 0))
         at = at[((np.arange(len(at)) - first) & 1) == 0]
         seq[at] = terminals + made - 1 + rule[at]
-        seq = np.delete(seq, at + 1)
+        kept = np.ones(len(seq), bool)
+        kept[at + 1] = False
+        seq = seq[kept]
         ends = ends - np.searchsorted(at + 1, ends, "right")
         rules.append(np.stack([left, right], 1))
         made += k
