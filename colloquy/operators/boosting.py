@@ -131,8 +131,13 @@ class Block:
     def __init__(self, rows, bins, label, margin):
         self.rows, self.bins, self.label, self.margin = rows, bins, label, margin
 
+    def places(self, bins) -> np.ndarray:
+        """Where the entries of these bins begin.  (Numbers of another type would
+        have numpy convert all entries first.)"""
+        return np.searchsorted(self.bins, np.asarray(bins, self.bins.dtype))
+
     def above(self, node: dict) -> np.ndarray:
-        a, b = np.searchsorted(self.bins, (node["bin"], node["end"]))
+        a, b = self.places((node["bin"], node["end"]))
         return self.rows[a:b]
 
     def margins(self, trees: list, depth: int) -> np.ndarray:
@@ -156,6 +161,11 @@ class Block:
         if not live.all():
             held = live[row]
             row, bins = row[held], bins[held]
+        if size == 1 and len(bins):                          # the entries lie in order of their cells already
+            first = np.append(0, np.flatnonzero(bins[1:] != bins[:-1]) + 1)
+            for out, x in zip(sums, (g, h)):
+                out[bins[first]] += np.add.reduceat(x[row], first)
+            return
         key = bins * np.int64(size)
         key += own[row]
         for out, x in zip(sums, (g, h)):
@@ -208,13 +218,14 @@ class BoostedTrees(Estimator, HasFeaturesCol, HasLabelCol):
         self._set(featuresCol=given.pop("featuresCol", "features"), labelCol=given.pop("labelCol", "label"))
         self.max_iter, self.max_depth, self.step = maxIter, maxDepth, stepSize
         self.reg, self.least_weight = regularisation, leastWeight
+        self.edges = None                                    # ``bin_edges`` of the rows, where they are known
 
     def _fit(self, dataset: DataFrame) -> BoostedTreesModel:
         spark = dataset.sparkSession
         ensure_checkpoint_dir(spark)
         i, x = sparse_parts(self.getFeaturesCol())
         rows = dataset.select(F.col(self.getLabelCol()).cast("double").alias("y"), i.alias("i"), x.alias("x"))
-        bins = Bins(bin_edges(rows))
+        bins = Bins(bin_edges(rows) if self.edges is None else self.edges)
         n_features = vector_length(dataset, self.getFeaturesCol())
         depth = self.max_depth
 

@@ -85,8 +85,8 @@ def _add_node_sums(sums: np.ndarray, block: Block, weight: np.ndarray, positive:
                    first: np.ndarray, local: np.ndarray) -> None:
     """Adds the class-1 rows and the rows of node ``own`` per cell to ``sums``
     (2, cells); only entries of the node's features are read."""
-    lo = np.searchsorted(block.bins, first)
-    n = np.searchsorted(block.bins, first + np.diff(local)) - lo
+    lo = block.places(first)
+    n = block.places(first + np.diff(local)) - lo
     # the entries of all features of the node, one run after another
     at = np.arange(n.sum()) + np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) if len(n) else np.empty(0, np.int64)
     row = block.rows[at]
@@ -112,6 +112,7 @@ class GrownForest(Estimator, HasFeaturesCol, HasLabelCol):
         self._set(featuresCol=given.get("featuresCol", "features"), labelCol=given.get("labelCol", "label"))
         self.num_trees, self.max_depth, self.seed = numTrees, maxDepth, seed & 0xFFFFFFFF
         self.strategy, self.least, self.max_bins = featureSubsetStrategy, minInstancesPerNode, maxBins
+        self.edges = None                                    # ``bin_edges`` of the rows at MAX_BINS, where they are known
 
     def _fit(self, dataset: DataFrame) -> GrownForestModel:
         label = F.col(self.getLabelCol()).cast("double")
@@ -121,7 +122,8 @@ class GrownForest(Estimator, HasFeaturesCol, HasLabelCol):
         n, odd = rows.select(F.count(F.lit(1)), F.count_if(~F.coalesce(F.col("y").isin(0.0, 1.0), F.lit(False)))).first()
         if not n or odd:
             raise ValueError(f"trees need rows with labels 0 and 1: {n} rows, {odd} others")
-        bins = Bins(bin_edges(rows, self.max_bins))
+        known = self.edges if self.max_bins == MAX_BINS else None
+        bins = Bins(bin_edges(rows, self.max_bins) if known is None else known)
         n_features = vector_length(dataset, self.getFeaturesCol())
         blocks = rows.mapInArrow(pack(bins), PACKED).rdd.map(
             lambda r: (Block(np.frombuffer(r[0], "<i4"), np.frombuffer(r[1], "<i4"), np.frombuffer(r[2]), None),

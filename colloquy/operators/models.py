@@ -15,7 +15,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colloquy.operators.boosting import BoostedTrees
+from colloquy.operators.boosting import BoostedTrees, bin_edges, sparse_parts
 from colloquy.operators.features import DEFAULT_NUM_FEATURES, DEFAULT_VOCAB_SIZE, fit_feature_stages
 from colloquy.operators.forest import ROW_KEY, GrownForest
 from colloquy.session import ensure_checkpoint_dir, persist
@@ -71,12 +71,23 @@ class PreparedTraining:
 
     def __init__(self, base, feat, vectors, label_col: str):
         self.base, self.feat, self.vectors, self.label_col = base, feat, vectors, label_col
+        self._edges: dict | None = None
 
     def fit(self, name: str, **params) -> PipelineModel:
         """One classifier glued behind the shared feature stages."""
         est = classifier(name, label_col=self.label_col, **params)
+        if hasattr(est, "edges"):                            # the tree models cut the same vectors alike
+            est.edges = self.edges(est.getFeaturesCol())
         return PipelineModel(stages=list(self.feat.stages) + [est.fit(self.vectors)])
 
+    def edges(self, features: str) -> dict:
+        """The value ranges of the vectors, found once for all tree models (at
+        most 15 numbers a feature)."""
+        if self._edges is None:
+            i, x = sparse_parts(features)
+            self._edges = bin_edges(self.vectors.select(i.alias("i"), x.alias("x")))
+        return self._edges
+
     def release(self) -> None:
         self.vectors.unpersist()
         self.base.unpersist()

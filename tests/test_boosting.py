@@ -119,3 +119,37 @@ def test_sums_stay_off_the_driver_and_blocks_are_bounded(spark, monkeypatch):
     blocks = list(boosting.pack(boosting.Bins({0: np.empty(0), 1: np.empty(0)}))([batch]))
     sizes = [len(b.column(2)[0].as_py()) // 8 for b in blocks]
     assert sum(sizes) == 10_000 and max(sizes) <= boosting.BLOCK_ROWS
+
+
+def test_a_block_is_searched_without_converting_its_entries(monkeypatch):
+    """Looking up a split's rows costs a binary search, not a pass over the block's
+    entries: what is looked for has their type, in boosting and in the forest."""
+    from colloquy.operators import forest
+    x, y = _data()
+    row, feature = np.nonzero(x)
+    order = np.argsort(feature, kind="stable")
+    block = boosting.Block(row[order].astype("<i4"), feature[order].astype("<i4"), y, np.zeros(len(y)))
+    types = []
+    monkeypatch.setattr(np, "searchsorted", lambda a, v, *k, f=np.searchsorted: (types.append((a.dtype, np.asarray(v).dtype)), f(a, v, *k))[1])
+    assert block.above({"bin": 3, "end": 5}).tolist() == [*np.flatnonzero(x[:, 3]), *np.flatnonzero(x[:, 4])]
+    sums = np.zeros((2, 2))
+    forest._add_node_sums(sums, block, np.ones(len(y)), y, np.zeros(len(y), np.int64), 0, np.array([3, 9]), np.array([0, 1, 2]))
+    assert sums.tolist() == [[y[x[:, f] > 0].sum() for f in (3, 9)], [float((x[:, f] > 0).sum()) for f in (3, 9)]]
+    assert types and all(a == v for a, v in types)
+
+
+def test_sums_of_one_node_and_of_two_agree():
+    rng = np.random.default_rng(5)
+    x, y = _data()
+    row, feature = np.nonzero(x)
+    order = np.argsort(feature, kind="stable")
+    block = boosting.Block(row[order].astype("<i4"), feature[order].astype("<i4"), y, rng.normal(size=len(y)))
+    split = [{"left": 1, "right": 2, "bin": 3, "end": 4}, {}, {}]
+    def sums(tree, active):
+        total, cells = np.zeros((2, len(active))), np.zeros((2, 30 * len(active)))
+        for _ in range(2):                                   # added to what is there
+            block.add_sums(total, cells, [], tree, active, 3)
+        return total.sum(1), cells.reshape(2, 30, -1).sum(2)
+    both = sums(split, [1, 2])
+    for got in (sums([{}], [0]), tuple(a + b for a, b in zip(sums(split, [1]), sums(split, [2])))):
+        assert all((a == b).all() for a, b in zip(got, both))

@@ -108,3 +108,21 @@ def test_score_replaces_stale_pipeline_columns(spark, fitted, data):
     assert "raw_features" not in out.columns and "words" not in out.columns
     plain = scoring.score(fitted[models.DECISION_TREE], held.select("doc_id", "dialogue"))
     assert out.select("doc_id", "prediction").exceptAll(plain.select("doc_id", "prediction")).count() == 0
+
+
+def test_tree_models_of_one_training_set_share_the_value_ranges(spark, monkeypatch):
+    from colloquy.operators import boosting, forest
+    rows = spark.createDataFrame([(i, float(i % 2), f"gift card {'now' * (i % 3)} w{i % 5} w{i % 5}") for i in range(40)],
+                                 "id long, labels double, clean_text string")
+    calls, plain = [], boosting.bin_edges
+    for module in (boosting, forest, models):
+        monkeypatch.setattr(module, "bin_edges", lambda *a: (calls.append(1), plain(*a))[1])
+    names, few = (models.DECISION_TREE, models.RANDOM_FOREST, models.BOOSTED_TREES), {models.RANDOM_FOREST: {"numTrees": 3}, models.BOOSTED_TREES: {"maxIter": 2}}
+    shared = models.fit_models(rows, names, params=few, key="id", partitions=2)
+    assert len(calls) == 1
+    prep = models.prepare_training(rows, key="id", partitions=2)
+    for name in names:                                       # and each finds the same by itself
+        alone = models.classifier(name, **few.get(name, {})).fit(prep.vectors)
+        assert alone.getOrDefault("trees") == shared[name].stages[-1].getOrDefault("trees")
+    assert len(calls) == 4
+    prep.release()
